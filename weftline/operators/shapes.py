@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..constants import MAX_STATEMENT_CHARS
 from ..functions import names as N
 from ..functions import shape as S
+from .spread import computed_once
 from .statements import insert_parts
 
 SET, MERGE_SET, MERGE_INSERT, INSERT_SELECT, VALUES, SELECT = (
@@ -21,6 +22,7 @@ SET, MERGE_SET, MERGE_INSERT, INSERT_SELECT, VALUES, SELECT = (
     "values",
     "select",
 )
+FAILED = "FAILED"
 _SELECT_KINDS = ["SELECT", "CTAS", "VIEW"]
 _UNIT = "struct<clause:string,branch_no:int,cols:string,items:string>"
 _CTX = "struct<rank:int,top_level:boolean,text:string,match:string,shown:string>"
@@ -41,22 +43,22 @@ def _array(condition: Column, value: Column, element: str) -> Column:
 
 
 def parse_statements(statements: DataFrame) -> DataFrame:
-    """Add to every OK statement the arrays ``tables``, ``units``, ``contexts``, ``inputs``.
+    """Add the arrays ``tables``, ``units``, ``contexts`` and ``inputs`` to the catalog.
 
     ``units`` are the comma lists that assign columns, ``contexts`` the clauses
-    that read columns, ``inputs`` other texts that name columns.
+    that read columns, ``inputs`` other texts that name columns. The arrays of a
+    failed statement are empty.
     """
     kind, sql = F.col("kind"), F.col("sql_query")
-    ok = statements.where(F.col("parse_status") == "OK").select(
-        "query_id", "parent", "stmt_no", "kind", "target_table", "sql_query", "body"
-    )
+    ok = F.col("parse_status") == "OK"
     cols, rest = insert_parts(sql)
-    sources = ok.select(
+    sources = statements.withColumn("kind", F.when(ok, kind).otherwise(FAILED)).select(
         "*",
         F.when(kind == "INSERT", cols).otherwise("").alias("insert_cols"),
         F.when(kind == "INSERT", rest)
         .when(kind.isin(_SELECT_KINDS), S.unwrap(F.col("body")))
-        .otherwise(sql)
+        .when(ok, sql)
+        .otherwise("")
         .alias("source"),
     )
     has_top = kind.isin(_SELECT_KINDS + ["INSERT"])
@@ -216,22 +218,12 @@ def parse_statements(statements: DataFrame) -> DataFrame:
         _array(writes, S.head_tables(sql), "struct<name:string,alias:string>"),
         F.flatten(F.transform("parts", lambda p: S.from_tables(p["from"]))),
     )
-    return (
+    return computed_once(
         whens.withColumn("units", units)
         .withColumn("tables", tables)
         .withColumn("contexts", contexts)
         .withColumn("inputs", inputs)
-        .select(
-            "query_id",
-            "parent",
-            "stmt_no",
-            "kind",
-            "target_table",
-            "tables",
-            "units",
-            "contexts",
-            "inputs",
-        )
+        .select(*statements.drop("body").columns, "tables", "units", "contexts", "inputs")
     )
 
 
@@ -274,7 +266,7 @@ def assignments(parsed: DataFrame) -> DataFrame:
         "unit_no",
         "branch_no",
         "cols",
-        F.posexplode("items").alias("ord", "item"),
+        F.posexplode_outer("items").alias("ord", "item"),
     )
     item, clause = F.col("item"), F.col("clause")
     is_set = clause.isin(SET, MERGE_SET)
@@ -292,7 +284,7 @@ def assignments(parsed: DataFrame) -> DataFrame:
         F.when(is_select & aliased, select_name).otherwise("").alias("alias_name"),
     )
     tidy = raw.select("*", N.collapse_spaces(F.col("raw_expr")).alias("expr"))
-    return tidy.select(
+    result = tidy.select(
         "query_id",
         "parent",
         "stmt_no",
@@ -308,7 +300,16 @@ def assignments(parsed: DataFrame) -> DataFrame:
         "aliased",
         "alias_name",
         N.collapse_spaces(item).alias("item"),
-    ).where("expr <> ''")
+    )
+    facts = computed_once(result).where("expr <> ''")
+    expr = F.col("expr")
+    return facts.select(
+        "*",
+        N.is_literal(expr).alias("is_literal"),
+        N.is_literal_wide(expr).alias("is_literal_wide"),
+        N.qualified_refs(expr).alias("refs"),
+        N.words(expr).alias("words"),
+    )
 
 
 def select_items(assigned: DataFrame) -> DataFrame:

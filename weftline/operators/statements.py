@@ -21,6 +21,7 @@ from ..functions.shape import (
     until,
     unwrap,
 )
+from .spread import computed_once, spread_work
 
 _BLOCK_COMMENT = r"/\*[^*]*+\*++(?:[^*/][^*]*+\*++)*+/"
 _LINE_COMMENT = r"--[^\n]*"
@@ -186,6 +187,7 @@ def statement_catalog(sql_files: DataFrame, profile: str | Profile = "rows") ->
     )
     sql = F.col("sql_query")
     fits = (F.length(sql) <= profile.max_statement_chars) & (sql != "")
+    exploded = spread_work(exploded, "parent", "stmt_no")
     # Texts used by many tests are computed once, in a projection of their own.
     sized = exploded.select(
         statement_id(F.col("parent"), F.col("stmt_no"), sql).alias("query_id"),
@@ -209,7 +211,7 @@ def statement_catalog(sql_files: DataFrame, profile: str | Profile = "rows") ->
         .when(~F.col("anchored"), "UNSUPPORTED_STATEMENT")
         .otherwise("")
     )
-    return body.withColumn("parse_error", truncate_error(code)).select(
+    catalog = body.withColumn("parse_error", truncate_error(code)).select(
         "query_id",
         "parent",
         "stmt_no",
@@ -223,21 +225,22 @@ def statement_catalog(sql_files: DataFrame, profile: str | Profile = "rows") ->
         F.when(F.col("parse_error") == "", "OK").otherwise("PARSE_FAILED").alias("parse_status"),
         "parse_error",
     )
+    return computed_once(catalog)
 
 
-def file_info(statements: DataFrame) -> DataFrame:
+def file_info(statements: DataFrame, profile: str | Profile = "rows") -> DataFrame:
     """Per file: default statement, first failed statement, first INSERT … VALUES.
 
     ``min_by`` combines on the map side, so a file costs one small row per task.
     """
+    real = F.lit(True) if get_profile(profile).multi_row else F.col("sql_query") != ""
     ok = F.col("parse_status") == "OK"
-    order = F.struct((~ok).alias("failed"), "stmt_no")
-    is_values = ok & (F.col("kind") == "INSERT") & F.col("sql_query").rlike(r"(?i)\bVALUES\s*\(")
+    order = F.when(real, F.struct((~ok).alias("failed"), "stmt_no"))
+    is_values = ok & F.col("sql_query").rlike(r"(?is)\AINS(?:ERT)?\b.*\bVALUES\s*\(")
     return statements.groupBy("parent").agg(
         F.min_by("query_id", order).alias("default_id"),
-        F.min_by("query_id", F.when(~ok, F.col("stmt_no"))).alias("failed_id"),
+        F.min_by("query_id", F.when(real & ~ok, F.col("stmt_no"))).alias("failed_id"),
         F.min_by("query_id", F.when(is_values, F.col("stmt_no"))).alias("first_values_id"),
-        F.max("n_statements").alias("n_statements"),
     )
 
 
