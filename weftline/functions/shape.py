@@ -13,7 +13,11 @@ from pyspark.sql import functions as F
 
 from .names import bare_table, strip
 
-MAX_DEPTH = 48
+MAX_DEPTH = 32
+
+# Word characters one by one: a class of single characters is a table lookup in
+# the regex engine, a class of ranges is a chain of tests.
+WORD = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ_abcdefghijklmnopqrstuvwxyz"
 
 QUOTED = r"""'(?:[^']++|'')*+'|"[^"]*+\""""
 
@@ -58,7 +62,7 @@ def until(stop: str, also: str = "") -> str:
     ``also`` adds single characters that end the text as well.
     """
     return (
-        rf"""(?:[^\w()'"{also}]++|\b(?!(?:{stop})\b)\w++|{QUOTED}|{GROUP})*+"""
+        rf"""(?:[^{WORD}()'"{also}]++|\b(?!(?:{stop})\b)[{WORD}]++|{QUOTED}|{GROUP})*+"""
     )
 
 
@@ -81,7 +85,9 @@ def is_balanced(text: Column) -> Column:
 
 def clause(text: Column, word: str, stop: str) -> Column:
     """Depth-0 text after the first ``word`` up to one of the ``stop`` words."""
-    return cut(text, rf"\A{until(word)}\b(?:{word})\b({until(stop)})")
+    found = cut(text, rf"\A{until(word)}\b(?:{word})\b({until(stop)})")
+    first = word.split("\\")[0]
+    return F.when(F.upper(text).contains(first), found).otherwise("")
 
 
 def split_top(text: Column) -> Column:
@@ -114,7 +120,8 @@ def nested_selects(text: Column) -> Column:
 
 def union_branches(text: Column) -> Column:
     """SELECT texts between depth-0 set operators."""
-    pieces = cut_all(text, rf"""((?:[^\w()'"]++|\b(?!(?:{SET_OPS})\b)\w++|{QUOTED}|{GROUP})++)""")
+    run = rf"""[^{WORD}()'"]++|\b(?!(?:{SET_OPS})\b)[{WORD}]++|{QUOTED}|{GROUP}"""
+    pieces = cut_all(text, f"((?:{run})++)")
     heads = F.transform(
         pieces, lambda p: strip(F.regexp_replace(strip(p), r"(?i)\A(?:ALL|DISTINCT)\b", ""))
     )

@@ -317,7 +317,7 @@ def mentions(parsed: DataFrame, assigned: DataFrame) -> DataFrame:
         )
     )
     rows = selected.unionByName(contexts, allowMissingColumns=True)
-    return rows.withColumn("token", F.explode(text_tokens(F.col("match"))))
+    return rows.withColumn("token", F.explode_outer(text_tokens(F.col("match"))))
 
 
 def lookup_mentions(names: DataFrame, texts: DataFrame, hot: DataFrame) -> DataFrame:
@@ -333,7 +333,7 @@ def lookup_mentions(names: DataFrame, texts: DataFrame, hot: DataFrame) -> DataF
     grams = (
         texts.select("parent", "kind", "token")
         .distinct()
-        .withColumn("gram", F.explode(token_grams(F.col("token"))))
+        .withColumn("gram", F.explode_outer(token_grams(F.col("token"))))
     )
     words = (
         salt_rows(probe, hot, "source")

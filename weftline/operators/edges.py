@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..constants import DEDUP_KEY, EDGE_COLUMNS, NULL_LITERAL, Profile, get_profile
 from ..functions import names as N
 from .candidates import ASSIGNED, READ_COLUMN, TARGET_TABLE
+from .spread import computed_once
 
 
 def check_columns(edges: DataFrame) -> DataFrame:
@@ -62,7 +63,9 @@ def normalize_edges(edges: DataFrame, profile: str | Profile = "rows") -> DataFr
     )
     look: dict[str, Column] = {"src_col": F.col("src_name"), "tgt_col": F.col("tgt_name")}
     if rows:
-        look = {k: N.last_part(v) for k, v in look.items()}
+        look = {
+            k: N.last_dotted(F.replace(v, F.lit('"'), F.lit(""))) for k, v in look.items()
+        }
     return named.withColumns(look).withColumn("is_static", N.is_static_marker(F.col("src_name")))
 
 
@@ -104,4 +107,4 @@ def with_gate(edges: DataFrame, profile: str | Profile = "rows") -> DataFrame:
         .when(F.col("kind") == READ_COLUMN, F.col("src_col"))
         .otherwise("")
     )
-    return keyed.withColumn("key", key)
+    return computed_once(keyed.withColumn("key", key))

@@ -386,7 +386,7 @@ def column_reads(parsed: DataFrame, assigned: DataFrame) -> DataFrame:
         "rank",
         "pos",
         F.col("shown_named").alias("shown"),
-        F.explode(column_tokens(F.col("expr"))).alias("column_name"),
+        F.explode_outer(column_tokens(F.col("expr"))).alias("column_name"),
     )
     inputs = parsed.select(
         "query_id", "parent", "stmt_no", F.posexplode("inputs").alias("pos", "text")
@@ -397,9 +397,9 @@ def column_reads(parsed: DataFrame, assigned: DataFrame) -> DataFrame:
         F.lit(6).alias("rank"),
         F.col("pos").cast("long").alias("pos"),
         F.lit("Read as input column").alias("shown"),
-        F.explode(column_tokens(F.col("text"))).alias("column_name"),
+        F.explode_outer(column_tokens(F.col("text"))).alias("column_name"),
     )
-    return named.unionByName(inputs)
+    return named.unionByName(inputs).where("column_name IS NOT NULL")
 
 
 def wildcards(parsed: DataFrame, assigned: DataFrame) -> DataFrame:

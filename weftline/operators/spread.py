@@ -1,4 +1,8 @@
-"""Helpers for hot keys, shared intermediate results and expressions computed once."""
+"""Helpers for hot keys, shared intermediate results and expressions computed once.
+
+The package explodes computed arrays with ``explode_outer``: for a plain explode
+the optimizer adds a filter on the array's size below, which computes it twice.
+"""
 
 from __future__ import annotations
 
@@ -89,6 +93,6 @@ def copy_to_salts(df: DataFrame, hot: DataFrame) -> DataFrame:
     last = F.coalesce("salts", F.lit(1)) - 1
     return (
         df.join(F.broadcast(hot), "parent", "left")
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), last)))
+        .withColumn("salt", F.explode_outer(F.sequence(F.lit(0), last)))
         .drop("salts")
     )

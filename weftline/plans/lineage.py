@@ -20,6 +20,7 @@ from ..operators.spread import (
     hot_parents,
     materialize,
     salt_rows,
+    spread_work,
 )
 from . import reports as R
 
@@ -50,22 +51,42 @@ def build_corpus(sql_files: DataFrame, profile: Profile) -> Corpus:
     return Corpus(parsed, materialize(SH.assignments(parsed), "assignments"))
 
 
-def prepare_edges(edges: DataFrame, profile: Profile) -> DataFrame:
-    """Checked edges in normal form with their gate; ``rows`` also drops repeated edges."""
+def clean_edges(edges: DataFrame, profile: Profile) -> DataFrame:
     raw = E.with_row_id(E.check_columns(edges)).select("row_id", *EDGE_COLUMNS)
-    if profile.multi_row:
-        raw = E.dedup_edges(E.sanitize_edges(raw))
+    return E.sanitize_edges(raw) if profile.multi_row else raw
+
+
+def prepare_edges(edges: DataFrame, profile: Profile, dedup: bool = True) -> DataFrame:
+    """Checked edges in normal form with their gate; ``rows`` also drops repeated edges."""
+    raw = clean_edges(edges, profile)
+    if profile.multi_row and dedup:
+        raw = E.dedup_edges(raw)
     return E.with_gate(E.normalize_edges(raw, profile), profile)
 
 
+def source_names(edges: DataFrame, profile: Profile) -> DataFrame:
+    """Distinct source names per parent to look for in texts: ``(parent, kind, source)``."""
+    gated = prepare_edges(edges, profile, dedup=False)
+    return (
+        gated.where(F.col("gate").isin("normal", "static", "read") & (F.col("src_col") != ""))
+        .select("parent", _mention_kind().alias("kind"), F.col("src_col").alias("source"))
+        .distinct()
+    )
+
+
+def _mention_kind() -> Column:
+    return F.when(F.col("gate") == "read", C.CONTEXT).otherwise(C.MENTIONED)
+
+
 def join_lookups(
     edges: DataFrame, corpus: Corpus, profile: Profile, rows_per_salt: int = ROWS_PER_SALT
 ) -> DataFrame:
     """Edges with the facts of their file and the entries of their lookup key.
 
-    All joins share ``(parent, salt)``; hot parents are split by the salt.
+    All joins share ``(parent, salt)``; hot parents are split by the salt. One
+    shuffle on these two columns serves every join (see :mod:`weftline.session`).
     """
-    hot = hot_parents(edges, rows_per_salt)
+    hot = hot_parents(clean_edges(edges, profile), rows_per_salt)
     parsed, assigned = corpus
     info = ST.file_info(parsed, profile)
     if not profile.multi_row:
@@ -76,20 +97,19 @@ def join_lookups(
         lookup = C.lookup_concat(parsed, assigned, hot, profile)
     else:
         lookup = C.lookup_rows(parsed, assigned, hot)
-    salted = salt_rows(edges, hot, "row_id")
+    prepared = prepare_edges(edges, profile)
+    salted = spread_work(salt_rows(prepared, hot, "row_id"), "parent", "salt")
     with_file = salted.join(
         copy_to_salts(info.withColumn("has_file", F.lit(True)), hot), ["parent", "salt"], "left"
     )
     joined = with_file.join(lookup, C.LOOKUP_KEY, "left")
     if not profile.multi_row:
         return joined
-    names = edges.where(F.col("gate").isin("normal", "static", "read") & (F.col("src_col") != ""))
-    wanted = F.when(F.col("gate") == "read", C.CONTEXT).otherwise(C.MENTIONED)
-    names = names.select("parent", wanted.alias("kind"), F.col("src_col").alias("source")).distinct()
+    names = source_names(edges, profile)
     found = C.lookup_mentions(names, C.mentions(parsed, assigned), hot).withColumnsRenamed(
         {"kind": "m_kind", "key": "m_key"}
     )
-    probe = joined.withColumn("m_kind", wanted).withColumn("m_key", F.col("src_col"))
+    probe = joined.withColumn("m_kind", _mention_kind()).withColumn("m_key", F.col("src_col"))
     return probe.join(found, ["parent", "salt", "m_kind", "m_key"], "left")
 
 
@@ -217,7 +237,7 @@ def resolve(scored: DataFrame, profile: Profile) -> DataFrame:
         outcome = _outcome_concat(profile)
     given = [F.coalesce(c, F.lit("")).alias(c) for c in EDGE_COLUMNS]
     rows = scored.withColumn("outcome", outcome).select(
-        "row_id", *given, F.explode("outcome").alias("o")
+        "row_id", *given, F.explode_outer("outcome").alias("o")
     )
     return rows.select(
         "row_id",
@@ -235,16 +255,18 @@ def scored_edges(
 ) -> DataFrame:
     """Edges with all scored candidates and the best tier, before the gates decide."""
     profile = get_profile(profile)
-    prepared = prepare_edges(edges, profile)
     corpus = build_corpus(referenced_files(edges, sql_files), profile)
-    return with_candidates(join_lookups(prepared, corpus, profile, rows_per_salt), profile)
+    return with_candidates(join_lookups(edges, corpus, profile, rows_per_salt), profile)
 
 
 def candidates(edges: DataFrame, sql_files: DataFrame, profile: str | Profile) -> DataFrame:
     """One row per scored candidate of an edge."""
-    return scored_edges(edges, sql_files, profile).select(
-        "row_id", F.explode("candidates").alias("c")
-    ).select("row_id", "c.query_id", "c.logic", "c.score", "c.is_literal", "c.ord")
+    exploded = scored_edges(edges, sql_files, profile).select(
+        "row_id", F.explode_outer("candidates").alias("c")
+    )
+    return exploded.where("c IS NOT NULL").select(
+        "row_id", "c.query_id", "c.logic", "c.score", "c.is_literal", "c.ord"
+    )
 
 
 def dim_table(
@@ -281,9 +303,9 @@ def extract_lineage(
     ``sql_files`` has ``parent`` and ``sql_text``, one row per file.
     """
     profile = get_profile(profile)
-    prepared = prepare_edges(edges, profile)
+    E.check_columns(edges)
     corpus = build_corpus(referenced_files(edges, sql_files), profile)
-    joined = join_lookups(prepared, corpus, profile, rows_per_salt)
+    joined = join_lookups(edges, corpus, profile, rows_per_salt)
     fact = resolve(with_candidates(joined, profile), profile).select("row_id", *FACT_COLUMNS)
     dim = dim_table(edges, sql_files, corpus.parsed, profile)
     summary = R.logic_counts(fact) if profile.multi_row else R.summary_metrics(fact)
