@@ -11,6 +11,9 @@ SETTINGS = {
     # Rows cost far more CPU than their bytes suggest: keep partitions small.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    # The JVM only interprets methods above 8000 bytes; many-regex projections run
+    # faster as split projections than as one such method.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Edges hashed by (parent, salt) stay in place for joins on more columns.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
