@@ -70,7 +70,7 @@ _READS = [
 
 # m, rank, searched text, text of the rows rules; select items are added from tpl
 _CONTEXTS = [
-    (2, 3, "WHERE CC = 'Y'", "Read in WHERE filter: CC = 'Y'"),
+    (2, 3, "WHERE CC = 'Y'", "Read in WHERE filter: WHERE CC = 'Y'"),
     (4, 4, "GROUP BY s.XA", "Read in GROUP BY clause"),
     (7, 2, "s.XA = t.CA", "Read in JOIN ON condition: s.XA = t.CA"),
     (7, 5, "ORDER BY s.XB", "Read in ORDER BY clause"),

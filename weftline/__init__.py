@@ -1,0 +1,19 @@
+"""Column lineage explained by the SQL that produces it, as Spark jobs."""
+
+from .constants import CONCAT, PATCHED, PROFILES, ROWS, Profile
+from .plans.lineage import Corpus, Lineage, candidates, extract_lineage, scored_edges
+from .plans.pipeline import run_pipeline
+
+__all__ = [
+    "CONCAT",
+    "PATCHED",
+    "PROFILES",
+    "ROWS",
+    "Corpus",
+    "Lineage",
+    "Profile",
+    "candidates",
+    "extract_lineage",
+    "run_pipeline",
+    "scored_edges",
+]

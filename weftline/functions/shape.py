@@ -196,11 +196,11 @@ def split_alias(item: Column) -> tuple[Column, Column, Column]:
     expr = (
         F.when(explicit, cut(item, named, 1)).when(implicit, cut(item, loose, 1)).otherwise(item)
     )
-    plain = item.rlike(rf"(?is)\A{NAME}\z") | (item == "*")
+    plain = item.rlike(rf"(?is)\A{NAME}\z")
     name = (
         F.when(explicit, F.upper(cut(item, named, 2)))
         .when(implicit, last_word)
-        .when(plain & ~item.rlike(r"\A\d"), F.upper(F.regexp_extract(item, r"([^.\s]+)\s*\z", 1)))
+        .when(plain & ~item.rlike(r"\A\d"), F.upper(cut(item, rf"({IDENT})\z")))
         .otherwise("")
     )
     return expr, F.replace(name, F.lit('"'), F.lit("")), explicit | implicit

@@ -28,23 +28,33 @@ def with_row_id(edges: DataFrame) -> DataFrame:
     )
 
 
+def with_file_key(edges: DataFrame) -> DataFrame:
+    """``parent`` becomes the key of the SQL file, ``parent_given`` keeps the input's text."""
+    check_columns(edges)
+    key = "parent_key" if "parent_key" in edges.columns else "parent"
+    keyed = with_row_id(edges).withColumn("parent_given", F.col("parent"))
+    return keyed.withColumn("parent", F.col(key)).select("row_id", *EDGE_COLUMNS, "parent_given")
+
+
 def dedup_edges(edges: DataFrame) -> DataFrame:
     """First row (by ``row_id``) per tables, columns and parent.
 
     An aggregate, not a window: copies are merged on the map side, so a large
     group of copies never meets in one task.
     """
-    others = [c for c in edges.columns if c not in DEDUP_KEY and c != "row_id"]
+    key = DEDUP_KEY + [c for c in edges.columns if c == "parent_given"]
+    others = [c for c in edges.columns if c not in key and c != "row_id"]
     first = F.min(F.struct("row_id", *others)).alias("first")
     return (
-        edges.groupBy(*DEDUP_KEY)
+        edges.groupBy(*key)
         .agg(first)
-        .select("first.row_id", *DEDUP_KEY, *[f"first.{c}" for c in others])
+        .select("first.row_id", *key, *[f"first.{c}" for c in others])
     )
 
 
 def sanitize_edges(edges: DataFrame) -> DataFrame:
-    return edges.withColumns({c: N.sanitize(F.col(c)) for c in EDGE_COLUMNS})
+    texts = [c for c in edges.columns if c in EDGE_COLUMNS or c == "parent_given"]
+    return edges.withColumns({c: N.sanitize(F.col(c)) for c in texts})
 
 
 def normalize_edges(edges: DataFrame, profile: str | Profile = "rows") -> DataFrame:

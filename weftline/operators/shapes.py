@@ -24,8 +24,14 @@ SET, MERGE_SET, MERGE_INSERT, INSERT_SELECT, VALUES, SELECT = (
 )
 FAILED = "FAILED"
 _SELECT_KINDS = ["SELECT", "CTAS", "VIEW"]
+# Words of expressions that are never column names.
+_EXPRESSION_WORDS = [
+    "ALL", "AND", "ASC", "BETWEEN", "CASE", "DESC", "DISTINCT", "ELSE", "END", "ESCAPE", "EXISTS",
+    "FROM", "GROUP", "IN", "IS", "JOIN", "LIKE", "NOT", "NULL", "ON", "OR", "ORDER", "OVER",
+    "PARTITION", "SELECT", "THEN", "WHEN", "WHERE",
+]
 _UNIT = "struct<clause:string,branch_no:int,cols:string,items:string>"
-_CTX = "struct<rank:int,top_level:boolean,text:string,match:string,shown:string>"
+_CTX = "struct<rank:int,top_level:boolean,text:string,match:string,shown:string,shown_named:string>"
 
 
 def _unit(clause: str | Column, branch_no: Column, cols: Column, items: Column) -> Column:
@@ -175,7 +181,8 @@ def parse_statements(statements: DataFrame) -> DataFrame:
             top.alias("top_level"),
             tidy.alias("text"),
             F.concat(F.lit(word), tidy).alias("match"),
-            (F.lit(fixed) if fixed else F.concat(F.lit(shown), tidy)).alias("shown"),
+            (F.lit(fixed) if fixed else F.concat(F.lit(shown + word), tidy)).alias("shown"),
+            (F.lit(fixed) if fixed else F.concat(F.lit(shown), tidy)).alias("shown_named"),
         )
 
     top = kind.isin(_SELECT_KINDS)
@@ -355,7 +362,7 @@ def read_contexts(parsed: DataFrame, assigned: DataFrame) -> DataFrame:
         "c.top_level",
         "c.match",
         "c.shown",
-        F.col("c.shown").alias("shown_named"),
+        "c.shown_named",
         F.col("c.text").alias("expr"),
     )
     return projections.unionByName(clauses)
@@ -366,12 +373,8 @@ def column_tokens(text: Column) -> Column:
     pattern = (
         rf"{S.QUOTED}|(?i:\bAS\s+{S.IDENT})|(?:\b\w+\s*\.\s*)*+\b([A-Za-z_]\w*+)(?!\s*[(.])"
     )
-    return F.array_distinct(
-        F.filter(
-            F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), F.upper),
-            lambda t: t != "",
-        )
-    )
+    found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), F.upper)
+    return F.array_except(found, F.array(*map(F.lit, ["", *_EXPRESSION_WORDS])))
 
 
 def column_reads(parsed: DataFrame, assigned: DataFrame) -> DataFrame:

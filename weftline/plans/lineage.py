@@ -52,8 +52,8 @@ def build_corpus(sql_files: DataFrame, profile: Profile) -> Corpus:
 
 
 def clean_edges(edges: DataFrame, profile: Profile) -> DataFrame:
-    raw = E.with_row_id(E.check_columns(edges)).select("row_id", *EDGE_COLUMNS)
-    return E.sanitize_edges(raw) if profile.multi_row else raw
+    """``rows`` works on sanitized values, ``concat`` on the values as given."""
+    return E.sanitize_edges(edges) if profile.multi_row else edges
 
 
 def prepare_edges(edges: DataFrame, profile: Profile, dedup: bool = True) -> DataFrame:
@@ -235,7 +235,8 @@ def resolve(scored: DataFrame, profile: Profile) -> DataFrame:
         scored = scored.withColumn("has_literal", F.coalesce(any_literal, F.lit(False)))
     else:
         outcome = _outcome_concat(profile)
-    given = [F.coalesce(c, F.lit("")).alias(c) for c in EDGE_COLUMNS]
+    source = {c: "parent_given" if c == "parent" else c for c in EDGE_COLUMNS}
+    given = [F.coalesce(source[c], F.lit("")).alias(c) for c in EDGE_COLUMNS]
     rows = scored.withColumn("outcome", outcome).select(
         "row_id", *given, F.explode_outer("outcome").alias("o")
     )
@@ -255,6 +256,7 @@ def scored_edges(
 ) -> DataFrame:
     """Edges with all scored candidates and the best tier, before the gates decide."""
     profile = get_profile(profile)
+    edges = E.with_file_key(edges)
     corpus = build_corpus(referenced_files(edges, sql_files), profile)
     return with_candidates(join_lookups(edges, corpus, profile, rows_per_salt), profile)
 
@@ -300,10 +302,11 @@ def extract_lineage(
     """Explain every edge by the expression that fills its target column.
 
     ``edges`` has the seven input columns and optionally a unique ``row_id``;
-    ``sql_files`` has ``parent`` and ``sql_text``, one row per file.
+    ``sql_files`` has ``parent`` and ``sql_text``, one row per file. Where the
+    edges write paths in other ways, a column ``parent_key`` names the file.
     """
     profile = get_profile(profile)
-    E.check_columns(edges)
+    edges = E.with_file_key(edges)
     corpus = build_corpus(referenced_files(edges, sql_files), profile)
     joined = join_lookups(edges, corpus, profile, rows_per_salt)
     fact = resolve(with_candidates(joined, profile), profile).select("row_id", *FACT_COLUMNS)

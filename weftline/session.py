@@ -14,6 +14,8 @@ SETTINGS = {
     # The JVM only interprets methods above 8000 bytes; many-regex projections run
     # faster as split projections than as one such method.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Plans have thousands of small expressions; skip recording a call site for each.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Edges hashed by (parent, salt) stay in place for joins on more columns.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
