@@ -20,6 +20,7 @@ from weftline.operators import candidates as C  # noqa: E402
 from weftline.operators import edges as E  # noqa: E402
 from weftline.operators import shapes as SH  # noqa: E402
 from weftline.operators import statements as ST  # noqa: E402
+from weftline.operators.spread import spread_work  # noqa: E402
 from weftline.plans import lineage as L  # noqa: E402
 from weftline.plans import reports as R  # noqa: E402
 
@@ -35,7 +36,7 @@ def _files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _catalog(spark: SparkSession, sf: str, profile: str = "rows") -> DataFrame:
-    return ST.statement_catalog(_files(spark, sf), profile)
+    return ST.statement_catalog(spread_work(_files(spark, sf), "parent"), profile)
 
 
 def _parsed(spark: SparkSession, sf: str) -> DataFrame:
@@ -248,6 +249,12 @@ def row_class(spark: SparkSession, sf: str) -> DataFrame:
     return R.class_counts(_lineage(spark, sf).fact)
 
 
+def dim_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs of the catalog put together have one row per statement again."""
+    dims = [ST.dim_rows(_catalog(spark, sf, p), p) for p in ("rows", "concat")]
+    return ST.dedup_dim(dims[0].unionByName(dims[1])).select("query_uuid", "file_path")
+
+
 def fact_dim_join(spark: SparkSession, sf: str) -> DataFrame:
     result = _lineage(spark, sf)
     return (
@@ -323,6 +330,7 @@ def queries() -> dict[str, Query]:
         "row_class": row_class,
         "parse_status_counts": lambda s, d: R.parse_status_counts(_lineage(s, d).dim),
         "dim_rows": lambda s, d: _lineage(s, d).dim,
+        "dim_dedup": dim_dedup,
         "edges_per_file": lambda s, d: R.edges_per_file(_edges(s, d)),
         "fact_dim_join": fact_dim_join,
         "warnings": lambda s, d: _lineage(s, d).warnings,

@@ -421,6 +421,7 @@ SELECT k, CAST(grp AS int) AS pos, trim(string_agg(CASE WHEN cut THEN '' ELSE c
         "SELECT parse_status, count(*) AS n FROM dim GROUP BY 1", _ST, _ED, _DIM
     ),
     "dim_rows": _sql("SELECT * FROM dim", _ST, _ED, _DIM),
+    "dim_dedup": _sql("SELECT query_id AS query_uuid, parent AS file_path FROM st", _ST),
     "edges_per_file": _sql("SELECT parent, count(*) AS n FROM ed GROUP BY parent", _ED),
     "fact_dim_join": _sql(
         "SELECT parse_status, parse_error, count(*) AS n FROM fact JOIN dim USING (query_uuid) GROUP BY 1, 2",

@@ -81,6 +81,7 @@ def score_rows(
     alias: Column,
     source_table: Column,
     source_col: Column,
+    plain_source: Column | None = None,
 ) -> Column:
     """``rows`` rule: qualifiers on the source column decide; 0 means another table's column."""
 
@@ -96,7 +97,7 @@ def score_rows(
     open_ref = (alias == "") & F.exists(on_source, lambda r: r["q"] != source_table)
     names_table = (
         (source_table != "")
-        & ~((source_col != "") & N.has_word(words, expr, source_col))
+        & ~((source_col != "") & N.has_word(words, expr, source_col, plain_source))
         & N.has_word(words, expr, source_table)
     )
     qualified = F.size(refs) > 0
@@ -128,7 +129,9 @@ def leading_alias_fits(
 
 
 
-ROW_ENTRY = ["stmt_no", "query_id", "expr", "target_table", "is_literal", "refs", "words", "tables"]
+ROW_ENTRY = [
+    "stmt_no", "query_id", "expr", "target_table", "is_literal", "tail", "refs", "words", "tables",
+]
 
 
 def _can_assign(kind: Column, clause: Column) -> Column:
@@ -385,8 +388,9 @@ def candidates_rows(entries: Column, profile: Profile) -> Column:
             alias,
             src_tbl,
             src,
+            F.col("plain_source"),
         )
-        logic = F.when(N.is_passthrough(e["expr"], src, alias), profile.passthrough).otherwise(
+        logic = F.when(N.tail_is_source(e["tail"], src, alias), profile.passthrough).otherwise(
             e["expr"]
         )
         return _candidate(e["query_id"], logic, score, e["is_literal"], e["stmt_no"])

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..constants import DEDUP_KEY, EDGE_COLUMNS, NULL_LITERAL, Profile, get_profile
 from ..functions import names as N
 from .candidates import ASSIGNED, READ_COLUMN, TARGET_TABLE
-from .spread import computed_once
 
 
 def check_columns(edges: DataFrame) -> DataFrame:
@@ -58,17 +57,23 @@ def sanitize_edges(edges: DataFrame) -> DataFrame:
 
 
 def normalize_edges(edges: DataFrame, profile: str | Profile = "rows") -> DataFrame:
-    """Add names in comparable form: ``src_name``/``tgt_name`` as written,
+    """Add names in comparable form to cleaned edges: ``src_name``/``tgt_name`` as written,
     ``src_col``/``tgt_col`` as looked up, ``src_tbl``/``tgt_tbl``, ``rel``, ``is_static``."""
     rows = get_profile(profile).multi_row
-    table = N.bare_table if rows else N.bare_table_ident
+
+    def upper(name: str) -> Column:
+        return F.upper(N.strip(F.coalesce(name, F.lit(""))))
+
+    def table(name: str) -> Column:
+        return N.bare_name(upper(name)) if rows else N.bare_table_ident(F.col(name))
+
     named = edges.withColumns(
         {
             "src_name": N.normalize_column(F.col("source_column")),
             "tgt_name": N.normalize_column(F.col("target_column")),
-            "src_tbl": table(F.coalesce("source_table", F.lit(""))),
-            "tgt_tbl": table(F.coalesce("target_table", F.lit(""))),
-            "rel": N.normalize(F.col("relation")),
+            "src_tbl": table("source_table"),
+            "tgt_tbl": table("target_table"),
+            "rel": upper("relation"),
         }
     )
     look: dict[str, Column] = {"src_col": F.col("src_name"), "tgt_col": F.col("tgt_name")}
@@ -117,4 +122,4 @@ def with_gate(edges: DataFrame, profile: str | Profile = "rows") -> DataFrame:
         .when(F.col("kind") == READ_COLUMN, F.col("src_col"))
         .otherwise("")
     )
-    return computed_once(keyed.withColumn("key", key))
+    return keyed.withColumn("key", key)

@@ -314,6 +314,7 @@ def assignments(parsed: DataFrame) -> DataFrame:
         "*",
         N.is_literal(expr).alias("is_literal"),
         N.is_literal_wide(expr).alias("is_literal_wide"),
+        N.dotted_tail(expr).alias("tail"),
         N.qualified_refs(expr).alias("refs"),
         N.words(expr).alias("words"),
     )

@@ -21,7 +21,7 @@ from ..functions.shape import (
     until,
     unwrap,
 )
-from .spread import computed_once, spread_work
+from .spread import computed_once
 
 _BLOCK_COMMENT = r"/\*[^*]*+\*++(?:[^*/][^*]*+\*++)*+/"
 _LINE_COMMENT = r"--[^\n]*"
@@ -187,7 +187,6 @@ def statement_catalog(sql_files: DataFrame, profile: str | Profile = "rows") ->
     )
     sql = F.col("sql_query")
     fits = (F.length(sql) <= profile.max_statement_chars) & (sql != "")
-    exploded = spread_work(exploded, "parent", "stmt_no")
     # Texts used by many tests are computed once, in a projection of their own.
     sized = exploded.select(
         statement_id(F.col("parent"), F.col("stmt_no"), sql).alias("query_id"),
@@ -257,6 +256,12 @@ def dim_rows(statements: DataFrame, profile: str | Profile = "rows") -> DataFram
     )
 
 
+def dedup_dim(dim: DataFrame) -> DataFrame:
+    """One row per statement id. Not needed for :func:`statement_catalog`, whose ids
+    are distinct as long as a file comes once; needed for several runs put together."""
+    return dim.dropDuplicates(["query_uuid"])
+
+
 def missing_files(edges: DataFrame, sql_files: DataFrame) -> DataFrame:
     """Distinct non-empty parents of the edges that have no SQL file."""
     return (

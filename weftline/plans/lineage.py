@@ -16,6 +16,7 @@ from ..operators import shapes as SH
 from ..operators import statements as ST
 from ..operators.spread import (
     ROWS_PER_SALT,
+    computed_once,
     copy_to_salts,
     hot_parents,
     materialize,
@@ -42,7 +43,9 @@ class Corpus(NamedTuple):
 
 
 def referenced_files(edges: DataFrame, sql_files: DataFrame) -> DataFrame:
-    return sql_files.join(edges.select("parent").distinct(), "parent", "left_semi")
+    """Files that some edge names, hashed by file for the text work that follows."""
+    parents = edges.select("parent").distinct()
+    return spread_work(sql_files, "parent").join(parents, "parent", "left_semi")
 
 
 def build_corpus(sql_files: DataFrame, profile: Profile) -> Corpus:
@@ -56,19 +59,20 @@ def clean_edges(edges: DataFrame, profile: Profile) -> DataFrame:
     return E.sanitize_edges(edges) if profile.multi_row else edges
 
 
-def prepare_edges(edges: DataFrame, profile: Profile, dedup: bool = True) -> DataFrame:
-    """Checked edges in normal form with their gate; ``rows`` also drops repeated edges."""
+def prepare_edges(edges: DataFrame, profile: Profile) -> DataFrame:
+    """Edges in normal form with their gate; ``rows`` also drops repeated edges."""
     raw = clean_edges(edges, profile)
-    if profile.multi_row and dedup:
+    if profile.multi_row:
         raw = E.dedup_edges(raw)
-    return E.with_gate(E.normalize_edges(raw, profile), profile)
+    return computed_once(E.with_gate(E.normalize_edges(raw, profile), profile))
 
 
 def source_names(edges: DataFrame, profile: Profile) -> DataFrame:
     """Distinct source names per parent to look for in texts: ``(parent, kind, source)``."""
-    gated = prepare_edges(edges, profile, dedup=False)
+    gated = E.with_gate(E.normalize_edges(clean_edges(edges, profile), profile), profile)
     return (
-        gated.where(F.col("gate").isin("normal", "static", "read") & (F.col("src_col") != ""))
+        computed_once(gated.select("parent", "gate", "src_col"))
+        .where(F.col("gate").isin("normal", "static", "read") & (F.col("src_col") != ""))
         .select("parent", _mention_kind().alias("kind"), F.col("src_col").alias("source"))
         .distinct()
     )
@@ -105,6 +109,7 @@ def join_lookups(
     joined = with_file.join(lookup, C.LOOKUP_KEY, "left")
     if not profile.multi_row:
         return joined
+    joined = joined.withColumn("plain_source", N.is_plain_word(F.col("src_col")))
     names = source_names(edges, profile)
     found = C.lookup_mentions(names, C.mentions(parsed, assigned), hot).withColumnsRenamed(
         {"kind": "m_kind", "key": "m_key"}
@@ -128,7 +133,7 @@ def with_candidates(joined: DataFrame, profile: Profile) -> DataFrame:
             F.filter(F.coalesce("entries", F.array()), lambda e: e["usable"]),
             F.coalesce("mention_entries", F.array()),
         )
-        pool = joined.withColumn("pool", F.when(scans, F.array_distinct(entries)))
+        pool = joined.withColumn("pool", F.when(scans, entries))
         value = C.candidates_rows(F.col("pool"), profile)
         prefer = F.lit(False)
     else:
@@ -288,9 +293,7 @@ def dim_table(
                 "parse_error", F.lit("WORKER_EXCEPTION: no file name")
             )
         )
-    return dim.select(*[N.sanitize(F.col(c)).alias(c) for c in DIM_COLUMNS]).dropDuplicates(
-        ["query_uuid"]
-    )
+    return dim.select(*[N.sanitize(F.col(c)).alias(c) for c in DIM_COLUMNS])
 
 
 def extract_lineage(
