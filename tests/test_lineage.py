@@ -251,3 +251,45 @@ def test_resolve_parent(spark):
     )
     got = [r["x"] for r in df.select(resolve_parent(F.col("p"), "file:///base/x/").alias("x")).collect()]
     assert got == ["a/b.sql", "a.sql", "a.sql", "/else/a.sql", "a/b/c.sql"]
+
+
+def exchange_lines(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "Exchange" in line]
+
+
+@pytest.mark.parametrize("profile", ["rows", "concat"])
+def test_edges_meet_all_lookups_in_one_place(spark, tmp_path, profile):
+    """Every big join runs on data hashed by (parent, salt); nothing is hashed by parent alone
+    but aggregates, and nothing but the list of hot parents is broadcast."""
+    path = str(tmp_path / "edges")
+    edge_frame(spark, *[c[0] for c in CASES]).write.parquet(path)
+    limits = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    for key in limits:
+        spark.conf.set(key, "-1")
+    try:
+        lines = exchange_lines(extract_lineage(spark.read.parquet(path), sql_files(spark), profile).fact)
+    finally:
+        for key in limits:
+            spark.conf.unset(key)
+    placed = [x for x in lines if "REPARTITION_BY_NUM" in x]
+    assert placed and all("parent#" in x and "salt#" in x for x in placed)
+    assert len(placed) == (4 if profile == "rows" else 3)
+    assert not any("SinglePartition" in x and "ENSURE" in x for x in lines)
+
+
+def test_one_file_with_a_third_of_all_edges(spark):
+    """Brute force over a hot file: every edge's outcome equals that of a lone edge."""
+    hot = [("src", f"x{i % 40}", "tgt", f"c{i % 50}", "WRITE", "hot.sql") for i in range(400)]
+    cold = [("src", "x", "tgt", "c1", "WRITE", f"f{i}.sql") for i in range(800)]
+    body = "INSERT INTO tgt (" + ", ".join(f"c{i}" for i in range(50)) + ") SELECT "
+    body += ", ".join(f"s.x{i}" if i % 2 else f"f(s.x{i}, {i})" for i in range(50)) + " FROM src s"
+    files = [("hot.sql", body)] + [(f"f{i}.sql", "UPDATE tgt SET c1 = x + 1") for i in range(400)]
+    corpus = spark.createDataFrame(files, "parent string, sql_text string")
+    fact = extract_lineage(edge_frame(spark, *hot, *cold), corpus, "concat", rows_per_salt=50).fact
+    got = {r["row_id"]: r["transformation_logic"] for r in fact.collect()}
+    for i in range(400):
+        c, x = i % 50, i % 40
+        want = f"f(s.x{c}, {c})" if c % 2 == 0 else f"s.x{c}"
+        assert got[i] == ("Direct pass through" if want == f"s.x{x}" else want)
+    assert all(got[400 + i] == ("x + 1" if i < 400 else "TRANSFORM_NOT_FOUND") for i in range(800))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..constants import Profile
 from ..functions import names as N
 from . import shapes as SH
-from .spread import copy_to_salts, salt_rows
+from .spread import copy_to_salts, salt_rows, spread_work
 
 LOOKUP_KEY = ["parent", "salt", "kind", "key"]
 ASSIGNED, TARGET_TABLE, READ_COLUMN = "T", "W", "R"
@@ -129,6 +129,11 @@ def leading_alias_fits(
 
 
 
+def placed(rows: DataFrame, hot: DataFrame) -> DataFrame:
+    """Lookup rows hashed as the edges are, so that grouping and join need no other shuffle."""
+    return spread_work(copy_to_salts(rows, hot), "parent", "salt")
+
+
 ROW_ENTRY = [
     "stmt_no", "query_id", "expr", "target_table", "is_literal", "tail", "refs", "words", "tables",
 ]
@@ -157,7 +162,7 @@ def lookup_rows(parsed: DataFrame, assigned: DataFrame, hot: DataFrame) -> DataF
         F.struct("stmt_no", "query_id").alias("first"),
     )
     return (
-        copy_to_salts(by_column.unionByName(by_table, allowMissingColumns=True), hot)
+        placed(by_column.unionByName(by_table, allowMissingColumns=True), hot)
         .groupBy(*LOOKUP_KEY)
         .agg(
             F.min("first").alias("first"),
@@ -272,7 +277,7 @@ def lookup_concat(
         by_table, allowMissingColumns=True
     )
     return (
-        copy_to_salts(rows, hot)
+        placed(rows, hot)
         .groupBy(*LOOKUP_KEY)
         .agg(
             F.min("first").alias("first"),
@@ -350,7 +355,7 @@ def lookup_mentions(names: DataFrame, texts: DataFrame, hot: DataFrame) -> DataF
         .select("parent", "kind", F.col("source").alias("key"), "entry", "context")
     )
     return (
-        copy_to_salts(hits, hot)
+        placed(hits, hot)
         .groupBy(*LOOKUP_KEY)
         .agg(
             F.collect_set("entry").alias("mention_entries"),

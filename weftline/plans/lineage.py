@@ -103,9 +103,10 @@ def join_lookups(
         lookup = C.lookup_rows(parsed, assigned, hot)
     prepared = prepare_edges(edges, profile)
     salted = spread_work(salt_rows(prepared, hot, "row_id"), "parent", "salt")
-    with_file = salted.join(
-        copy_to_salts(info.withColumn("has_file", F.lit(True)), hot), ["parent", "salt"], "left"
-    )
+    # Both sides are hashed by both columns on purpose: left to itself, the planner
+    # may hash the edges by the parent alone and undo the salt.
+    facts = copy_to_salts(info.withColumn("has_file", F.lit(True)), hot)
+    with_file = salted.join(spread_work(facts, "parent", "salt"), ["parent", "salt"], "left")
     joined = with_file.join(lookup, C.LOOKUP_KEY, "left")
     if not profile.multi_row:
         return joined
