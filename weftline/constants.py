@@ -51,7 +51,26 @@ MISSING_SOURCE = "MISSING_SOURCE_COLUMN"
 MISSING_TARGET = "MISSING_TARGET_COLUMN"
 MISSING_BOTH = "MISSING_BOTH_COLUMNS"
 PROCESSING_ERROR = "PROCESSING_ERROR"
-EXTRACT_ERROR = "EXTRACT_ERROR"
+
+# Texts that describe reads and wildcards.
+READ_PROJECTION = "Read in SELECT projection: "
+READ_NAMED_PROJECTION = "Read in SELECT (aliased as "
+READ_JOIN = "Read in JOIN ON condition: "
+READ_WHERE = "Read in WHERE filter: "
+READ_GROUP_BY = "Read in GROUP BY clause"
+READ_ORDER_BY = "Read in ORDER BY clause"
+READ_INPUT = "Read as input column"
+WILDCARD_ROWS = "Wildcard SELECT * - all source columns"
+WILDCARD_ALL = "Wildcard SELECT * — all source columns"
+WILDCARD_DELETE = "Wildcard DELETE — affects all rows"
+
+# Output names of the ``concat`` rules.
+CONCAT_OUTPUTS = [
+    "Enterprise_Fact_Lineage",
+    "Enterprise_Dim_Queries",
+    "Summary",
+    "lineage_extractor",
+]
 
 # Limits per file and per statement, and of an error text.
 MAX_STATEMENTS = 500

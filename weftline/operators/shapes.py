@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import constants as K
 from ..constants import MAX_STATEMENT_CHARS
 from ..functions import names as N
 from ..functions import shape as S
@@ -173,8 +174,8 @@ def parse_statements(statements: DataFrame) -> DataFrame:
     top_branches = F.size(F.filter("parts", lambda p: p["body_no"] == 0))
 
     def context(rank: int, text: Column, top: Column, word: str = "") -> Column:
-        shown = {2: "Read in JOIN ON condition: ", 3: "Read in WHERE filter: "}.get(rank)
-        fixed = {4: "Read in GROUP BY clause", 5: "Read in ORDER BY clause"}.get(rank)
+        shown = {2: K.READ_JOIN, 3: K.READ_WHERE}.get(rank)
+        fixed = {4: K.READ_GROUP_BY, 5: K.READ_ORDER_BY}.get(rank)
         tidy = N.collapse_spaces(text)
         return F.struct(
             F.lit(rank).alias("rank"),
@@ -338,17 +339,17 @@ def read_contexts(parsed: DataFrame, assigned: DataFrame) -> DataFrame:
         (F.col("unit_no").cast("long") * MAX_STATEMENT_CHARS + F.col("ord")).alias("pos"),
         F.lit(True).alias("top_level"),
         F.col("item").alias("match"),
-        F.concat(F.lit("Read in SELECT projection: "), F.col("item")).alias("shown"),
+        F.concat(F.lit(K.READ_PROJECTION), F.col("item")).alias("shown"),
         F.when(
             F.col("aliased"),
             F.concat(
-                F.lit("Read in SELECT (aliased as "),
+                F.lit(K.READ_NAMED_PROJECTION),
                 F.col("alias_name"),
                 F.lit("): "),
                 F.col("expr"),
             ),
         )
-        .otherwise(F.concat(F.lit("Read in SELECT projection: "), F.col("item")))
+        .otherwise(F.concat(F.lit(K.READ_PROJECTION), F.col("item")))
         .alias("shown_named"),
         "expr",
     )
@@ -400,7 +401,7 @@ def column_reads(parsed: DataFrame, assigned: DataFrame) -> DataFrame:
         "stmt_no",
         F.lit(6).alias("rank"),
         F.col("pos").cast("long").alias("pos"),
-        F.lit("Read as input column").alias("shown"),
+        F.lit(K.READ_INPUT).alias("shown"),
         F.explode_outer(column_tokens(F.col("text"))).alias("column_name"),
     )
     return named.unionByName(inputs).where("column_name IS NOT NULL")
@@ -421,7 +422,7 @@ def wildcards(parsed: DataFrame, assigned: DataFrame) -> DataFrame:
         "stmt_no",
         "target_table",
         F.lit(0).alias("prio"),
-        F.when(F.col("item") == "*", "Wildcard SELECT * — all source columns")
+        F.when(F.col("item") == "*", K.WILDCARD_ALL)
         .otherwise(
             F.concat(
                 F.lit("Wildcard SELECT "), table, F.lit(".* — all columns from "), table
@@ -435,6 +436,6 @@ def wildcards(parsed: DataFrame, assigned: DataFrame) -> DataFrame:
         "stmt_no",
         "target_table",
         F.lit(1).alias("prio"),
-        F.lit("Wildcard DELETE — affects all rows").alias("description"),
+        F.lit(K.WILDCARD_DELETE).alias("description"),
     )
     return described.unionByName(deletes)

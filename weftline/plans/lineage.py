@@ -174,7 +174,7 @@ def _outcome_rows(profile: Profile) -> Column:
         .when(gate == "null", _one(K.NULL_LITERAL, null_id))
         .when(
             gate == "wildcard",
-            _one("Wildcard SELECT * - all source columns", F.coalesce(first_id, default)),
+            _one(K.WILDCARD_ROWS, F.coalesce(first_id, default)),
         )
         .when((gate == "read") & (F.size("contexts") > 0), reads)
         .when(gate == "missing_both", _one(K.MISSING_BOTH, default))

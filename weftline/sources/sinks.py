@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import DIM_COLUMNS, FACT_COLUMNS, Profile, get_profile
+from ..constants import CONCAT_OUTPUTS, DIM_COLUMNS, FACT_COLUMNS, Profile, get_profile
 from ..plans.lineage import Lineage
 
 
@@ -26,7 +26,7 @@ def output_paths(input_csv: str, output_dir: str, profile: str | Profile = "rows
         stem = stem.rsplit(".", 1)[0] if "." in stem[1:] else stem
         names = [f"{stem}_{x}" for x in ("transformation_extract", "queries_info", "summary", "logs")]
     else:
-        names = ["Enterprise_Fact_Lineage", "Enterprise_Dim_Queries", "Summary", "lineage_extractor"]
+        names = CONCAT_OUTPUTS
     return OutputPaths(*[f"{root}/{n}" for n in names])
 
 
