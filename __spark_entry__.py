@@ -24,6 +24,15 @@ from weftline.operators.spread import spread_work  # noqa: E402
 from weftline.plans import lineage as L  # noqa: E402
 from weftline.plans import reports as R  # noqa: E402
 
+try:
+    import weftline.llm.queries as corpus  # noqa: E402
+except ImportError:
+    corpus = None
+try:
+    import corpus_pipeline  # noqa: E402
+except ImportError:
+    corpus_pipeline = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -269,6 +278,13 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["fact_rows"](spark, "/root/testdata/sf0.001")
 
 
+def _corpus_queries() -> dict[str, Query]:
+    found = dict(corpus.QUERIES) if corpus else {}
+    if corpus_pipeline:
+        found["pipeline"] = corpus_pipeline.run
+    return found
+
+
 def queries() -> dict[str, Query]:
     return {
         "edges_normalized": edges_normalized,
@@ -334,8 +350,12 @@ def queries() -> dict[str, Query]:
         "edges_per_file": lambda s, d: R.edges_per_file(_edges(s, d)),
         "fact_dim_join": fact_dim_join,
         "warnings": lambda s, d: _lineage(s, d).warnings,
+        **_corpus_queries(),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(oracles.ORACLES)
+    found = dict(oracles.ORACLES) | (corpus.SQL if corpus else {})
+    if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
