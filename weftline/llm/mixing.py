@@ -4,7 +4,7 @@ A source with target ``T`` and ``S`` words wants ``T / S`` copies of each docume
 part is certain. The fractional part is settled by pairwise duels: two documents move word
 mass between them at random, each keeping its expected copies, until one of them is settled.
 The sum of words is unchanged by a duel, so a source misses its target by less than the one
-document that is left at the end.
+document that is left at the end. Long documents duel first, which leaves a short one.
 
 Duels run as a reduction tree: buckets of about ``FAN`` documents each fold to one unsettled
 document, these again meet in buckets of at most ``FAN``, up to one per source. A source that
@@ -22,7 +22,7 @@ from weftline.llm.common import stored, with_row_id, word_count
 
 FAN = 64
 WEIGHTS = (3.0, 1.0, 2.0)
-_ITEM = "struct<h:bigint,doc_id:bigint,row_file:bigint,row_no:bigint,size:bigint,p:double>"
+_ITEM = "struct<size:bigint,h:bigint,doc_id:bigint,row_file:bigint,row_no:bigint,p:double>"
 _DONE = "array<struct<doc_id:bigint,row_file:bigint,row_no:bigint,size:bigint,up:int>>"
 _STATE = f"struct<cur:{_ITEM},done:{_DONE}>"
 
@@ -91,7 +91,7 @@ def _duel(cur: Column, new: Column, level: int, seed: int) -> tuple[Column, Colu
     )
     left = F.when(cur_settled, new).otherwise(cur)
     left = F.struct(
-        *[left[f].alias(f) for f in ("h", "doc_id", "row_file", "row_no", "size")],
+        *[left[f].alias(f) for f in ("size", "h", "doc_id", "row_file", "row_no")],
         F.greatest(F.lit(0.0), F.least(F.lit(1.0), left_p)).alias("p"),
     ).cast(_ITEM)
     return settled, outcome, left
@@ -150,7 +150,7 @@ def mix_rows(
         .withColumn("buckets", F.ceil(F.col("n") / FAN))
     )
     plays = (F.col("size") > 0) & (F.col("p") > 0)
-    item = F.struct("h", "doc_id", "row_file", "row_no", "size", "p").cast(_ITEM)
+    item = F.struct("size", "h", "doc_id", "row_file", "row_no", "p").cast(_ITEM)
     bucket = F.pmod(F.xxhash64(F.lit(seed), "h"), F.col("buckets"))
     todo = start.where(plays).select("source", bucket.alias("bucket"), item.alias("item"))
     largest = targets.agg(F.max("n")).first()[0] or 0
@@ -158,7 +158,7 @@ def mix_rows(
     while True:
         folded = stored(
             todo.groupBy("source", "bucket")
-            .agg(F.array_sort(F.collect_list("item")).alias("items"))
+            .agg(F.sort_array(F.collect_list("item"), asc=False).alias("items"))
             .select("source", "bucket", _fold(F.col("items"), level, seed).alias("f"))
             .select("source", "bucket", "f.cur", "f.done"),
             "mix-level",
