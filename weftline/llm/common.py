@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,3 +62,12 @@ def word_count(text: Column) -> Column:
     """Number of words of a text, 0 for null."""
     pieces = F.array_remove(F.split(text, BLANKS), "")
     return F.coalesce(F.size(pieces), F.lit(0)).cast("long")
+
+
+def ship(module: str) -> None:
+    """Send the module's functions to Python workers by value, so that executors need no copy
+    of this package on their path."""
+    register_pickle_by_value(sys.modules[module])
+
+
+ship(__name__)

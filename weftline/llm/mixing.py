@@ -4,7 +4,8 @@ A source with target ``T`` and ``S`` words wants ``T / S`` copies of each docume
 part is certain. The fractional part is settled by pairwise duels: two documents move word
 mass between them at random, each keeping its expected copies, until one of them is settled.
 The sum of words is unchanged by a duel, so a source misses its target by less than the one
-document that is left at the end. Long documents duel first, which leaves a short one.
+document that is left at the end. Long documents duel first, which tends to leave a short one,
+and what a coin for the last one makes wrong is worked off on others.
 
 Duels run as a reduction tree: buckets of about ``FAN`` documents each fold to one unsettled
 document, these again meet in buckets of at most ``FAN``, up to one per source. A source that
@@ -112,6 +113,33 @@ def _fold(items: Column, level: int, seed: int) -> Column:
     return F.aggregate(F.slice(items, 2, F.greatest(F.size(items) - 1, F.lit(0))), start, step)
 
 
+def _finish(cur: Column, done: Column, seed: int) -> Column:
+    """All rows of a source's last fold, its last document settled by a coin.
+
+    The coin's error is worked off on documents of the same fold, the longest first: one is
+    turned over where that brings the source's words nearer to the target. Coin errors have
+    mean 0, so that documents are turned up and down alike.
+    """
+    coin = (unit_hash(cur["h"], F.lit(seed)) < cur["p"]).cast("int")
+    last = F.struct(
+        *[cur[f].alias(f) for f in ("doc_id", "row_file", "row_no", "size")], coin.alias("up")
+    )
+    kind = f"struct<error:double,rows:{_DONE}>"
+    start = F.struct((coin - cur["p"]) * cur["size"], F.array(last).cast(_DONE)).cast(kind)
+
+    def step(acc: Column, x: Column) -> Column:
+        sign = F.when(x["up"] == 1, 1).otherwise(-1)
+        turn = 2 * acc["error"] * sign > x["size"]
+        row = F.struct(
+            *[x[f].alias(f) for f in ("doc_id", "row_file", "row_no", "size")],
+            F.when(turn, 1 - x["up"]).otherwise(x["up"]).alias("up"),
+        )
+        error = acc["error"] - F.when(turn, sign * x["size"]).otherwise(0)
+        return F.struct(error, F.concat(acc["rows"], F.array(row).cast(_DONE))).cast(kind)
+
+    return F.aggregate(done, start, step, lambda acc: acc["rows"])
+
+
 def mix_rows(
     docs: DataFrame,
     weights: Sequence[float] = WEIGHTS,
@@ -152,38 +180,31 @@ def mix_rows(
     plays = (F.col("size") > 0) & (F.col("p") > 0)
     item = F.struct("size", "h", "doc_id", "row_file", "row_no", "p").cast(_ITEM)
     bucket = F.pmod(F.xxhash64(F.lit(seed), "h"), F.col("buckets"))
-    todo = start.where(plays).select("source", bucket.alias("bucket"), item.alias("item"))
+    todo = start.where(plays).select("source", "buckets", bucket.alias("bucket"), item.alias("item"))
     largest = targets.agg(F.max("n")).first()[0] or 0
     buckets, level, done = max(1, -(-largest // FAN)), 0, []
     while True:
         folded = stored(
-            todo.groupBy("source", "bucket")
+            todo.groupBy("source", "buckets", "bucket")
             .agg(F.sort_array(F.collect_list("item"), asc=False).alias("items"))
-            .select("source", "bucket", _fold(F.col("items"), level, seed).alias("f"))
-            .select("source", "bucket", "f.cur", "f.done"),
+            .withColumn("f", _fold(F.col("items"), level, seed))
+            .select("source", "buckets", "bucket", "f.cur", "f.done"),
             "mix-level",
         )
-        done.append(folded.select("source", F.inline("done")))
+        rows = F.when(F.col("buckets") == 1, _finish(F.col("cur"), F.col("done"), seed))
+        done.append(folded.select("source", F.inline(rows.otherwise(F.col("done")))))
         if buckets == 1:
             break
-        todo = folded.select(
+        todo = folded.where("buckets > 1").select(
             "source",
+            F.ceil(F.col("buckets") / FAN).alias("buckets"),
             F.floor(F.col("bucket") / FAN).cast("long").alias("bucket"),
             F.col("cur").alias("item"),
         )
         buckets, level = -(-buckets // FAN), level + 1
-    last = folded.select("source", "cur.*").select(
-        "source",
-        "doc_id",
-        "row_file",
-        "row_no",
-        "size",
-        (unit_hash(F.col("h"), F.lit(seed)) < F.col("p")).cast("int").alias("up"),
-    )
-    still = start.where(~plays).select(
+    rows = start.where(~plays).select(
         "source", "doc_id", "row_file", "row_no", "size", F.lit(0).alias("up")
     )
-    rows = still.unionByName(last)
     for part in done:
         rows = rows.unionByName(part)
     copies = F.when(F.col("size") > 0, F.floor("share").cast("int") + F.col("up")).otherwise(0)

@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weftline.llm import mixing, secrets, sharding
+from weftline.llm import mixing, secrets, sharding, warc
 from weftline.llm.common import table
 
 
+def op1_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_digest(table(spark, sf_dir, "pages"))
+
+
 def op3_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=40)
 
@@ -23,8 +27,24 @@ def op9_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc_archive": op1_warc_archive,
     "op3_rendezvous_sharding": op3_rendezvous_sharding,
     "op8_pivotal_mix": op8_pivotal_mix,
     "op9_entropy_secrets": op9_entropy_secrets,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_warc_archive": """
+        WITH p AS (
+          SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
+                 sha256(coalesce(html, '')) AS payload_digest FROM pages
+        ), f AS (
+          SELECT payload_digest, min(page_id) AS first_id FROM p
+          WHERE payload_bytes >= 100 GROUP BY payload_digest
+        )
+        SELECT page_id, payload_bytes, p.payload_digest,
+               CASE WHEN first_id IS NULL OR first_id = page_id THEN 'response'
+                    ELSE 'revisit' END AS record_type,
+               CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+        FROM p LEFT JOIN f USING (payload_digest)
+    """,
+}
