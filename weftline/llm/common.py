@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.cloudpickle import register_pickle_by_value
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,13 +50,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def with_row_id(df: DataFrame, name: str = "rows") -> DataFrame:
     """Columns ``doc`` (all input columns, so that no name clashes), ``row_file`` and
     ``row_no``; the last two identify a row of a stored table."""
-    if not df.inputFiles():
-        df = stored(df, name)
-    return df.select(
+    columns = [
         F.struct("*").alias("doc"),
         F.xxhash64(F.col("_metadata.file_name")).alias("row_file"),
         F.col("_metadata.row_index").alias("row_no"),
-    )
+    ]
+    try:
+        return df.select(columns)
+    except AnalysisException:  # not a stored table
+        return stored(df, name).select(columns)
 
 
 def word_count(text: Column) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weftline.llm import mixing, secrets, sharding, warc
+from weftline.llm import mixing, ngram_join, secrets, sharding, warc
 from weftline.llm.common import table
 
 
@@ -26,11 +26,16 @@ def op9_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(table(spark, sf_dir, "documents"))
 
 
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_archive": op1_warc_archive,
     "op3_rendezvous_sharding": op3_rendezvous_sharding,
     "op8_pivotal_mix": op8_pivotal_mix,
     "op9_entropy_secrets": op9_entropy_secrets,
+    "op10_ngram_jaccard": op10_ngram_jaccard,
 }
 SQL: dict[str, str] = {
     "op1_warc_archive": """
