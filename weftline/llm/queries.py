@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weftline.llm import mixing, ngram_join, secrets, sharding, warc
+from weftline.llm import (
+    line_labels,
+    mixing,
+    ngram_join,
+    quality_trees,
+    secrets,
+    sharding,
+    warc,
+)
 from weftline.llm.common import table
 
 
@@ -18,6 +26,18 @@ def op3_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=40)
 
 
+def op5_crf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_labels.label_lines(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
+def op6_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_trees.classify(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
 def op8_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
@@ -33,6 +53,8 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_archive": op1_warc_archive,
     "op3_rendezvous_sharding": op3_rendezvous_sharding,
+    "op5_crf_lines": op5_crf_lines,
+    "op6_boosted_quality": op6_boosted_quality,
     "op8_pivotal_mix": op8_pivotal_mix,
     "op9_entropy_secrets": op9_entropy_secrets,
     "op10_ngram_jaccard": op10_ngram_jaccard,

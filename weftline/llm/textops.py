@@ -144,4 +144,81 @@ def pieces(column: pa.Array, lower: bool = False) -> Iterator[Piece]:
         i = j
 
 
+def sums(mask: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Number of set bytes in each span."""
+    run = np.zeros(len(mask) + 1, np.int64)
+    np.cumsum(mask, out=run[1:])
+    return run[ends] - run[starts]
+
+
+def per_document(first: np.ndarray) -> np.ndarray:
+    """Document number of each item, from the documents' first items."""
+    return np.repeat(np.arange(len(first) - 1), np.diff(first))
+
+
+def repeated_words(words: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
+    """Per word, whether it is in an n-word window that its document holds twice or more."""
+    doc = per_document(first)
+    covered = np.zeros(len(words) + 1, np.int64)
+    grams = ngram_hashes(words, n)
+    at = np.flatnonzero(doc[: len(grams)] == doc[n - 1 : n - 1 + len(grams)])
+    if len(at):
+        own = grams[at] ^ mix64(doc[at].astype(np.uint64) + np.uint64(1))
+        _, inverse, times = np.unique(own, return_inverse=True, return_counts=True)
+        again = at[times[inverse] > 1]
+        np.add.at(covered, again, 1)
+        np.add.at(covered, again + n, -1)
+    return np.cumsum(covered)[:-1] > 0
+
+
+@dataclass
+class Lines:
+    """The lines of a piece: byte spans without line feeds, each document's first line, and
+    each line's first word."""
+
+    starts: np.ndarray
+    ends: np.ndarray
+    first: np.ndarray
+    word: np.ndarray
+
+    @property
+    def n_words(self) -> np.ndarray:
+        return np.diff(self.word)
+
+
+def find_lines(piece: Piece) -> Lines:
+    """Every document has one line more than line feeds; an empty one has an empty line."""
+    breaks = np.flatnonzero(piece.data == 10)
+    before = np.searchsorted(breaks, piece.offsets)
+    first = before + np.arange(len(piece) + 1)
+    n = len(breaks) + len(piece)
+    starts, ends = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    of_break = np.arange(len(breaks)) + np.searchsorted(piece.offsets, breaks, "right") - 1
+    starts[first[:-1]] = piece.offsets[:-1]
+    starts[of_break + 1] = breaks + 1
+    ends[first[1:] - 1] = piece.offsets[1:]
+    ends[of_break] = breaks
+    return Lines(starts, ends, first, np.searchsorted(piece.starts, np.r_[starts, len(piece.data)]))
+
+
+def repeated_lines(piece: Piece, lines: Lines) -> np.ndarray:
+    """Per line, whether it has a word and equals an earlier line of its document."""
+    again = np.zeros(len(lines.starts), bool)
+    at = np.flatnonzero(lines.n_words > 0)
+    if len(at):
+        own = span_hashes(_BYTE_VALUE[piece.data], lines.starts[at], lines.ends[at], _BASE)
+        own = own ^ mix64(per_document(lines.first)[at].astype(np.uint64) + np.uint64(1))
+        _, earliest = np.unique(own, return_index=True)
+        again[at] = True
+        again[at[earliest]] = False
+    return again
+
+
+def distinct_words(words: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Number of different words of each span of words."""
+    doc = per_document(first)
+    _, at = np.unique(words ^ mix64(doc.astype(np.uint64) + np.uint64(1)), return_index=True)
+    return np.bincount(doc[at], minlength=len(first) - 1)
+
+
 ship(__name__)
