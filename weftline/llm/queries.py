@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from weftline.llm import (
+    decontaminate,
     line_labels,
     mixing,
     ngram_join,
@@ -22,6 +23,12 @@ def op1_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_digest(table(spark, sf_dir, "pages"))
 
 
+def op2_align_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaked_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 def op3_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=40)
 
@@ -52,6 +59,7 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_archive": op1_warc_archive,
+    "op2_align_leaks": op2_align_leaks,
     "op3_rendezvous_sharding": op3_rendezvous_sharding,
     "op5_crf_lines": op5_crf_lines,
     "op6_boosted_quality": op6_boosted_quality,
