@@ -14,6 +14,7 @@ from weftline.llm import (
     quality_trees,
     secrets,
     sharding,
+    token_files,
     warc,
 )
 from weftline.llm.common import table
@@ -33,6 +34,13 @@ def op3_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=40)
 
 
+def op4_range_coded_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_files.token_digest(table(spark, sf_dir, "documents"), str(path))
+
+
 def op5_crf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_labels.label_lines(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -61,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_archive": op1_warc_archive,
     "op2_align_leaks": op2_align_leaks,
     "op3_rendezvous_sharding": op3_rendezvous_sharding,
+    "op4_range_coded_ids": op4_range_coded_ids,
     "op5_crf_lines": op5_crf_lines,
     "op6_boosted_quality": op6_boosted_quality,
     "op8_pivotal_mix": op8_pivotal_mix,

@@ -13,11 +13,9 @@ from __future__ import annotations
 
 import gzip
 import hashlib
-import io
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
@@ -37,13 +35,12 @@ from pyspark.sql.datasource import (
 )
 
 from weftline.llm.common import new_path, ship
+from weftline.llm.files import FilePack, open_file, pack_files
 
 END = "\r\n\r\n"
 PAGE_URN = "urn:weftline:page:"
 #: Payloads shorter than this are always stored.
 LEAST_SHARED = 100
-#: Files are packed into partitions up to this size; a larger file is one partition.
-PARTITION_BYTES = 64 << 20
 
 SCHEMA = (
     "record_id string, record_type string, page_id bigint, target_uri string, "
@@ -156,17 +153,6 @@ def write_warc(pages: DataFrame, path: str, compression: str = "none") -> None:
 # ---------------------------------------------------------------- reading
 
 
-class _Files(InputPartition):
-    def __init__(self, paths: list[str]) -> None:
-        self.paths = paths
-
-
-def _file_system(path: str) -> tuple[pafs.FileSystem, str]:
-    if "://" not in path and not path.startswith("file:"):
-        return pafs.LocalFileSystem(), path
-    return pafs.FileSystem.from_uri(path)
-
-
 def _test(f: Filter):
     """(column, test of a value) of a filter that the header decides, else None.
     A comparison with null is not true."""
@@ -281,35 +267,14 @@ class WarcReader(DataSourceReader):
                 yield f
 
     def partitions(self) -> list[InputPartition]:
-        fs, root = _file_system(self.path)
-        info = fs.get_file_info(root)
-        if info.type == pafs.FileType.File:
-            found = [info]
-        else:
-            found = fs.get_file_info(pafs.FileSelector(root, recursive=True))
-        files = sorted(
-            (x.size, x.path)
-            for x in found
-            if x.type == pafs.FileType.File and x.size and not x.base_name.startswith(("_", "."))
-        )
-        packs: list[list[str]] = []
-        room = 0
-        for size, path in files:
-            if size > room:
-                packs.append([])
-                room = PARTITION_BYTES
-            packs[-1].append(path)
-            room -= size
-        return [_Files(p) for p in packs] or [_Files([])]
-
-    def read(self, partition: _Files) -> Iterator[pa.RecordBatch]:
-        fs, _ = _file_system(self.path)
+        return pack_files(self.path)
+
+    def read(self, partition: FilePack) -> Iterator[pa.RecordBatch]:
         tests = [_test(f) for f in self.filters]
         rows: list[dict] = []
         held = 0
         for path in partition.paths:
-            with fs.open_input_file(path) as raw:
-                stream = io.BufferedReader(raw, 1 << 20)
+            with open_file(self.path, path) as stream:
                 source = gzip.GzipFile(fileobj=stream) if path.endswith(".gz") else stream
                 for record in read_records(source, tests, self.payload):
                     rows.append(record)
