@@ -12,6 +12,7 @@ from weftline.llm import (
     mixing,
     ngram_join,
     quality_trees,
+    repeats,
     secrets,
     sharding,
     token_files,
@@ -53,6 +54,10 @@ def op6_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_range_coded_ids": op4_range_coded_ids,
     "op5_crf_lines": op5_crf_lines,
     "op6_boosted_quality": op6_boosted_quality,
+    "op7_suffix_repeats": op7_suffix_repeats,
     "op8_pivotal_mix": op8_pivotal_mix,
     "op9_entropy_secrets": op9_entropy_secrets,
     "op10_ngram_jaccard": op10_ngram_jaccard,
