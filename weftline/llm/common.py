@@ -61,6 +61,18 @@ def with_row_id(df: DataFrame, name: str = "rows") -> DataFrame:
         return stored(df, name).select(columns)
 
 
+#: Tables below this size are broadcast to documents, which then need no shuffle.
+BROADCAST_BYTES = 48 << 20
+
+
+def beside(docs: DataFrame, rows: DataFrame, size: int, how: str = "inner") -> DataFrame:
+    """Join ``rows`` of about ``size`` bytes to documents by row: broadcast if that is small,
+    else by a shuffle."""
+    if size <= BROADCAST_BYTES:
+        rows = F.broadcast(rows)
+    return docs.join(rows, ["row_file", "row_no"], how)
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text, 0 for null."""
     pieces = F.array_remove(F.split(text, BLANKS), "")

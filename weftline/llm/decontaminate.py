@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftline.llm.common import ship, stored, with_row_id
+from weftline.llm.common import beside, ship, stored, with_row_id
 from weftline.llm.textops import (
     LOWER,
     PIECE_BYTES,
@@ -300,11 +300,12 @@ def find_leaks(
             F.max(F.col("last") - F.col("place") + F.col("length") + reach).alias("end"),
         )
     )
+    spans = stored(spans, "leak-spans")
     wanted = spans.groupBy("row_file", "row_no").agg(
         F.collect_list(F.struct("item", "start", "end")).alias("wanted")
     )
     passages = (
-        named.join(wanted, ["row_file", "row_no"])
+        beside(named, wanted, 60 * spans.count())
         .select("text", "row_file", "row_no", "doc_id", "wanted")
         .mapInArrow(
             _passages,
@@ -324,7 +325,8 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
     """The documents that hold no benchmark item, with their columns."""
     named = with_row_id(docs)
     leaks = find_leaks(named, benchmark, **options).select("row_file", "row_no").distinct()
-    return named.join(leaks, ["row_file", "row_no"], "left_anti").select("doc.*")
+    leaks = stored(leaks, "leak-rows")
+    return beside(named, leaks, 40 * leaks.count(), "left_anti").select("doc.*")
 
 
 ship(__name__)

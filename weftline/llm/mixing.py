@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftline.llm.common import stored, with_row_id, word_count
+from weftline.llm.common import beside, stored, with_row_id, word_count
 
 FAN = 64
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -78,7 +78,7 @@ def _duel(cur: Column, new: Column, level: int, seed: int) -> tuple[Column, Colu
     p, q, a, b = cur["p"], new["p"], cur["size"], new["size"]
     up = F.least(1 - p, q * b / a)
     down = F.least(p, (1 - q) * b / a)
-    draw = unit_hash(cur["h"], new["h"], cur["row_no"], new["row_no"], F.lit(level), F.lit(seed))
+    draw = unit_hash(cur["h"], new["h"], F.lit(level), F.lit(seed))
     raised = draw * (up + down) < down
     # Whichever bound was met first tells which of the two is settled.
     cur_settled = F.when(raised, 1 - p <= q * b / a).otherwise(p <= (1 - q) * b / a)
@@ -151,7 +151,8 @@ def mix_rows(
     target, copies``. ``docs`` comes from :func:`with_row_id`.
 
     Documents without words get 0 copies, as they change no total. Null doc_ids and repeated
-    rows are rows like others. An empty table gives an empty result.
+    rows are rows like others; the draws depend on doc_ids and texts alone, not on files. An
+    empty table gives an empty result.
     """
     sized = stored(
         docs.select(
@@ -231,8 +232,9 @@ def mixed_corpus(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each document as often as it was drawn, with the columns of ``docs``."""
     named = with_row_id(docs)
     drawn = mix_rows(named, **options).where("copies > 0").select("row_file", "row_no", "copies")
+    drawn = stored(drawn, "mix-drawn")
     return (
-        named.join(drawn, ["row_file", "row_no"])
+        beside(named, drawn, 40 * drawn.count())
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
         .select("doc.*")
     )

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftline.llm.common import ship, stored, with_row_id
+from weftline.llm.common import beside, ship, stored, with_row_id
 from weftline.llm.textops import (
     _BASE,
     _BYTE_VALUE,
@@ -49,8 +49,6 @@ PIECE_BYTES = 1 << 20
 SORT_BYTES = 1 << 20
 #: Classes of one gram that are sorted in one task.
 MOST_CLASSES = 4_000
-#: Tables below this size are broadcast to the documents, which then need no shuffle.
-BROADCAST_BYTES = 48 << 20
 
 # ---------------------------------------------------------------- suffix sorting
 
@@ -360,13 +358,6 @@ def _merge(length: int):
     return run
 
 
-def _beside(docs: DataFrame, rows: DataFrame, bytes_: int, how: str) -> DataFrame:
-    """Join ``rows`` to documents by row: broadcast if small, else by a shuffle."""
-    if bytes_ <= BROADCAST_BYTES:
-        rows = F.broadcast(rows)
-    return docs.join(rows, ["row_file", "row_no"], how)
-
-
 def repeated_ranges(named: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """(row_file, row_no, ranges) of documents (text, doc, row_file, row_no) with repeats:
     disjoint byte ranges as begin, end, begin, end, ..."""
@@ -388,7 +379,7 @@ def repeated_ranges(named: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     wanted = leaders.groupBy("row_file", "row_no").agg(
         F.collect_list(F.struct("gram", "place", "heavy")).alias("wanted")
     )
-    texts = _beside(named, wanted, 40 * leaders.count(), "inner")
+    texts = beside(named, wanted, 40 * leaders.count(), "inner")
     texts = texts.select("text", "doc", "row_file", "row_no", "wanted").mapInArrow(
         _span_texts(length), _TEXTS
     )
@@ -460,7 +451,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     ranges = repeated_ranges(named.select("text", "doc", "row_file", "row_no"), length)
     size = ranges.agg(F.coalesce(F.sum(F.size("ranges") * 8 + 40), F.lit(0))).first()[0]
     return (
-        _beside(named, ranges, size, "left")
+        beside(named, ranges, size, "left")
         .select("text", "doc_id", "ranges")
         .mapInArrow(_remove, _OUT)
     )
