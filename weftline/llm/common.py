@@ -55,10 +55,12 @@ def with_row_id(df: DataFrame, name: str = "rows") -> DataFrame:
         F.xxhash64(F.col("_metadata.file_name")).alias("row_file"),
         F.col("_metadata.row_index").alias("row_no"),
     ]
-    try:
-        return df.select(columns)
-    except AnalysisException:  # not a stored table
-        return stored(df, name).select(columns)
+    if df.inputFiles():
+        try:
+            return df.select(columns)
+        except AnalysisException:  # more than one table
+            pass
+    return stored(df, name).select(columns)
 
 
 #: Tables below this size are broadcast to documents, which then need no shuffle.

@@ -2,13 +2,15 @@
 
 1. The items' n-grams are found in all documents. A bitmap of fixed size keeps most other
    n-grams of the corpus out of the join; what passes by chance falls away in it.
-2. An item's seeds are its rare n-grams: those in few documents, and in any case the rarer half
-   of its own, so that an item that leaked into very many documents keeps seeds.
+2. An item's seeds are its rare n-grams: those in few documents, and in any case those not much
+   more frequent than its others, so that an item that leaked into very many documents keeps
+   seeds.
 3. A document that holds a seed of an item gives the passage around its seeds, and local
    alignment of the passage's words with the item's counts matches, replaced, added and
    dropped words. The score is the best alignment's over that of the item with itself.
 
-Words are compared without ASCII case and ASCII punctuation, by 64-bit hashes.
+Words are compared without the case of Latin-1 letters and without ASCII punctuation, by 64-bit
+hashes.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm.common import beside, ship, stored, with_row_id
@@ -33,10 +35,13 @@ from weftline.llm.textops import (
 )
 
 NGRAM = 3
-#: An n-gram in at most this share of all documents is rare.
+#: An n-gram in at most this share of all documents, or in this many, is rare.
 RARE_SHARE = 1e-4
+LEAST_RARE = 10
+#: So is one in at most this many times the documents that hold the item's median n-gram.
+OWN_FACTOR = 4
 #: Least score of a contaminated document.
-LEAST_SCORE = 0.4
+LEAST_SCORE = 0.35
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Bits of the bitmap over the items' n-grams; the size is the same for any benchmark.
 BITMAP_BITS = 1 << 23
@@ -55,6 +60,10 @@ def plain_pieces(column: pa.Array) -> Iterator[Piece]:
         j = int(np.searchsorted(offsets, offsets[i] + PIECE_BYTES, "right")) - 1
         j = min(n, max(j, i + 1))
         part = _PLAIN[data[offsets[i] : offsets[j]]]
+        # Latin-1 capitals: C3 80 to C3 9E, but for the sign C3 97.
+        after = np.flatnonzero(part[:-1] == 0xC3) + 1
+        capital = after[(part[after] >= 0x80) & (part[after] <= 0x9E) & (part[after] != 0x97)]
+        part[capital] += 0x20
         local = offsets[i : j + 1] - offsets[i]
         yield Piece(slice(i, j), part, local, *find_words(part, local))
         i = j
@@ -279,14 +288,14 @@ def find_leaks(
         _document_grams(n, sizes, bitmap), "row_file long, row_no long, gram long, first long, last long"
     )
     seen = stored(seen.join(grams.select("gram").distinct(), "gram", "left_semi"), "leak-seen")
-    # Seeds: rare in the corpus, or among the rarer half of the item's own n-grams.
+    # Seeds: rare in the corpus, or not much more frequent than the item's others.
     holders = seen.groupBy("gram").agg(F.count(F.lit(1)).alias("holders"))
-    limit = max(1.0, rare_share * docs.count())
-    of_item = Window.partitionBy("item")
+    limit = max(LEAST_RARE, rare_share * docs.count())
+    held = stored(grams.join(holders, "gram"), "leak-holders")
+    usual = held.groupBy("item").agg(F.percentile("holders", 0.5).alias("usual"))
     seeds = (
-        grams.join(holders, "gram")
-        .withColumn("rank", F.percent_rank().over(of_item.orderBy("holders")))
-        .where((F.col("holders") <= limit) | (F.col("rank") <= 0.5))
+        held.join(usual, "item")
+        .where((F.col("holders") <= limit) | (F.col("holders") <= OWN_FACTOR * F.col("usual")))
         .join(items.select("item", F.size("words").alias("length")), "item")
         .select("gram", "item", "place", "length")
     )
