@@ -13,7 +13,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracles  # noqa: E402
 import workload  # noqa: E402
-from weftline.constants import FACT_COLUMNS, get_profile  # noqa: E402
+from weftline.constants import FACT_COLUMNS  # noqa: E402
 from weftline.functions import names as N  # noqa: E402
 from weftline.functions import shape as S  # noqa: E402
 from weftline.operators import candidates as C  # noqa: E402
@@ -72,10 +72,8 @@ def _gate(profile: str, *gates: str) -> Query:
     """Outcome of the edges that take one of the gates."""
 
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        rules = get_profile(profile)
-        scored = L.scored_edges(_edges(spark, sf), _files(spark, sf), rules)
-        fact = L.resolve(scored.where(F.col("gate").isin(*gates)), rules)
-        return fact.select("row_id", "transformation_logic", "query_uuid")
+        job = L.prepare(_edges(spark, sf), _files(spark, sf), profile, gates)
+        return L.resolve(job).select("row_id", "transformation_logic", "query_uuid")
 
     return run
 
@@ -128,7 +126,7 @@ def passthrough_flags(spark: SparkSession, sf: str) -> DataFrame:
             "src_col"
         ),
     )
-    joined = edges.join(_assigned(spark, sf).where("target_col = 'CA'"), "parent")
+    joined = edges.join(_assigned(spark, sf), "parent")
     src, alias = F.col("src_col"), C.source_alias(F.col("tables"), F.col("src_tbl"))
     known = F.when(alias == "", F.lit("?")).otherwise(alias)
     return joined.select(
@@ -203,15 +201,17 @@ def statement_tables(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def other_table_aliases(spark: SparkSession, sf: str) -> DataFrame:
-    """Names and aliases of the tables that are not the statement's SRC table."""
-    other = SH.statement_tables(_parsed(spark, sf)).where("name NOT LIKE 'SRC%' AND query_id <> ''")
-    sourced = SH.statement_tables(_parsed(spark, sf)).where("name LIKE 'SRC%'").select("query_id")
-    return (
-        other.join(sourced.distinct(), "query_id", "left_semi")
-        .select("query_id", F.explode(F.array("name", "alias")).alias("other_alias"))
-        .where("other_alias <> ''")
-        .distinct()
+    """Names and aliases of the tables that are not the statement's source table."""
+    key = F.col("k")
+    sources = workload.statements(spark, sf).select(
+        F.concat(F.lit("jobs/f"), F.col("file_no").cast("string"), F.lit(".sql")).alias("parent"),
+        "stmt_no",
+        F.concat(F.lit("SRC_"), (key % 4).cast("string")).alias("source"),
     )
+    joined = _parsed(spark, sf).join(sources, ["parent", "stmt_no"])
+    names = C.other_names(F.col("tables"), F.col("source"))
+    reads_source = F.exists("tables", lambda t: t["name"] == F.col("source"))
+    return joined.where(reads_source).select("query_id", F.explode(names).alias("other_alias"))
 
 
 def failed_statement(spark: SparkSession, sf: str) -> DataFrame:
@@ -246,12 +246,19 @@ def wildcard_contexts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def best_tier(spark: SparkSession, sf: str) -> DataFrame:
-    scored = L.scored_edges(_edges(spark, sf), _files(spark, sf), "rows")
-    return (
-        scored.select("row_id", F.explode_outer("tier").alias("c"))
-        .where("c IS NOT NULL")
-        .select("row_id", "c.query_id", "c.logic", "c.score")
-    )
+    best = L.best_candidates(_edges(spark, sf), _files(spark, sf), "rows")
+    return best.select("row_id", "query_id", "logic", "score")
+
+
+def _wide(profile: str) -> Query:
+    """Outcomes of the statements that the usual templates lack."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        edges, files = workload.wide_edges(spark, sf), workload.wide_files(spark, sf)
+        fact = L.extract_lineage(edges, files, profile).fact
+        return fact.select("row_id", "transformation_logic")
+
+    return run
 
 
 def row_class(spark: SparkSession, sf: str) -> DataFrame:
@@ -313,7 +320,7 @@ def queries() -> dict[str, Query]:
         "missing_file_count": lambda s, d: R.missing_file_report(_edges(s, d), _files(s, d))[0],
         "split_top": split_top,
         "assign_insert_select": _assign(
-            lambda: (F.col("clause") == SH.INSERT_SELECT) & (F.col("branch_no") == 0)
+            lambda: F.col("clause") == SH.INSERT_SELECT
         ),
         "assign_values": _assign(lambda: F.col("clause") == SH.VALUES),
         "assign_update": _assign(lambda: F.col("clause") == SH.SET),
@@ -337,6 +344,8 @@ def queries() -> dict[str, Query]:
         "fact_rows": _fact("rows"),
         "fact_concat": _fact("concat"),
         "fact_patched": _fact("patched"),
+        "wide_rows": _wide("rows"),
+        "wide_concat": _wide("concat"),
         "null_gate": _gate("rows", "null"),
         "wildcard_gate": _gate("concat", "wildcard"),
         "read_gate": _gate("concat", "read"),
@@ -344,8 +353,10 @@ def queries() -> dict[str, Query]:
         "summary_metrics": lambda s, d: _lineage(s, d, "concat").summary,
         "logic_counts": lambda s, d: _lineage(s, d).summary,
         "row_class": row_class,
-        "parse_status_counts": lambda s, d: R.parse_status_counts(_lineage(s, d).dim),
-        "dim_rows": lambda s, d: _lineage(s, d).dim,
+        "parse_status_counts": lambda s, d: R.parse_status_counts(
+            L.statement_dim(_edges(s, d), _files(s, d))
+        ),
+        "dim_rows": lambda s, d: L.statement_dim(_edges(s, d), _files(s, d)),
         "dim_dedup": dim_dedup,
         "edges_per_file": lambda s, d: R.edges_per_file(_edges(s, d)),
         "fact_dim_join": fact_dim_join,

@@ -6,7 +6,7 @@ The expectation comes from the statement templates, not from reading SQL text:
 
 from __future__ import annotations
 
-from workload import TEMPLATES
+from workload import TEMPLATES, WIDE
 
 
 def _quote(text: str) -> str:
@@ -47,7 +47,6 @@ _READS = [
     (0, 1, 1, "XB", "Read in SELECT projection: COALESCE(s.XB, {N})"),
     (0, 1, 2, "XC", "Read in SELECT projection: TRIM(s.XC)"),
     (0, 3, 0, "XD", "Read in WHERE filter: s.XD = {N}"),
-    (1, 6, 1, "CURRENT_DATE", "Read as input column"),
     (2, 3, 0, "CC", "Read in WHERE filter: CC = 'Y'"),
     (2, 6, 1, "CA", "Read as input column"),
     (2, 6, 1, "CB", "Read as input column"),
@@ -275,7 +274,18 @@ _DIM = """dim AS (SELECT query_id AS query_uuid, body AS sql_query, parent AS fi
   UNION ALL SELECT DISTINCT md5(parent || '|0|'), '', parent, 'PARSE_FAILED', 'FILE_NOT_FOUND' FROM ed
   WHERE parent NOT IN (SELECT parent FROM st))"""
 
+
+
+def _wide(rows: list[tuple[int, str]]) -> str:
+    return (
+        "SELECT p_partkey AS row_id, replace(x, '{N}', CAST(p_size AS varchar)) AS transformation_logic "
+        f"FROM part JOIN (VALUES {_values(rows)}) t(c, x) ON c = p_partkey % {len(WIDE)}"
+    )
+
+
 ORACLES = {
+    "wide_rows": _wide([(i, x) for i, case in enumerate(WIDE) for x in case[2]]),
+    "wide_concat": _wide([(i, case[3]) for i, case in enumerate(WIDE)]),
     "edges_normalized": _sql(
         "SELECT row_id, src_name, tgt_name, CASE src_name WHEN 'S.XC' THEN 'XC' ELSE src_name END AS src_col, "
         "tgt_name AS tgt_col, src_tbl, tgt_tbl, src_name IN ('*', 'STATIC VALUE') AS is_static FROM ne",
@@ -295,7 +305,7 @@ ORACLES = {
         "(expr = 's.' || src AND ss = sk) OR expr = src AS direct_aliased FROM "
         "(SELECT o_orderkey, 'jobs/f' || CAST(CAST((o_custkey - o_custkey % 3) / 3 AS bigint) AS varchar) || '.sql' AS p, "
         "['XA', 'XB', 'XC'][CAST(o_orderkey % 3 AS int) + 1] AS src, CAST(o_orderkey % 4 AS varchar) AS sk FROM orders) o "
-        "JOIN asg ON asg.parent = o.p AND target_col = 'CA'",
+        "JOIN asg ON asg.parent = o.p",
         _ST,
         _ASG,
     ),
@@ -361,7 +371,7 @@ c1 AS (SELECT k, i, substr(s, i, 1) AS c, sum(CASE WHEN substr(s, i, 1) = '''' T
 c2 AS (SELECT k, i, c, sum(CASE WHEN q THEN 0 WHEN c = '(' THEN 1 WHEN c = ')' THEN -1 ELSE 0 END) OVER (PARTITION BY k ORDER BY i) AS d, q FROM c1),
 c3 AS (SELECT k, i, c, c = ',' AND d = 0 AND NOT q AS cut, sum(CASE WHEN c = ',' AND d = 0 AND NOT q THEN 1 ELSE 0 END) OVER (PARTITION BY k ORDER BY i) AS grp FROM c2)
 SELECT k, CAST(grp AS int) AS pos, trim(string_agg(CASE WHEN cut THEN '' ELSE c END, '' ORDER BY i)) AS item FROM c3 GROUP BY k, grp""",
-    "assign_insert_select": _assign("clause = 'insert_select' AND branch_no = 0"),
+    "assign_insert_select": _assign("clause = 'insert_select'"),
     "assign_values": _assign("clause = 'values'"),
     "assign_update": _assign("clause = 'set'"),
     "assign_merge": _assign("clause IN ('merge_set', 'merge_insert')"),

@@ -1,12 +1,15 @@
 """The whole job on small hand-written cases, against outcomes worked out by hand."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from weftline import candidates, extract_lineage, run_pipeline
 from weftline.constants import DIM_COLUMNS, EDGE_COLUMNS, FACT_COLUMNS
 from weftline.operators import edges as E
-from weftline.operators.spread import hot_parents
+from weftline.operators import spread
+from weftline.plans import lineage
 from weftline.plans import reports as R
 from weftline.sources.files import read_edges, read_sql_files, resolve_parent
 from weftline.sources.sinks import output_paths
@@ -153,18 +156,19 @@ def test_warnings(results):
 
 
 @pytest.mark.parametrize("profile", ["rows", "concat", "patched"])
-def test_salting_does_not_change_results(spark, results, profile):
-    """With tiny salts every parent is hot, also one made of equal rows."""
+def test_splitting_does_not_change_results(spark, results, profile, monkeypatch):
+    """With tiny splits every key is hot."""
+    monkeypatch.setattr(spread, "PAIRS_PER_SPLIT", 1)
     edges = edge_frame(spark, *[c[0] for c in CASES])
-    salted = extract_lineage(edges, sql_files(spark), profile, rows_per_salt=1).fact.collect()
-    assert sorted(map(tuple, salted)) == sorted(map(tuple, results[profile][1]))
+    split = extract_lineage(edges, sql_files(spark), profile).fact.collect()
+    assert sorted(map(tuple, split)) == sorted(map(tuple, results[profile][1]))
 
 
 def test_equal_rows_without_id(spark):
     edge = CASES[0][0]
     edges = edge_frame(spark, *[edge] * 300).drop("row_id").repartition(5)
     few = extract_lineage(edges, sql_files(spark), "rows").fact.collect()
-    all_rows = extract_lineage(edges, sql_files(spark), "concat", rows_per_salt=10).fact.collect()
+    all_rows = extract_lineage(edges, sql_files(spark), "concat").fact.collect()
     assert len(few) == 1 and len(all_rows) == 300
     assert {r["transformation_logic"] for r in all_rows} == {"Direct pass through"}
 
@@ -200,10 +204,23 @@ def test_mentions_match_any_substring(spark):
         assert got.get(i, set()) == want, name
 
 
-def test_hot_parents(spark):
-    rows = [("s", "x", "t", "c", "W", "hot.sql")] * 25 + [("s", "x", "t", "c", "W", "cold.sql")] * 5
-    hot = hot_parents(edge_frame(spark, *rows), rows_per_salt=10).collect()
-    assert [tuple(r) for r in hot] == [("hot.sql", 3)]
+def test_spread_join_splits_hot_keys(spark, tmp_path):
+    """All pairs of a hot key, once each, from several splits."""
+    left = spark.range(400).select((F.col("id") % 2).alias("k"), F.col("id").alias("a"))
+    right = spark.range(30).select(F.lit(0).cast("long").alias("k"), F.col("id").alias("b"))
+    joined = spread.spread_join(left, right, ["k"], "a", str(tmp_path), pairs_per_split=1_000)
+    assert "split" in joined._jdf.queryExecution().optimizedPlan().toString()
+    pairs = {(r["a"], r["b"]) for r in joined.collect()}
+    assert len(pairs) == joined.count() == 200 * 30
+
+
+def test_equal_edges_are_one_case(spark, tmp_path):
+    """What edges of a file ask is worked out once, however often it is asked."""
+    edges = edge_frame(spark, *[CASES[0][0]] * 500, CASES[1][0])
+    job = lineage.prepare(edges, sql_files(spark), "concat", work_dir=str(tmp_path))
+    assert job.cases.count() == 2 and job.edges.count() == 501
+    assert lineage.scored_cases(job).count() < 10
+    assert lineage.resolve(job).count() == 501
 
 
 def test_missing_column_is_named(spark):
@@ -245,6 +262,45 @@ def test_pipeline_from_files_to_files(spark, tmp_path):
     assert output_paths("in.csv", "o", "concat").dim == "o/Enterprise_Dim_Queries"
 
 
+def test_rows_keep_their_place_and_line_breaks(spark, tmp_path):
+    """The first of repeated edges stays, cells may hold line breaks, and sorted output has the
+    input's order."""
+    csv = tmp_path / "edges.csv"
+    lines = [",".join(EDGE_COLUMNS)]
+    for i in range(40):
+        for relation in ("WRITE", "READ"):
+            lines.append(f'src,x{i},"t\ngt",c1,{relation},a.sql,FILE')
+    csv.write_text("\n".join(lines) + "\n")
+    edges = read_edges(spark, str(csv))
+    assert edges.count() == 80
+    kept = E.dedup_edges(E.sanitize_edges(edges)).orderBy("row_id").collect()
+    assert [(r["source_column"], r["relation"]) for r in kept] == [(f"x{i}", "WRITE") for i in range(40)]
+    base = tmp_path / "sql"
+    base.mkdir()
+    (base / "a.sql").write_text(SQL["a.sql"])
+    paths = run_pipeline(spark, str(csv), str(tmp_path / "o"), str(base), "concat", "csv", True)
+    back = spark.read.csv(paths.fact, header=True, multiLine=True, escape='"').coalesce(1).collect()
+    assert [r["source_column"] for r in back] == [f"x{i // 2}" for i in range(80)]
+
+
+def test_parents_outside_the_base(spark, tmp_path):
+    """``..`` and absolute paths are read, unnamed files are not, and bad bytes are kept."""
+    base = tmp_path / "base"
+    (base / "jobs").mkdir(parents=True)
+    (tmp_path / "out[1].sql").write_text("UPDATE tgt SET c1 = x + 1")
+    (base / "jobs" / "in.sql").write_bytes(b"UPDATE tgt SET c1 = 'caf\xe9'")
+    (base / "unnamed.sql").write_text("SELECT 1")
+    csv = tmp_path / "edges.csv"
+    parents = ["../out[1].sql", f"{tmp_path}/out[1].sql", "jobs/../jobs/in.sql", "../none.sql"]
+    rows = [f"src,x,tgt,c1,WRITE,{p},FILE" for p in parents]
+    csv.write_text("\n".join([",".join(EDGE_COLUMNS), *rows]) + "\n")
+    paths = run_pipeline(spark, str(csv), str(tmp_path / "o"), str(base), "concat")
+    got = {r["parent"]: r["transformation_logic"] for r in spark.read.parquet(paths.fact).collect()}
+    want = ["x + 1", "x + 1", "'caf\ufffd'", "TRANSFORM_NOT_FOUND"]
+    assert got == dict(zip(parents, want, strict=True))
+    assert spark.read.parquet(paths.dim).count() == 2
+
+
 def test_resolve_parent(spark):
     df = spark.createDataFrame(
         [("a/b.sql",), ("./a.sql",), ("/base/x/a.sql",), ("/else/a.sql",), ("a/./b//c.sql",)], "p string"
@@ -253,29 +309,17 @@ def test_resolve_parent(spark):
     assert got == ["a/b.sql", "a.sql", "a.sql", "/else/a.sql", "a/b/c.sql"]
 
 
-def exchange_lines(df):
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    return [line for line in plan.splitlines() if "Exchange" in line]
-
-
 @pytest.mark.parametrize("profile", ["rows", "concat"])
-def test_edges_meet_all_lookups_in_one_place(spark, tmp_path, profile):
-    """Every big join runs on data hashed by (parent, salt); nothing is hashed by parent alone
-    but aggregates, and nothing but the list of hot parents is broadcast."""
-    path = str(tmp_path / "edges")
-    edge_frame(spark, *[c[0] for c in CASES]).write.parquet(path)
-    limits = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
-    for key in limits:
-        spark.conf.set(key, "-1")
-    try:
-        lines = exchange_lines(extract_lineage(spark.read.parquet(path), sql_files(spark), profile).fact)
-    finally:
-        for key in limits:
-            spark.conf.unset(key)
-    placed = [x for x in lines if "REPARTITION_BY_NUM" in x]
-    assert placed and all("parent#" in x and "salt#" in x for x in placed)
-    assert len(placed) == (4 if profile == "rows" else 3)
-    assert not any("SinglePartition" in x and "ENSURE" in x for x in lines)
+def test_plan_of_the_fact(spark, tmp_path, profile):
+    """The fact is one join of stored edges and stored outcomes: the input is read while the
+    job is built, and no row goes to a single task."""
+    edges = edge_frame(spark, *[c[0] for c in CASES])
+    result = extract_lineage(edges, sql_files(spark), profile, work_dir=str(tmp_path))
+    plan = result.fact._jdf.queryExecution().executedPlan().toString()
+    read = {re.search(r"/([a-z]+)-[0-9a-f]{32}/", f)[1] for f in result.fact.inputFiles()}
+    assert read == {"edges", "outcomes"}
+    assert "ExistingRDD" not in plan and "SinglePartition" not in plan
+    result.release()
 
 
 def test_one_file_with_a_third_of_all_edges(spark):
@@ -286,7 +330,7 @@ def test_one_file_with_a_third_of_all_edges(spark):
     body += ", ".join(f"s.x{i}" if i % 2 else f"f(s.x{i}, {i})" for i in range(50)) + " FROM src s"
     files = [("hot.sql", body)] + [(f"f{i}.sql", "UPDATE tgt SET c1 = x + 1") for i in range(400)]
     corpus = spark.createDataFrame(files, "parent string, sql_text string")
-    fact = extract_lineage(edge_frame(spark, *hot, *cold), corpus, "concat", rows_per_salt=50).fact
+    fact = extract_lineage(edge_frame(spark, *hot, *cold), corpus, "concat").fact
     got = {r["row_id"]: r["transformation_logic"] for r in fact.collect()}
     for i in range(400):
         c, x = i % 50, i % 40

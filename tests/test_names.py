@@ -177,7 +177,3 @@ def test_has_word(spark):
             ("x", "Y", False),
         ],
     )
-
-
-def test_error_text_is_cut(spark):
-    assert len(apply(spark, N.truncate_error, "x" * 3000)) == 2000

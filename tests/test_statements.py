@@ -57,12 +57,36 @@ def test_semicolon_in_quotes_still_splits(spark):
     ]
 
 
-def test_statement_cap_and_size_guard(spark):
-    many = ";".join(f"SELECT {i} AS a FROM t" for i in range(501))
-    rows = catalog(spark, many, "SELECT '" + "x" * 200_000 + "' AS a FROM t")
-    assert sum(r["parent"] == "f0.sql" for r in rows) == 500
-    assert {r["n_statements"] for r in rows if r["parent"] == "f0.sql"} == {501}
-    assert [r["parse_error"] for r in rows if r["parent"] == "f1.sql"] == ["STATEMENT_TOO_LARGE"]
+def test_all_statements_of_any_size(spark):
+    many = ";".join(f"SELECT {i} AS a FROM t" for i in range(700))
+    wide = "SELECT " + ", ".join(f"f(x{i}, 'a,b') AS c{i}" for i in range(16_000)) + " FROM t"
+    rows = catalog(spark, many, "SELECT '" + "x" * 300_000 + "' AS a FROM t", wide)
+    assert sum(r["parent"] == "f0.sql" for r in rows) == 700
+    assert len(wide) > 300_000 and {r["parse_status"] for r in rows} == {"OK"}
+
+
+def test_any_depth(spark):
+    calls = "SELECT " + "f(" * 100 + "a, '()'" + ")" * 100 + " AS c FROM t"
+    selects = "SELECT c FROM (" * 40 + "SELECT g(x, '(') AS deepest FROM t" + ") q" * 40
+    rows = SH.assignments(SH.parse_statements(ST.statement_catalog(files(spark, calls, selects)))).collect()
+    by_file = {}
+    for r in rows:
+        by_file.setdefault(r["parent"], []).append((r["target_col"], r["expr"]))
+    assert by_file["f0.sql"] == [("C", "f(" * 100 + "a, '()'" + ")" * 100)]
+    assert ("DEEPEST", "g(x, '(')") in by_file["f1.sql"]
+    assert len(by_file["f1.sql"]) == 41
+
+
+def test_long_heads(spark):
+    gap = " " * 1_000
+    rows = catalog(
+        spark,
+        f"CREATE{gap}MULTISET{gap}VOLATILE TABLE x AS (SELECT 1 AS a) WITH DATA",
+        f"{gap}MERGE{gap}INTO t USING s ON t.a = s.a WHEN MATCHED THEN UPDATE SET b = 1",
+        "CREATE SET GLOBAL TEMPORARY TRACE MULTISET VOLATILE TABLE x (a INT)",
+    )
+    assert [r["kind"] for r in rows] == ["CTAS", "MERGE", "CTAS"]
+    assert [r["parse_error"] for r in rows] == ["", "", "CREATE_NO_SELECT_SKIPPED"]
 
 
 def test_empty_file_keeps_a_placeholder(spark):

@@ -1,7 +1,14 @@
 """Column lineage explained by the SQL that produces it, as Spark jobs."""
 
 from .constants import CONCAT, PATCHED, PROFILES, ROWS, Profile
-from .plans.lineage import Corpus, Lineage, candidates, extract_lineage, scored_edges
+from .plans.lineage import (
+    Corpus,
+    Lineage,
+    best_candidates,
+    candidates,
+    extract_lineage,
+    statement_dim,
+)
 from .plans.pipeline import run_pipeline
 
 __all__ = [
@@ -12,8 +19,9 @@ __all__ = [
     "Corpus",
     "Lineage",
     "Profile",
+    "best_candidates",
     "candidates",
     "extract_lineage",
     "run_pipeline",
-    "scored_edges",
+    "statement_dim",
 ]

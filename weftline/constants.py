@@ -72,11 +72,6 @@ CONCAT_OUTPUTS = [
     "lineage_extractor",
 ]
 
-# Limits per file and per statement, and of an error text.
-MAX_STATEMENTS = 500
-MAX_STATEMENT_CHARS = 200_000
-MAX_ERROR_CHARS = 2_000
-
 
 @dataclass(frozen=True)
 class Profile:
@@ -93,8 +88,6 @@ class Profile:
     static_fallback: str
     all_hits: bool = False
     check_leading_alias: bool = False
-    max_statements: int = MAX_STATEMENTS
-    max_statement_chars: int = MAX_STATEMENT_CHARS
 
 
 ROWS = Profile("rows", True, "DIRECT_PASS_THROUGH", "STATIC_VALUE")

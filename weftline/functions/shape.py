@@ -3,7 +3,8 @@
 Parentheses are matched by a pattern nested ``MAX_DEPTH`` times. All repeats
 are possessive, so a match is linear in the text, needs no stack for long
 texts and stays one native call per cut. Quoted text is one unit everywhere.
-A statement nested deeper than ``MAX_DEPTH`` is reported as unbalanced.
+A statement nested deeper is folded first (:func:`fold`): its innermost groups
+become plain text, level by level, until the pattern closes.
 """
 
 from __future__ import annotations
@@ -78,6 +79,80 @@ def _non_empty(arr: Column) -> Column:
     return F.filter(F.transform(arr, strip), lambda x: x != "")
 
 
+# Signs for folded parentheses, for parentheses inside quotes of a folded text, and for those
+# of groups that were looked at already.
+_FOLDED = "\ue000\ue001\ue002\ue003\ue004\ue005"
+
+
+def nesting(text: Column) -> Column:
+    """Depth of the deepest parenthesis outside quotes, however deep."""
+    marks = F.regexp_extract_all(F.regexp_replace(text, QUOTED, ""), F.lit("([()])"), F.lit(1))
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(acc: Column, mark: Column) -> Column:
+        now = acc["now"] + F.when(mark == "(", 1).otherwise(-1)
+        return F.struct(now.alias("now"), F.greatest(acc["most"], now).alias("most"))
+
+    return F.aggregate(marks, start, step, lambda acc: acc["most"])
+
+
+def _interleave(between: Column, marks: Column) -> Column:
+    pairs = F.transform(between, lambda b, i: F.concat(b, F.coalesce(F.get(marks, i), F.lit(""))))
+    return F.array_join(pairs, "")
+
+
+def fold(text: Column) -> tuple[Column, Column]:
+    """``(folded text, bodies of the SELECTs that were folded)`` of a text that nests deeper
+    than the patterns, by a depth counter; any other text stays as it is.
+
+    Parentheses beyond the patterns' depth become plain signs.
+    """
+    quotes = F.transform(
+        F.regexp_extract_all(text, F.lit(f"({QUOTED})"), F.lit(1)),
+        lambda q: F.translate(q, "()", _FOLDED[2:4]),
+    )
+    plain = _interleave(F.split(text, QUOTED), quotes)
+    marks = F.regexp_extract_all(plain, F.lit("([()])"), F.lit(1))
+    counted = "struct<now:int,marks:array<string>>"
+
+    def step(acc: Column, mark: Column) -> Column:
+        opens = mark == "("
+        now = acc["now"] + F.when(opens, 1).otherwise(-1)
+        level = F.when(opens, now).otherwise(acc["now"])
+        sign = F.when(level > MAX_DEPTH, F.translate(mark, "()", _FOLDED[:2])).otherwise(mark)
+        return F.struct(now, F.concat(acc["marks"], F.array(sign))).cast(counted)
+
+    start = F.struct(F.lit(0), F.array().cast("array<string>")).cast(counted)
+    folded = _interleave(F.split(plain, "[()]"), F.aggregate(marks, start, step)["marks"])
+
+    # Innermost folded groups first: each pass takes the bodies of one level.
+    o, c = _FOLDED[:2]
+    found = "struct<text:string,bodies:array<string>>"
+
+    def level(acc: Column, _: Column) -> Column:
+        inner = rf"(?i){o}(\s*(?:{SELECT}|WITH)\b[^{o}{c}]*+){c}"
+        bodies = F.regexp_extract_all(acc["text"], F.lit(inner), F.lit(1))
+        rest = F.regexp_replace(acc["text"], f"{o}([^{o}{c}]*+){c}", f"{_FOLDED[4]}$1{_FOLDED[5]}")
+        return F.struct(rest, F.concat(acc["bodies"], bodies)).cast(found)
+
+    passes = F.sequence(F.lit(1), F.greatest(nesting(text) - MAX_DEPTH, F.lit(1)))
+    start = F.struct(folded, F.array().cast("array<string>")).cast(found)
+    bodies = F.aggregate(passes, start, level)["bodies"]
+    shown = F.transform(bodies, lambda b: strip(F.translate(b, _FOLDED[4:], "()")))
+    deep = nesting(text) > MAX_DEPTH
+    return (
+        F.when(deep, folded).otherwise(text),
+        F.when(deep, shown).otherwise(F.array().cast("array<string>")),
+    )
+
+
+def unfold(text: Column) -> Column:
+    """The text with its own parentheses again."""
+    return F.when(
+        text.rlike(f"[{_FOLDED}]"), F.translate(text, _FOLDED, "()()()")
+    ).otherwise(text)
+
+
 def is_balanced(text: Column) -> Column:
     """Parentheses and quotes all close."""
     return text.rlike(rf"\A{INNER}\z")
@@ -104,9 +179,20 @@ def unwrap(text: Column) -> Column:
     return F.when(inner != "", inner).otherwise(text)
 
 
+_WRAPPED_SELECT = rf"(?i)\A\s*\((?:\s*\()*\s*{SELECT}\b"
+
+
 def from_first_select(text: Column) -> Column:
-    """Tail that starts at the first depth-0 SELECT."""
-    return cut(text, rf"\A{until(SELECT)}(\b{SELECT}\b.*)\z")
+    """Tail that starts at the first depth-0 SELECT; the whole text if it starts with a
+    parenthesised one."""
+    tail = cut(text, rf"\A{until(SELECT)}(\b{SELECT}\b.*)\z")
+    return F.when(text.rlike(_WRAPPED_SELECT), strip(text)).otherwise(tail)
+
+
+def without_wrappers(text: Column) -> Column:
+    """Operands of set operators without the parentheses around them."""
+    plain = F.array_join(union_branches(text), " UNION ALL ")
+    return F.when(text.rlike(_WRAPPED_SELECT), plain).otherwise(text)
 
 
 def nested_selects(text: Column) -> Column:
@@ -123,7 +209,8 @@ def union_branches(text: Column) -> Column:
     run = rf"""[^{WORD}()'"]++|\b(?!(?:{SET_OPS})\b)[{WORD}]++|{QUOTED}|{GROUP}"""
     pieces = cut_all(text, f"((?:{run})++)")
     heads = F.transform(
-        pieces, lambda p: strip(F.regexp_replace(strip(p), r"(?i)\A(?:ALL|DISTINCT)\b", ""))
+        pieces,
+        lambda p: unwrap(unwrap(strip(F.regexp_replace(strip(p), r"(?i)\A(?:ALL|DISTINCT)\b", "")))),
     )
     return F.filter(heads, lambda p: p.rlike(rf"(?i)\A{SELECT}\b"))
 
@@ -140,7 +227,14 @@ def from_clause(branch: Column) -> Column:
     return clause(branch, "FROM", CLAUSES)
 
 
+def flat_joins(from_text: Column) -> Column:
+    """A FROM clause without the parentheses around joined tables; subqueries keep theirs."""
+    group = rf"(?i)(\A|,|\bJOIN\b)\s*(?:\(\s*)+(?!\s*(?:{SELECT}|WITH)\b)(?=[\w$\"])"
+    return F.regexp_replace(from_text, group, "$1 ")
+
+
 def join_conditions(from_text: Column) -> Column:
+    from_text = flat_joins(from_text)
     stop = r"ON|JOIN|LEFT|RIGHT|INNER|FULL|CROSS|NATURAL"
     return _non_empty(cut_all(from_text, rf"{QUOTED}|{GROUP}|\bON\b({until(stop, ',')})"))
 
@@ -159,7 +253,7 @@ def _table_structs(names: Column, aliases: Column) -> Column:
 
 def from_tables(from_text: Column) -> Column:
     """Tables of one FROM clause as ``array<struct<name, alias>>``."""
-    text = F.concat(F.lit(","), from_text)
+    text = F.concat(F.lit(","), flat_joins(from_text))
     pattern = rf"{QUOTED}|{GROUP}|(?:,|\bJOIN\b)\s*+({NAME}){_ALIAS}"
     return _table_structs(cut_all(text, pattern, 1), cut_all(text, pattern, 2))
 

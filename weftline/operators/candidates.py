@@ -1,21 +1,21 @@
-"""Matching edges with assignments: lookup relations, scores and the best tier.
+"""Matching edges with assignments: what statements offer, scores and the best tier.
 
-An edge is joined with one small array per ``(parent, key)``; scoring works
-inside that array. Candidates are never shuffled and no window is needed. The
-arrays are bounded: a file has at most 500 statements of 200,000 characters.
+What is scored are *cases*, the distinct combinations of file, names and tables that
+edges ask about (:func:`weftline.operators.edges.cases`). A case and an assignment that may
+answer it are one row, so work is split by pairs and no array grows with a file.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import Profile
 from ..functions import names as N
 from . import shapes as SH
-from .spread import copy_to_salts, salt_rows, spread_work
+from .spread import computed_once, spread_join
 
-LOOKUP_KEY = ["parent", "salt", "kind", "key"]
+PLACE = ["parent", "kind", "key"]
 ASSIGNED, TARGET_TABLE, READ_COLUMN = "T", "W", "R"
 MENTIONED, CONTEXT = "S", "C"
 
@@ -33,12 +33,15 @@ def source_alias(tables: Column, source_table: Column) -> Column:
     )
 
 
+def other_names(tables: Column, source_table: Column) -> Column:
+    """Names and aliases of the tables that are not the source table."""
+    others = F.filter(tables, lambda t: t["name"] != source_table)
+    named = F.flatten(F.transform(others, lambda t: F.array(t["name"], t["alias"])))
+    return F.array_distinct(F.array_remove(named, ""))
+
+
 def names_other_table(tables: Column, source_table: Column, qualifier: Column) -> Column:
-    return F.exists(
-        tables,
-        lambda t: (t["name"] != source_table)
-        & ((t["name"] == qualifier) | (t["alias"] == qualifier)),
-    )
+    return F.array_contains(other_names(tables, source_table), qualifier)
 
 
 # --- scores ---------------------------------------------------------------------------------
@@ -125,18 +128,9 @@ def leading_alias_fits(
     )
 
 
-# --- lookup relations -----------------------------------------------------------------------
-
+# --- what statements offer ------------------------------------------------------------------
 
-
-def placed(rows: DataFrame, hot: DataFrame) -> DataFrame:
-    """Lookup rows hashed as the edges are, so that grouping and join need no other shuffle."""
-    return spread_work(copy_to_salts(rows, hot), "parent", "salt")
-
-
-ROW_ENTRY = [
-    "stmt_no", "query_id", "expr", "target_table", "is_literal", "tail", "refs", "words", "tables",
-]
+ENTRY = ["query_id", "stmt_no", "expr", "target_table", "is_literal", "tail", "refs", "words", "tables"]
 
 
 def _can_assign(kind: Column, clause: Column) -> Column:
@@ -144,30 +138,26 @@ def _can_assign(kind: Column, clause: Column) -> Column:
     return ~((clause == SH.SELECT) & kind.isin("UPDATE", "MERGE", "DELETE"))
 
 
-def lookup_rows(parsed: DataFrame, assigned: DataFrame, hot: DataFrame) -> DataFrame:
-    """``rows``: per target column all assignments, per target table the first statement."""
-    by_column = assigned.where("target_col <> ''").select(
+def entries_rows(assigned: DataFrame) -> DataFrame:
+    """``rows``: every assignment by file and target column."""
+    return assigned.where("target_col <> ''").select(
         "parent",
-        F.lit(ASSIGNED).alias("kind"),
         F.col("target_col").alias("key"),
-        F.struct("stmt_no", "query_id").alias("first"),
-        F.struct(*ROW_ENTRY, _can_assign(F.col("kind"), F.col("clause")).alias("usable")).alias(
-            "entry"
-        ),
+        *ENTRY,
+        _can_assign(F.col("kind"), F.col("clause")).alias("usable"),
+    )
+
+
+def firsts_rows(parsed: DataFrame, assigned: DataFrame) -> DataFrame:
+    """``rows``: the first statement per assigned column and per written table."""
+    by_column = assigned.where("target_col <> ''").select(
+        "parent", F.lit(ASSIGNED).alias("kind"), F.col("target_col").alias("key"), "stmt_no", "query_id"
     )
     by_table = parsed.where("target_table <> ''").select(
-        "parent",
-        F.lit(TARGET_TABLE).alias("kind"),
-        F.col("target_table").alias("key"),
-        F.struct("stmt_no", "query_id").alias("first"),
+        "parent", F.lit(TARGET_TABLE).alias("kind"), F.col("target_table").alias("key"), "stmt_no", "query_id"
     )
-    return (
-        placed(by_column.unionByName(by_table, allowMissingColumns=True), hot)
-        .groupBy(*LOOKUP_KEY)
-        .agg(
-            F.min("first").alias("first"),
-            F.collect_list("entry").alias("entries"),
-        )
+    return by_column.union(by_table).groupBy(*PLACE).agg(
+        F.min(F.struct("stmt_no", "query_id")).alias("first")
     )
 
 
@@ -235,55 +225,35 @@ def statement_logic(assigned: DataFrame, profile: Profile) -> DataFrame:
     )
 
 
-CONCAT_ENTRY = ["stmt_no", "query_id", "target_table", "tables", "join_hits", "normal", "static"]
+def firsts_concat(parsed: DataFrame, assigned: DataFrame, logic: DataFrame) -> DataFrame:
+    """``concat``: first statement that assigns a column, first read, first wildcard."""
+    nowhere = F.struct(F.lit(0).alias("unit_no"), F.lit(0).alias("ord"))
 
+    def first(rank: Column, pos: Column, text: Column) -> Column:
+        return F.struct(
+            "stmt_no", rank.cast("int").alias("rank"), pos.alias("pos"), "query_id", text.alias("text")
+        )
 
-def lookup_concat(
-    parsed: DataFrame, assigned: DataFrame, hot: DataFrame, profile: Profile
-) -> DataFrame:
-    """``concat``: one entry per statement and target column, first read, first wildcard."""
-    by_column = statement_logic(assigned, profile).select(
+    by_column = logic.where(F.size("static") > 0).select(
         "parent",
         F.lit(ASSIGNED).alias("kind"),
         F.col("target_col").alias("key"),
-        F.when(
-            F.size("static") > 0,
-            F.struct(
-                "stmt_no", F.lit(0).cast("int").alias("rank"), F.lit(0).cast("long").alias("pos"),
-                "query_id", F.lit("").alias("text"),
-            ),
-        ).alias("first"),
-        F.struct(*CONCAT_ENTRY).alias("entry"),
+        first(F.lit(0), nowhere, F.lit("")).alias("first"),
     )
     by_read = SH.column_reads(parsed, assigned).select(
         "parent",
         F.lit(READ_COLUMN).alias("kind"),
         F.col("column_name").alias("key"),
-        F.struct("stmt_no", "rank", "pos", "query_id", F.col("shown").alias("text")).alias("first"),
+        first(F.col("rank"), F.col("pos"), F.col("shown")).alias("first"),
     )
     by_table = SH.wildcards(parsed, assigned).where("target_table <> ''").select(
         "parent",
         F.lit(TARGET_TABLE).alias("kind"),
         F.col("target_table").alias("key"),
-        F.struct(
-            "stmt_no",
-            F.col("prio").alias("rank"),
-            F.lit(0).cast("long").alias("pos"),
-            "query_id",
-            F.col("description").alias("text"),
-        ).alias("first"),
-    )
-    rows = by_column.unionByName(by_read, allowMissingColumns=True).unionByName(
-        by_table, allowMissingColumns=True
-    )
-    return (
-        placed(rows, hot)
-        .groupBy(*LOOKUP_KEY)
-        .agg(
-            F.min("first").alias("first"),
-            F.array_sort(F.collect_list("entry")).alias("entries"),
-        )
+        first(F.col("prio"), nowhere, F.col("description")).alias("first"),
     )
+    rows = by_column.union(by_read).union(by_table)
+    return rows.groupBy(*PLACE).agg(F.min("first").alias("first"))
 
 
 # --- columns mentioned anywhere in a text ----------------------------------------------------
@@ -297,171 +267,200 @@ def text_tokens(text: Column) -> Column:
     return F.array_distinct(F.concat(F.array(F.lit("")), found))
 
 
-def token_grams(token: Column) -> Column:
-    """Every 1, 2 and 3 character piece of a token."""
+def token_grams(token: Column, size: Column) -> Column:
+    """Every piece of ``size`` characters of a token; the empty token has itself."""
     pieces = F.transform(
-        F.sequence(F.lit(1), F.length(token)),
-        lambda i: F.array(*[F.substr(token, i, F.lit(n)) for n in (1, 2, 3)]),
+        F.sequence(F.lit(1), F.length(token) - size + 1), lambda i: F.substr(token, i, size)
+    )
+    return (
+        F.when((token == "") & (size == 0), F.array(F.lit("")))
+        .when((size > 0) & (F.length(token) >= size), F.array_distinct(pieces))
+        .otherwise(F.array().cast("array<string>"))
     )
-    return F.when(token == "", F.array(F.lit(""))).otherwise(F.array_distinct(F.flatten(pieces)))
 
 
-def mentions(parsed: DataFrame, assigned: DataFrame) -> DataFrame:
-    """Texts a source column may be mentioned in, once per distinct token."""
-    selected = SH.select_items(assigned).where(_can_assign(F.col("kind"), F.col("clause"))).select(
-        "parent",
-        F.lit(MENTIONED).alias("kind"),
-        F.col("item").alias("match"),
-        F.struct(*ROW_ENTRY, F.lit(True).alias("usable")).alias("entry"),
-    )
+def _place_in_text(rank: Column, unit_no: Column, ord_: Column) -> Column:
+    return F.struct(
+        "query_id", rank.cast("int").alias("rank"), unit_no.alias("unit_no"), ord_.alias("ord")
+    ).alias("tid")
+
+
+def searched_texts(parsed: DataFrame, assigned: DataFrame) -> DataFrame:
+    """Texts a source column may be mentioned in: ``parent, kind, tid, match`` and, for
+    contexts, ``shown``."""
+    selected = mentionable(assigned).select(
+        "parent", F.lit(MENTIONED).alias("kind"), "tid", F.col("item").alias("match"),
+        F.lit(None).cast("string").alias("shown"),
+    )
     contexts = (
         SH.read_contexts(parsed, assigned)
         .where("rank <= 2 OR top_level")
         .select(
             "parent",
             F.lit(CONTEXT).alias("kind"),
+            _place_in_text(F.col("rank"), F.col("pos.unit_no"), F.col("pos.ord")),
             "match",
-            F.struct("query_id", "shown").alias("context"),
+            "shown",
         )
     )
-    rows = selected.unionByName(contexts, allowMissingColumns=True)
-    return rows.withColumn("token", F.explode_outer(text_tokens(F.col("match"))))
+    return selected.union(contexts)
+
 
+def mentionable(assigned: DataFrame) -> DataFrame:
+    """Select items that count for a column they mention, with their ``tid``."""
+    items = SH.select_items(assigned).where(_can_assign(F.col("kind"), F.col("clause")))
+    return items.withColumn("tid", _place_in_text(F.lit(1), F.col("unit_no"), F.col("ord")))
 
-def lookup_mentions(names: DataFrame, texts: DataFrame, hot: DataFrame) -> DataFrame:
-    """Per ``(parent, kind, source name)`` the texts that contain the name.
 
-    Substring search as equi-joins: a name sits inside one word of the text, so
-    the name's first word meets the file's distinct words by a common 3-gram, and
-    only true hits meet the texts. No pair of name and text is tried otherwise.
+def find_mentions(names: DataFrame, texts: DataFrame) -> DataFrame:
+    """``(parent, kind, source, tid)`` of the texts that contain a name of their file.
+
+    Substring search as equi-joins: a name's first word sits inside one word of the text, so
+    both meet by a common piece of up to 3 characters. Only files with names take part,
+    only pieces of the sizes their names have are made, and texts travel by their ids until
+    real hits are tested.
     """
     probe = names.withColumn("run", F.regexp_extract("source", f"({_RUN})", 1)).withColumn(
-        "gram", F.substring("run", 1, 3)
+        "size", F.least(F.length("run"), F.lit(3))
+    )
+    probe = probe.withColumn("gram", F.substring("run", 1, 3))
+    sizes = probe.select("parent", "kind", "size").distinct()
+    wanted = texts.join(names.select("parent", "kind").distinct(), ["parent", "kind"], "left_semi")
+    tokens = wanted.select(
+        "parent", "kind", "tid", F.explode_outer(text_tokens(F.col("match"))).alias("token")
     )
     grams = (
-        texts.select("parent", "kind", "token")
+        tokens.select("parent", "kind", "token")
         .distinct()
-        .withColumn("gram", F.explode_outer(token_grams(F.col("token"))))
+        .join(sizes, ["parent", "kind"])
+        .withColumn("gram", F.explode_outer(token_grams(F.col("token"), F.col("size"))))
+        .where("gram IS NOT NULL")
+        .drop("size")
     )
     words = (
-        salt_rows(probe, hot, "source")
-        .join(copy_to_salts(grams, hot), ["parent", "salt", "kind", "gram"])
+        probe.join(grams, ["parent", "kind", "gram"])
         .where(F.col("token").contains(F.col("run")))
         .select("parent", "kind", "source", "token")
+        .distinct()
     )
-    hits = (
-        words.join(texts, ["parent", "kind", "token"])
-        .where(F.upper("match").contains(F.col("source")))
-        .select("parent", "kind", F.col("source").alias("key"), "entry", "context")
-    )
+    near = words.join(tokens, ["parent", "kind", "token"]).select("parent", "kind", "source", "tid")
     return (
-        placed(hits, hot)
-        .groupBy(*LOOKUP_KEY)
-        .agg(
-            F.collect_set("entry").alias("mention_entries"),
-            F.collect_set("context").alias("contexts"),
-        )
+        near.distinct()
+        .join(wanted.select("parent", "kind", "tid", "match"), ["parent", "kind", "tid"])
+        .where(F.upper("match").contains(F.col("source")))
+        .select("parent", "kind", "source", "tid")
     )
 
 
-# --- candidates of one edge ------------------------------------------------------------------
+# --- candidates ------------------------------------------------------------------------------
 
-NO_CANDIDATES = "array<struct<query_id:string,logic:string,score:int,is_literal:boolean,ord:int>>"
+CANDIDATE = ["case_id", "query_id", "logic", "score", "is_literal", "ord", "seq"]
 
 
-def _candidate(query_id: Column, logic: Column, score: Column, literal: Column, ord_: Column):
-    return F.struct(
-        query_id.alias("query_id"),
+def candidates_rows(
+    scans: DataFrame, assigned: DataFrame, mentions: DataFrame, profile: Profile, work_dir: str | None
+) -> DataFrame:
+    """Scored candidates of ``rows`` cases, each once; score 0 is dropped.
+
+    An assignment is one by its target column, or by a text that mentions the source.
+    """
+    asked = scans.select("case_id", "parent", "src_tbl", "tgt_tbl", "src_col", F.col("tgt_col").alias("key"))
+    by_target = spread_join(
+        asked, entries_rows(assigned).where("usable").drop("usable"), ["parent", "key"], "case_id", work_dir
+    )
+    hits = mentions.where(F.col("kind") == MENTIONED).select("parent", F.col("source").alias("src_col"), "tid")
+    texts = mentionable(assigned).select("parent", "tid", *ENTRY)
+    by_mention = spread_join(
+        asked.drop("key"), hits.join(texts, ["parent", "tid"]), ["parent", "src_col"], "case_id", work_dir
+    )
+    names = ["case_id", "src_tbl", "tgt_tbl", "src_col", *ENTRY]
+    pairs = by_target.select(names).union(by_mention.select(names))
+    aliased = pairs.withColumn("alias", source_alias(F.col("tables"), F.col("src_tbl")))
+    score = score_rows(
+        target_fits_exactly(F.col("tgt_tbl"), F.col("target_table")),
+        F.col("expr"),
+        F.col("refs"),
+        F.col("words"),
+        F.col("tables"),
+        F.col("alias"),
+        F.col("src_tbl"),
+        F.col("src_col"),
+        N.is_plain_word(F.col("src_col")),
+    )
+    logic = F.when(
+        N.tail_is_source(F.col("tail"), F.col("src_col"), F.col("alias")), profile.passthrough
+    ).otherwise(F.col("expr"))
+    scored = aliased.select(
+        "case_id",
+        "query_id",
         logic.alias("logic"),
         score.cast("int").alias("score"),
-        literal.alias("is_literal"),
-        ord_.cast("int").alias("ord"),
-    )
-
-
-def candidates_rows(entries: Column, profile: Profile) -> Column:
-    """Scored candidates of a ``rows`` edge from its entries; score 0 is dropped."""
-    src_tbl, tgt_tbl, src = F.col("src_tbl"), F.col("tgt_tbl"), F.col("src_col")
-
-    def one(e: Column, alias: Column) -> Column:
-        score = score_rows(
-            target_fits_exactly(tgt_tbl, e["target_table"]),
-            e["expr"],
-            e["refs"],
-            e["words"],
-            e["tables"],
-            alias,
-            src_tbl,
-            src,
-            F.col("plain_source"),
-        )
-        logic = F.when(N.tail_is_source(e["tail"], src, alias), profile.passthrough).otherwise(
-            e["expr"]
-        )
-        return _candidate(e["query_id"], logic, score, e["is_literal"], e["stmt_no"])
-
-    with_alias = F.transform(
-        entries, lambda e: F.struct(e.alias("e"), source_alias(e["tables"], src_tbl).alias("a"))
+        "is_literal",
+        F.col("stmt_no").alias("ord"),
+        F.lit(0).alias("seq"),
     )
-    scored = F.transform(with_alias, lambda x: one(x["e"], x["a"]))
-    return F.array_distinct(F.filter(scored, lambda c: c["score"] > 0))
-
+    return computed_once(scored).where("score > 0").distinct()
 
-def candidates_concat(entries: Column, is_static: Column, profile: Profile) -> Column:
-    """Scored candidates of a ``concat`` edge, in statement order."""
-    src_tbl, tgt_tbl, src = F.col("src_tbl"), F.col("tgt_tbl"), F.col("src_col")
 
-    def logics(e: Column, alias: Column) -> Column:
-        normal = F.array_distinct(
-            F.transform(
-                e["normal"],
-                lambda x: F.when(
-                    N.is_passthrough_ident(x, src, alias), profile.passthrough
-                ).otherwise(x),
-            )
+def candidates_concat(scans: DataFrame, logic: DataFrame, profile: Profile, work_dir: str | None) -> DataFrame:
+    """Scored candidates of ``concat`` cases, one row per statement and expression."""
+    asked = scans.select(
+        "case_id", "parent", "gate", "src_tbl", "tgt_tbl", "src_col", F.col("tgt_col").alias("key")
+    )
+    offered = logic.withColumnRenamed("target_col", "key")
+    pairs = spread_join(asked, offered, ["parent", "key"], "case_id", work_dir)
+    is_static = F.col("gate") == "static"
+    alias, src = F.col("alias"), F.col("src_col")
+    normal = F.array_distinct(
+        F.transform(
+            "normal",
+            lambda x: F.when(N.is_passthrough_ident(x, src, alias), profile.passthrough).otherwise(x),
         )
-        joined = F.when(e["join_hits"], F.array(F.array_join(normal, " | "))).otherwise(normal)
-        found = F.when(is_static, e["static"]).otherwise(joined)
-        if profile.check_leading_alias:
-            found = F.filter(
-                found,
-                lambda x: (x == profile.passthrough)
-                | leading_alias_fits(x, e["tables"], alias, src_tbl),
-            )
-        return found
-
-    def scored(e: Column, alias: Column, found: Column) -> Column:
-        fits = target_fits_loosely(tgt_tbl, e["target_table"])
-        source = F.forall(found, lambda x: refers_to_source(x, src_tbl, alias, is_static))
-        return F.transform(
+    )
+    joined = F.when(F.col("join_hits"), F.array(F.array_join(normal, " | "))).otherwise(normal)
+    found = F.when(is_static, F.col("static")).otherwise(joined)
+    if profile.check_leading_alias:
+        found = F.filter(
             found,
-            lambda x: _candidate(
-                e["query_id"], x, score_concat(fits, source), N.is_literal_wide(x), e["stmt_no"]
-            ),
+            lambda x: (x == profile.passthrough)
+            | leading_alias_fits(x, F.col("tables"), alias, F.col("src_tbl")),
         )
-
-    with_alias = F.transform(
-        entries, lambda e: F.struct(e.alias("e"), source_alias(e["tables"], src_tbl).alias("a"))
+    with_logic = pairs.withColumn(
+        "alias", source_alias(F.col("tables"), F.col("src_tbl"))
+    ).withColumn("found", found)
+    fits = target_fits_loosely(F.col("tgt_tbl"), F.col("target_table"))
+    source = F.forall(
+        "found", lambda x: refers_to_source(x, F.col("src_tbl"), alias, is_static)
+    )
+    scored = with_logic.select(
+        "case_id",
+        "query_id",
+        "stmt_no",
+        score_concat(fits, source).cast("int").alias("score"),
+        F.posexplode("found").alias("seq", "logic"),
     )
-    with_logic = F.transform(
-        with_alias, lambda x: F.struct(x["e"], x["a"], logics(x["e"], x["a"]).alias("l"))
+    return scored.select(
+        "case_id",
+        "query_id",
+        "logic",
+        "score",
+        N.is_literal_wide(F.col("logic")).alias("is_literal"),
+        F.col("stmt_no").alias("ord"),
+        "seq",
     )
-    return F.flatten(F.transform(with_logic, lambda x: scored(x["e"], x["a"], x["l"])))
 
 
-def best_tier(edges: DataFrame, prefer_literals: Column) -> DataFrame:
-    """Add ``tier``: candidates with the highest score; of those the literals, if
-    asked for and any."""
-    top_score = F.array_max(F.transform("candidates", lambda c: c["score"]))
+def best_tier(candidates: DataFrame, static_cases: DataFrame | None = None) -> DataFrame:
+    """Candidates with their case's highest score; of the ``static_cases`` only the literals,
+    if there are any."""
+    case = Window.partitionBy("case_id")
+    top = candidates.withColumn("best", F.max("score").over(case)).where("score = best").drop("best")
+    if static_cases is None:
+        return top
+    marked = top.join(static_cases.select("case_id", F.lit(True).alias("prefers")), "case_id", "left")
+    any_literal = F.max(F.col("is_literal")).over(case)
     return (
-        edges.withColumn("top_score", top_score)
-        .withColumn("top", F.filter("candidates", lambda c: c["score"] == F.col("top_score")))
-        .withColumn("literals", F.filter("top", lambda c: c["is_literal"]))
-        .withColumn(
-            "tier",
-            F.when(prefer_literals & (F.size("literals") > 0), F.col("literals")).otherwise(
-                F.col("top")
-            ),
-        )
-        .drop("top_score", "top", "literals")
+        marked.withColumn("any_literal", any_literal)
+        .where("prefers IS NULL OR is_literal OR NOT any_literal")
+        .drop("prefers", "any_literal")
     )

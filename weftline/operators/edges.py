@@ -19,12 +19,10 @@ def check_columns(edges: DataFrame) -> DataFrame:
 
 
 def with_row_id(edges: DataFrame) -> DataFrame:
-    """Keep the given ``row_id`` or hash the row; a hash is stable over re-evaluation."""
+    """Keep the given ``row_id``, else number the rows by their position in the table."""
     if "row_id" in edges.columns:
         return edges
-    return edges.withColumn(
-        "row_id", F.xxhash64(*[F.coalesce(c, F.lit("\0")) for c in EDGE_COLUMNS])
-    )
+    return edges.withColumn("row_id", F.monotonically_increasing_id())
 
 
 def with_file_key(edges: DataFrame) -> DataFrame:
@@ -123,3 +121,29 @@ def with_gate(edges: DataFrame, profile: str | Profile = "rows") -> DataFrame:
         .otherwise("")
     )
     return keyed.withColumn("key", key)
+
+
+# What decides an edge's outcome. Raw texts matter only where an outcome shows them.
+CASE_COLUMNS = [
+    "parent", "gate", "kind", "key", "src_name", "tgt_name", "src_col", "tgt_col", "src_tbl",
+    "tgt_tbl", "shown_column", "shown_target", "shown_table", "shown_target_table",
+]
+
+
+def with_case(gated: DataFrame, profile: str | Profile = "rows") -> DataFrame:
+    """Add the raw texts that outcomes show and ``case_id``, equal for edges that ask the same."""
+    shows = F.col("gate").isin("wildcard", "read") & F.lit(not get_profile(profile).multi_row)
+    raw = {
+        "shown_column": "source_column",
+        "shown_target": "target_column",
+        "shown_table": "source_table",
+        "shown_target_table": "target_table",
+    }
+    shown = gated.withColumns({k: F.when(shows, F.col(v)) for k, v in raw.items()})
+    parts = [F.coalesce(F.concat(F.lit("="), c), F.lit("0")) for c in CASE_COLUMNS]
+    return shown.withColumn("case_id", F.md5(F.concat_ws("\x1f", *parts)))
+
+
+def cases(prepared: DataFrame) -> DataFrame:
+    """The distinct cases of prepared edges; copies merge on the map side."""
+    return prepared.select("case_id", *CASE_COLUMNS).distinct()

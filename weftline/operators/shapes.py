@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..constants import MAX_STATEMENT_CHARS
 from ..functions import names as N
 from ..functions import shape as S
 from .spread import computed_once
@@ -31,6 +30,22 @@ _EXPRESSION_WORDS = [
     "FROM", "GROUP", "IN", "IS", "JOIN", "LIKE", "NOT", "NULL", "ON", "OR", "ORDER", "OVER",
     "PARTITION", "SELECT", "THEN", "WHEN", "WHERE",
 ]
+# Literals with a word before or behind the quotes.
+_LITERAL = rf"(?i:\b(?:DATE|TIME|TIMESTAMP)\s*(?={S.QUOTED}))|(?i:\bINTERVAL\s*(?:{S.QUOTED})\s*\w+(?:\s*\(\d+\))?(?:\s+TO\s+\w+)?)"
+# Places whose words name no column: units, types and aliases behind AS, constants, frames.
+_NOT_COLUMNS = [
+    r"\bEXTRACT\s*\(\s*\w+(?=\s+FROM\b)",
+    rf"\bAS\s+{S.IDENT}(?:\s*\([\d\s,]*\))?(?:\s+CHARACTER\s+SET\s+\w+|\s+(?:NOT\s+)?(?:CASESPECIFIC|CS)\b"
+    r"|\s+(?:TO\s+\w+|WITH\s+TIME\s+ZONE|PRECISION|VARYING)\b|\s+FORMAT\b)*+",
+    r"\bCHARACTER\s+SET\s+\w+",
+    r"\bCURRENT_(?:DATE|TIME|TIMESTAMP|USER|ROLE)\b",
+    r"\b(?:LEADING|TRAILING|BOTH)\b(?=[^,()]*\bFROM\b)",
+    r"\bNULLS\s+(?:FIRST|LAST)\b",
+    r"\bAT\s+(?:LOCAL\b|TIME\s+ZONE\b)",
+    r"\b(?:ROWS|RANGE)\b(?=\s+(?:BETWEEN|UNBOUNDED|CURRENT|\d))",
+    r"\b(?:UNBOUNDED|\d+)\s+(?:PRECEDING|FOLLOWING)\b",
+    r"\bCURRENT\s+ROW\b",
+]
 _UNIT = "struct<clause:string,branch_no:int,cols:string,items:string>"
 _CTX = "struct<rank:int,top_level:boolean,text:string,match:string,shown:string,shown_named:string>"
 
@@ -56,7 +71,7 @@ def parse_statements(statements: DataFrame) -> DataFrame:
     that read columns, ``inputs`` other texts that name columns. The arrays of a
     failed statement are empty.
     """
-    kind, sql = F.col("kind"), F.col("sql_query")
+    kind, sql = F.col("kind"), F.col("sql")
     ok = F.col("parse_status") == "OK"
     cols, rest = insert_parts(sql)
     sources = statements.withColumn("kind", F.when(ok, kind).otherwise(FAILED)).select(
@@ -67,6 +82,11 @@ def parse_statements(statements: DataFrame) -> DataFrame:
         .when(ok, sql)
         .otherwise("")
         .alias("source"),
+    ).withColumn(
+        "source",
+        F.when(kind.isin(_SELECT_KINDS + ["INSERT"]), S.without_wrappers(F.col("source"))).otherwise(
+            F.col("source")
+        ),
     )
     has_top = kind.isin(_SELECT_KINDS + ["INSERT"])
     bodies = sources.withColumn(
@@ -74,6 +94,7 @@ def parse_statements(statements: DataFrame) -> DataFrame:
         F.concat(
             F.array(F.when(has_top, S.from_first_select(F.col("source"))).otherwise("")),
             S.nested_selects(F.col("source")),
+            F.when(ok, F.col("deep_selects")).otherwise(F.array().cast("array<string>")),
         ),
     )
     branches = bodies.withColumn(
@@ -176,7 +197,7 @@ def parse_statements(statements: DataFrame) -> DataFrame:
     def context(rank: int, text: Column, top: Column, word: str = "") -> Column:
         shown = {2: K.READ_JOIN, 3: K.READ_WHERE}.get(rank)
         fixed = {4: K.READ_GROUP_BY, 5: K.READ_ORDER_BY}.get(rank)
-        tidy = N.collapse_spaces(text)
+        tidy = N.collapse_spaces(S.unfold(text))
         return F.struct(
             F.lit(rank).alias("rank"),
             top.alias("top_level"),
@@ -222,16 +243,20 @@ def parse_statements(statements: DataFrame) -> DataFrame:
             lambda u: u["items"],
         ),
     )
+    # UPDATE names further tables in a FROM of its own, before or behind SET.
+    heads = _array(writes, S.head_tables(sql), "struct<name:string,alias:string>")
     tables = F.concat(
-        _array(writes, S.head_tables(sql), "struct<name:string,alias:string>"),
+        heads,
+        F.array_except(S.from_tables(F.col("own_from")), heads),
         F.flatten(F.transform("parts", lambda p: S.from_tables(p["from"]))),
     )
+    inputs = F.transform(inputs, S.unfold)
     return computed_once(
         whens.withColumn("units", units)
         .withColumn("tables", tables)
         .withColumn("contexts", contexts)
         .withColumn("inputs", inputs)
-        .select(*statements.drop("body").columns, "tables", "units", "contexts", "inputs")
+        .select(*statements.drop("body", "sql", "deep_selects").columns, "tables", "units", "contexts", "inputs")
     )
 
 
@@ -281,8 +306,10 @@ def assignments(parsed: DataFrame) -> DataFrame:
     is_select = clause.isin(SELECT, INSERT_SELECT)
     lhs, rhs = S.split_assignment(item)
     select_expr, select_name, aliased = S.split_alias(item)
+    listed = F.exists("cols", lambda c: N.last_part(c) == select_name)
     raw = items.select(
         "*",
+        ((clause == INSERT_SELECT) & aliased & ~listed).alias("second"),
         F.when(is_set, rhs).when(is_select, select_expr).otherwise(item).alias("raw_expr"),
         F.when(is_set, N.last_part(lhs))
         .when(clause == SELECT, select_name)
@@ -291,7 +318,7 @@ def assignments(parsed: DataFrame) -> DataFrame:
         (is_select & aliased).alias("aliased"),
         F.when(is_select & aliased, select_name).otherwise("").alias("alias_name"),
     )
-    tidy = raw.select("*", N.collapse_spaces(F.col("raw_expr")).alias("expr"))
+    tidy = raw.select("*", N.collapse_spaces(S.unfold(F.col("raw_expr"))).alias("expr"))
     result = tidy.select(
         "query_id",
         "parent",
@@ -307,7 +334,8 @@ def assignments(parsed: DataFrame) -> DataFrame:
         "expr",
         "aliased",
         "alias_name",
-        N.collapse_spaces(item).alias("item"),
+        N.collapse_spaces(S.unfold(item)).alias("item"),
+        "second",
     )
     facts = computed_once(result).where("expr <> ''")
     expr = F.col("expr")
@@ -321,8 +349,24 @@ def assignments(parsed: DataFrame) -> DataFrame:
     )
 
 
+def with_alias_targets(assigned: DataFrame) -> DataFrame:
+    """Assignments and, marked ``extra``, those to an alias that the column list of its
+    INSERT does not name."""
+    both = F.array(F.lit(False), F.lit(True))
+    rows = assigned.withColumn(
+        "extra", F.explode(F.when(F.col("second"), both).otherwise(F.array(F.lit(False))))
+    )
+    return rows.withColumns(
+        {
+            "target_col": F.when(F.col("extra"), F.col("alias_name")).otherwise(F.col("target_col")),
+            "clause": F.when(F.col("extra"), SELECT).otherwise(F.col("clause")),
+        }
+    )
+
+
 def select_items(assigned: DataFrame) -> DataFrame:
-    return assigned.where(F.col("clause").isin(SELECT, INSERT_SELECT))
+    kept = ~F.col("extra") if "extra" in assigned.columns else F.lit(True)
+    return assigned.where(F.col("clause").isin(SELECT, INSERT_SELECT) & kept)
 
 
 def read_contexts(parsed: DataFrame, assigned: DataFrame) -> DataFrame:
@@ -336,7 +380,7 @@ def read_contexts(parsed: DataFrame, assigned: DataFrame) -> DataFrame:
         "parent",
         "stmt_no",
         F.lit(1).alias("rank"),
-        (F.col("unit_no").cast("long") * MAX_STATEMENT_CHARS + F.col("ord")).alias("pos"),
+        F.struct("unit_no", "ord").alias("pos"),
         F.lit(True).alias("top_level"),
         F.col("item").alias("match"),
         F.concat(F.lit(K.READ_PROJECTION), F.col("item")).alias("shown"),
@@ -360,7 +404,7 @@ def read_contexts(parsed: DataFrame, assigned: DataFrame) -> DataFrame:
         "parent",
         "stmt_no",
         "c.rank",
-        F.col("pos").cast("long").alias("pos"),
+        F.struct(F.col("pos").alias("unit_no"), F.lit(0).alias("ord")).alias("pos"),
         "c.top_level",
         "c.match",
         "c.shown",
@@ -373,7 +417,8 @@ def read_contexts(parsed: DataFrame, assigned: DataFrame) -> DataFrame:
 def column_tokens(text: Column) -> Column:
     """Names used as columns: last part of dotted names, no functions, strings or aliases."""
     pattern = (
-        rf"{S.QUOTED}|(?i:\bAS\s+{S.IDENT})|(?:\b\w+\s*\.\s*)*+\b([A-Za-z_]\w*+)(?!\s*[(.])"
+        rf"{_LITERAL}|{S.QUOTED}|(?i:{'|'.join(_NOT_COLUMNS)})"
+        rf"|(?:\b\w+\s*\.\s*)*+\b([A-Za-z_]\w*+)(?!\s*[(.])"
     )
     found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), F.upper)
     return F.array_except(found, F.array(*map(F.lit, ["", *_EXPRESSION_WORDS])))
@@ -400,7 +445,7 @@ def column_reads(parsed: DataFrame, assigned: DataFrame) -> DataFrame:
         "parent",
         "stmt_no",
         F.lit(6).alias("rank"),
-        F.col("pos").cast("long").alias("pos"),
+        F.struct(F.col("pos").alias("unit_no"), F.lit(0).alias("ord")).alias("pos"),
         F.lit(K.READ_INPUT).alias("shown"),
         F.explode_outer(column_tokens(F.col("text"))).alias("column_name"),
     )

@@ -6,18 +6,15 @@ the optimizer adds a filter on the array's size below, which computes it twice.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# An edge group above this size is split over several tasks.
-ROWS_PER_SALT = 5_000_000
-# Size bound of the broadcast list of hot parents. A parent outside it holds at
-# most 1/MAX_HOT of all edges, so it needs no split.
-MAX_HOT = 20_000
+# Pairs of rows that one split of a hot join key has to make, about.
+PAIRS_PER_SPLIT = 1_000_000
 
 
 def computed_once(df: DataFrame) -> DataFrame:
@@ -25,34 +22,28 @@ def computed_once(df: DataFrame) -> DataFrame:
     return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
 
 
-def checkpoint_dir(df: DataFrame) -> str | None:
-    """Shared folder of the cluster; a temporary one only on a local master."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if spark.conf.get("spark.master", "").startswith("local"):
-        folder = tempfile.mkdtemp(prefix="weftline-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
-    return None
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, work_dir: str | None = None) -> DataFrame:
     """Compute ``df`` once for several readers.
 
-    Written as a parquet table to the checkpoint folder, which cuts the lineage,
-    survives lost executors and lets each reader prune columns. Without such a
-    folder the result is persisted and lost blocks are computed again.
+    Written as a parquet table below ``work_dir``, else below the session's
+    ``spark.checkpoint.dir``: that cuts the lineage, survives lost executors and lets each
+    reader prune columns. Where neither is given the result is persisted, and lost blocks are
+    computed again; :func:`release` gives it up.
     """
-    folder = checkpoint_dir(df)
-    if folder is None:
+    folder = work_dir or df.sparkSession.conf.get("spark.checkpoint.dir", None)
+    if not folder:
         return df.persist(StorageLevel.MEMORY_AND_DISK)
     path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(*frames: DataFrame) -> None:
+    """Give up results that :func:`materialize` persisted; written tables stay."""
+    for df in frames:
+        df.unpersist()
+
+
 def spread_work(df: DataFrame, *keys: str) -> DataFrame:
     """Hash rows evenly over the shuffle partitions, before costly per-row work.
 
@@ -62,37 +53,37 @@ def spread_work(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(parts, *keys)
 
 
-def hot_parents(edges: DataFrame, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
-    """Parents with many edges and the number of salts each gets; at most ``MAX_HOT`` rows."""
-    return (
-        edges.groupBy("parent")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > rows_per_salt)
-        .orderBy(F.desc("n"), "parent")
-        .limit(MAX_HOT)
-        .select("parent", F.ceil(F.col("n") / rows_per_salt).cast("int").alias("salts"))
-    )
-
-
-def salt_rows(df: DataFrame, hot: DataFrame, *spread_by: str) -> DataFrame:
-    """Give every row a ``salt`` below its parent's number of salts.
+def spread_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    spread_by: str,
+    work_dir: str | None = None,
+    pairs_per_split: int | None = None,
+) -> DataFrame:
+    """Inner join whose hot keys are split by the number of pairs they make.
 
-    The partition id is part of the hash, so a large group of equal rows is
-    split too. Any salt joins the same right side, so results do not depend on it.
+    Rows of ``left`` with a hot key are dealt over splits by a hash of ``spread_by``; the
+    rows of ``right`` are repeated once per split. Any split gives the same pairs.
     """
-    number = F.pmod(F.xxhash64(*spread_by, F.spark_partition_id()), F.col("salts"))
-    return (
-        df.join(F.broadcast(hot), "parent", "left")
-        .withColumn("salt", F.when(F.col("salts").isNull(), 0).otherwise(number).cast("int"))
-        .drop("salts")
+    keys, pairs_per_split = list(keys), pairs_per_split or PAIRS_PER_SPLIT
+    pairs = F.col("nl") * F.col("nr")
+    splits = F.least(F.ceil(pairs / pairs_per_split), F.col("nl")).cast("int")
+    hot = (
+        left.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("nl"))
+        .join(right.groupBy(*keys).agg(F.count(F.lit(1)).alias("nr")), keys)
+        .where(pairs > pairs_per_split)
+        .select(*keys, splits.alias("splits"))
     )
-
-
-def copy_to_salts(df: DataFrame, hot: DataFrame) -> DataFrame:
-    """Repeat the rows of a hot parent once per salt."""
-    last = F.coalesce("salts", F.lit(1)) - 1
-    return (
-        df.join(F.broadcast(hot), "parent", "left")
-        .withColumn("salt", F.explode_outer(F.sequence(F.lit(0), last)))
-        .drop("salts")
+    hot = materialize(hot, "hot-keys", work_dir)
+    if not hot.head(1):
+        return left.join(right, keys)
+    last = F.coalesce("splits", F.lit(1)) - 1
+    dealt = left.join(hot, keys, "left").withColumn(
+        "split", F.coalesce(F.pmod(F.xxhash64(spread_by), F.col("splits")), F.lit(0)).cast("int")
+    )
+    repeated = right.join(hot, keys, "left").withColumn(
+        "split", F.explode_outer(F.sequence(F.lit(0), last))
     )
+    return dealt.drop("splits").join(repeated.drop("splits"), [*keys, "split"]).drop("split")

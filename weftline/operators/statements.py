@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import DIM_COLUMNS, Profile, get_profile
-from ..functions.names import bare_table, normalize, strip, truncate_error
+from ..functions.names import bare_table, strip
 from ..functions.shape import (
     GROUP,
     IDENT,
@@ -16,6 +16,7 @@ from ..functions.shape import (
     QUOTED,
     SELECT,
     cut,
+    fold,
     from_first_select,
     is_balanced,
     until,
@@ -23,21 +24,16 @@ from ..functions.shape import (
 )
 from .spread import computed_once
 
-# Patterns of comments, pure DDL and CREATE / REPLACE heads.
+# Comments.
 _BLOCK_COMMENT = r"/\*[^*]*+\*++(?:[^*/][^*]*+\*++)*+/"
 _LINE_COMMENT = r"--[^\n]*"
-_DDL_HEAD = r"^(?:DROP\s+TABLE|ALTER\s+TABLE|ALTER\s+COLUMN|COLLECT\s+STATISTICS)\b"
-_CREATE_TABLE_HEAD = r"^CREATE\s+(?:MULTISET\s+|VOLATILE\s+|GLOBAL\s+TEMPORARY\s+)?TABLE\b"
-_AS_SELECT = r"\bAS\b\s*\(*\s*\bSELECT\b"
-_CTAS_PREFIX = (
-    r"CREATE\s+(?:MULTISET\s+|GLOBAL\s+TEMPORARY\s+(?:MULTISET\s+)?|VOLATILE\s+)?"
-    r"TABLE\s+\S+\s+AS(?=\s+SELECT\b)"
-)
-_VIEW_PREFIX = (
-    r"REPLACE\s+(?:RECURSIVE\s+)?VIEW\s+\S+\s+"
-    r"(?:LOCKING\s+\S+\s+(?:ACCESS|READ|WRITE|EXCLUSIVE)(?:\s+FOR\s+LOAD)?\s+)??"
-    r"(?:WITH\s+(?:NO\s+)?DATA\s+)?AS(?=\s+SELECT\b)"
-)
+# Statements that define or maintain objects and carry no lineage.
+_OTHER_VERBS = [
+    "DROP", "ALTER", "COLLECT", "GRANT", "REVOKE", "CALL", "EXPLAIN", "SHOW", "HELP", "RENAME",
+    "DATABASE", "COMMENT", "SET", "BT", "ET", "BEGIN", "END", "COMMIT", "EXEC", "EXECUTE",
+]
+_ONE_MODIFIER = ["", "MULTISET", "VOLATILE", "GLOBAL TEMPORARY"]
+_DDL_OBJECTS = ["DROP TABLE", "ALTER TABLE", "ALTER COLUMN", "COLLECT STATISTICS"]
 
 
 def strip_comments(sql: Column, profile: str | Profile = "rows") -> Column:
@@ -72,36 +68,49 @@ def placeholder_id(parent: Column) -> Column:
     return statement_id(parent, F.lit(0), F.lit(""))
 
 
+def leading_words(stmt: Column) -> Column:
+    """The words a statement starts with, upper case with single blanks, however many."""
+    words = F.regexp_extract(strip(stmt), r"\A[\s(]*+((?:[A-Za-z_]\w*+(?:\s++|\b))*+)", 1)
+    return F.upper(strip(F.regexp_replace(words, r"\s+", " ")))
+
+
 def is_pure_ddl(stmt: Column) -> Column:
-    return _pure_ddl(normalize(stmt))
+    return _pure_ddl(F.upper(stmt), leading_words(stmt))
 
 
-def _pure_ddl(s: Column) -> Column:
-    return s.rlike(_DDL_HEAD) | (s.rlike(_CREATE_TABLE_HEAD) & ~s.rlike(_AS_SELECT))
+def _pure_ddl(upper_sql: Column, head: Column) -> Column:
+    """Maintenance of an object, or CREATE TABLE that takes no rows from a SELECT."""
+    verb_object = F.substring_index(head, " ", 2)
+    modifier = F.regexp_extract(head, r"\ACREATE (?:(.*?) )?TABLE\b", 1)
+    makes_table = head.rlike(r"\ACREATE (?:.* )?TABLE\b") & modifier.isin(_ONE_MODIFIER)
+    return verb_object.isin(_DDL_OBJECTS) | (
+        makes_table & ~upper_sql.rlike(r"\bAS\b[\s(]*SELECT\b")
+    )
+
+
+def _created(head: Column) -> Column:
+    """TABLE or VIEW, whichever follows CREATE or REPLACE first behind any modifiers."""
+    return F.regexp_extract(head, r"\A(?:CREATE|REPLACE)(?: (?!TABLE\b|VIEW\b)\w+)*+ (TABLE|VIEW)\b", 1)
 
 
 def statement_kind(stmt: Column) -> Column:
-    return _kind(F.upper(F.substring(strip(stmt), 1, 200)))
+    return _kind(leading_words(stmt))
 
 
 def _kind(s: Column) -> Column:
-    create = s.rlike(r"^(?:CREATE|REPLACE)\b")
+    """Kind of a statement from its :func:`leading_words`."""
+    verb = F.substring_index(s, " ", 1)
+    create = verb.isin("CREATE", "REPLACE")
     return (
-        F.when(s.rlike(r"^MERGE\b"), "MERGE")
-        .when(s.rlike(r"^(?:UPDATE|UPD)\b"), "UPDATE")
-        .when(s.rlike(r"^(?:INSERT|INS)\b"), "INSERT")
-        .when(s.rlike(r"^(?:DELETE|DEL)\b"), "DELETE")
-        .when(s.rlike(rf"^(?:\(\s*)*(?:{SELECT}|WITH)\b"), "SELECT")
-        .when(create & s.rlike(r"^\w+\s+(?:\w+\s+){0,3}VIEW\b"), "VIEW")
-        .when(create & s.rlike(r"^\w+\s+(?:\w+\s+){0,4}TABLE\b"), "CTAS")
+        F.when(verb == "MERGE", "MERGE")
+        .when(verb.isin("UPDATE", "UPD"), "UPDATE")
+        .when(verb.isin("INSERT", "INS"), "INSERT")
+        .when(verb.isin("DELETE", "DEL"), "DELETE")
+        .when(verb.isin("SELECT", "SEL", "WITH"), "SELECT")
+        .when(create & (_created(s) == "VIEW"), "VIEW")
+        .when(create & (_created(s) == "TABLE"), "CTAS")
         .when(create, "CREATE")
-        .when(
-            s.rlike(
-                r"^(?:DROP|ALTER|COLLECT|GRANT|REVOKE|CALL|EXPLAIN|SHOW|HELP|RENAME|DATABASE|"
-                r"COMMENT|SET|BT|ET|BEGIN|END|COMMIT|EXEC|EXECUTE)\b"
-            ),
-            "DDL",
-        )
+        .when(verb.isin(_OTHER_VERBS), "DDL")
         .otherwise("OTHER")
     )
 
@@ -124,9 +133,9 @@ def select_body(stmt: Column) -> Column:
 
 
 def strip_create_prefix(stmt: Column) -> Column:
-    """Take off a CREATE TABLE … AS / REPLACE VIEW … AS head that a SELECT follows directly."""
-    prefix = rf"(?i)^\s*(?:{_CTAS_PREFIX}|{_VIEW_PREFIX})\s*"
-    return strip(F.regexp_replace(stmt, prefix, ""))
+    """Take off a CREATE … AS / REPLACE … AS head that a SELECT follows directly."""
+    head = rf"(?is)\A\s*(?:CREATE|REPLACE)\b{until('AS')}\bAS\s+(?=SELECT\b)"
+    return strip(F.regexp_replace(stmt, head, ""))
 
 
 def write_target(stmt: Column, kind: Column) -> Column:
@@ -168,56 +177,52 @@ def _has_anchor(stmt: Column, body: Column, kind: Column) -> Column:
 def statement_catalog(sql_files: DataFrame, profile: str | Profile = "rows") -> DataFrame:
     """One row per statement: id, text, kind, body, write target and parse status.
 
-    A file without statements keeps one placeholder row. Only the first
-    ``max_statements`` of a file are taken; ``n_statements`` has the full number.
+    A file without statements keeps one placeholder row. ``sql`` is the text with its deepest
+    groups folded, ``deep_selects`` has the bodies of SELECTs among them.
     """
     profile = get_profile(profile)
-    files = sql_files.select(
-        "parent", split_statements(F.col("sql_text"), profile).alias("all_statements")
-    )
-    exploded = files.select(
+    exploded = sql_files.select(
         "parent",
-        F.size("all_statements").alias("n_statements"),
-        F.posexplode_outer(F.slice("all_statements", 1, profile.max_statements)).alias(
-            "stmt_no", "stmt"
-        ),
+        F.posexplode_outer(split_statements(F.col("sql_text"), profile)).alias("stmt_no", "stmt"),
     ).select(
         "parent",
-        "n_statements",
         F.coalesce("stmt_no", F.lit(0)).alias("stmt_no"),
         F.coalesce("stmt", F.lit("")).alias("sql_query"),
     )
-    sql = F.col("sql_query")
-    fits = (F.length(sql) <= profile.max_statement_chars) & (sql != "")
+    full = F.col("sql_query")
+    folded, deep_selects = fold(full)
     # Texts used by many tests are computed once, in a projection of their own.
     sized = exploded.select(
-        statement_id(F.col("parent"), F.col("stmt_no"), sql).alias("query_id"),
+        statement_id(F.col("parent"), F.col("stmt_no"), full).alias("query_id"),
         "*",
-        fits.alias("fits"),
-        F.when(fits, F.upper(sql)).otherwise("").alias("upper_sql"),
-    ).withColumn("head", F.substring("upper_sql", 1, 200))
+        folded.alias("sql"),
+        deep_selects.alias("deep_selects"),
+        F.upper(full).alias("upper_sql"),
+        leading_words(full).alias("head"),
+    )
+    sql = F.col("sql")
     typed = sized.withColumn("kind", _kind(F.col("head")))
     kind = F.col("kind")
     creates = kind.isin("CTAS", "VIEW", "CREATE")
     body = typed.withColumn(
-        "body", F.when(creates, select_body(sql)).when(F.col("fits"), sql).otherwise("")
+        "body", F.when(creates, select_body(sql)).otherwise(sql)
     ).withColumn("anchored", _has_anchor(sql, F.col("body"), kind))
     code = (
-        F.when(sql == "", "NO_STATEMENTS")
-        .when(~F.col("fits"), "STATEMENT_TOO_LARGE")
-        .when(_pure_ddl(F.col("upper_sql")), "PURE_DDL_SKIPPED")
+        F.when(full == "", "NO_STATEMENTS")
+        .when(_pure_ddl(F.col("upper_sql"), F.col("head")), "PURE_DDL_SKIPPED")
         .when(kind == "DDL", "DDL_NODE_SKIPPED")
         .when(creates & (F.col("body") == ""), "CREATE_NO_SELECT_SKIPPED")
         .when(~is_balanced(sql), "UNBALANCED")
         .when(~F.col("anchored"), "UNSUPPORTED_STATEMENT")
         .otherwise("")
     )
-    catalog = body.withColumn("parse_error", truncate_error(code)).select(
+    catalog = body.withColumn("parse_error", code).select(
         "query_id",
         "parent",
         "stmt_no",
-        "n_statements",
         "sql_query",
+        "sql",
+        "deep_selects",
         "body",
         "kind",
         F.when(F.col("parse_error") == "", write_target(sql, kind))

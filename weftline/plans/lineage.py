@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -14,25 +15,23 @@ from ..operators import candidates as C
 from ..operators import edges as E
 from ..operators import shapes as SH
 from ..operators import statements as ST
-from ..operators.spread import (
-    ROWS_PER_SALT,
-    computed_once,
-    copy_to_salts,
-    hot_parents,
-    materialize,
-    salt_rows,
-    spread_work,
-)
+from ..operators.spread import computed_once, materialize, release, spread_work
 from . import reports as R
 
-_OUTCOME = "array<struct<logic:string,query_id:string>>"
-
 
 class Lineage(NamedTuple):
+    """``shared`` are the results that several outputs read; :meth:`release` gives up those
+    that are persisted and not written to a work folder."""
+
     fact: DataFrame
     dim: DataFrame
     summary: DataFrame
     warnings: DataFrame
+    shared: tuple[DataFrame, ...] = ()
+    profile: str | Profile = "rows"
+
+    def release(self) -> None:
+        release(*self.shared)
 
 
 class Corpus(NamedTuple):
@@ -42,16 +41,14 @@ class Corpus(NamedTuple):
     assigned: DataFrame
 
 
-def referenced_files(edges: DataFrame, sql_files: DataFrame) -> DataFrame:
-    """Files that some edge names, hashed by file for the text work that follows."""
-    parents = edges.select("parent").distinct()
-    return spread_work(sql_files, "parent").join(parents, "parent", "left_semi")
-
+class Job(NamedTuple):
+    """Prepared edges, their distinct cases and the statements they ask about."""
 
-def build_corpus(sql_files: DataFrame, profile: Profile) -> Corpus:
-    catalog = ST.statement_catalog(sql_files, profile)
-    parsed = materialize(SH.parse_statements(catalog), "statements")
-    return Corpus(parsed, materialize(SH.assignments(parsed), "assignments"))
+    edges: DataFrame
+    cases: DataFrame
+    corpus: Corpus
+    profile: Profile
+    work_dir: str | None
 
 
 def clean_edges(edges: DataFrame, profile: Profile) -> DataFrame:
@@ -60,92 +57,115 @@ def clean_edges(edges: DataFrame, profile: Profile) -> DataFrame:
 
 
 def prepare_edges(edges: DataFrame, profile: Profile) -> DataFrame:
-    """Edges in normal form with their gate; ``rows`` also drops repeated edges."""
+    """Edges in normal form with gate and case; ``rows`` also drops repeated edges."""
     raw = clean_edges(edges, profile)
     if profile.multi_row:
         raw = E.dedup_edges(raw)
-    return computed_once(E.with_gate(E.normalize_edges(raw, profile), profile))
-
-
-def source_names(edges: DataFrame, profile: Profile) -> DataFrame:
-    """Distinct source names per parent to look for in texts: ``(parent, kind, source)``."""
-    gated = E.with_gate(E.normalize_edges(clean_edges(edges, profile), profile), profile)
-    return (
-        computed_once(gated.select("parent", "gate", "src_col"))
-        .where(F.col("gate").isin("normal", "static", "read") & (F.col("src_col") != ""))
-        .select("parent", _mention_kind().alias("kind"), F.col("src_col").alias("source"))
-        .distinct()
+    gated = computed_once(E.with_gate(E.normalize_edges(raw, profile), profile))
+    kept = ["row_id", *EDGE_COLUMNS, "parent_given", "case_id"]
+    return E.with_case(gated, profile).select(
+        *kept, *[c for c in E.CASE_COLUMNS if c not in EDGE_COLUMNS]
     )
 
 
-def _mention_kind() -> Column:
-    return F.when(F.col("gate") == "read", C.CONTEXT).otherwise(C.MENTIONED)
-
-
-def join_lookups(
-    edges: DataFrame, corpus: Corpus, profile: Profile, rows_per_salt: int = ROWS_PER_SALT
-) -> DataFrame:
-    """Edges with the facts of their file and the entries of their lookup key.
+def prepare(
+    edges: DataFrame,
+    sql_files: DataFrame,
+    profile: str | Profile,
+    gates: Sequence[str] = (),
+    work_dir: str | None = None,
+) -> Job:
+    """Read the edges once, then only the files that they name; all else derives from these.
 
-    All joins share ``(parent, salt)``; hot parents are split by the salt. One
-    shuffle on these two columns serves every join (see :mod:`weftline.session`).
+    ``gates`` restricts the job to the edges that take one of them.
     """
-    hot = hot_parents(clean_edges(edges, profile), rows_per_salt)
-    parsed, assigned = corpus
-    info = ST.file_info(parsed, profile)
-    if not profile.multi_row:
-        first_star = SH.wildcards(parsed, assigned).groupBy("parent").agg(
-            F.min(F.struct("stmt_no", "prio", "query_id", "description")).alias("first_star")
-        )
-        info = info.join(first_star, "parent", "left")
-        lookup = C.lookup_concat(parsed, assigned, hot, profile)
-    else:
-        lookup = C.lookup_rows(parsed, assigned, hot)
-    prepared = prepare_edges(edges, profile)
-    salted = spread_work(salt_rows(prepared, hot, "row_id"), "parent", "salt")
-    # Both sides are hashed by both columns on purpose: left to itself, the planner
-    # may hash the edges by the parent alone and undo the salt.
-    facts = copy_to_salts(info.withColumn("has_file", F.lit(True)), hot)
-    with_file = salted.join(spread_work(facts, "parent", "salt"), ["parent", "salt"], "left")
-    joined = with_file.join(lookup, C.LOOKUP_KEY, "left")
-    if not profile.multi_row:
-        return joined
-    joined = joined.withColumn("plain_source", N.is_plain_word(F.col("src_col")))
-    names = source_names(edges, profile)
-    found = C.lookup_mentions(names, C.mentions(parsed, assigned), hot).withColumnsRenamed(
-        {"kind": "m_kind", "key": "m_key"}
+    profile = get_profile(profile)
+    prepared = prepare_edges(E.with_file_key(edges), profile)
+    if gates:
+        prepared = prepared.where(F.col("gate").isin(list(gates)))
+    prepared = materialize(prepared, "edges", work_dir)
+    asked = materialize(E.cases(prepared), "cases", work_dir)
+    parents = materialize(asked.select("parent").distinct(), "parents", work_dir)
+    # The list of files is small beside their texts: unnamed files go before any shuffle.
+    named = spread_work(sql_files.join(parents, "parent", "left_semi"), "parent")
+    catalog = ST.statement_catalog(named, profile)
+    parsed = materialize(SH.parse_statements(catalog), "statements", work_dir)
+    assigned = materialize(
+        SH.with_alias_targets(SH.assignments(parsed)), "assignments", work_dir
+    )
+    return Job(prepared, asked, Corpus(parsed, assigned), profile, work_dir)
+
+
+def _mentions(job: Job) -> DataFrame:
+    """Hits of the source names that some case looks for in texts."""
+    look = F.col("gate").isin("normal", "static", "read") & (F.col("src_col") != "")
+    kind = F.when(F.col("gate") == "read", C.CONTEXT).otherwise(C.MENTIONED)
+    names = job.cases.where(look).select("parent", kind.alias("kind"), F.col("src_col").alias("source"))
+    hits = C.find_mentions(names.distinct(), C.searched_texts(*job.corpus))
+    return materialize(hits, "mentions", job.work_dir)
+
+
+def scored_cases(job: Job, mentions: DataFrame | None = None) -> DataFrame:
+    """Every candidate of the cases that scan statements (columns ``C.CANDIDATE``)."""
+    scans = job.cases.where(F.col("gate").isin("normal", "static"))
+    if job.profile.multi_row:
+        mentions = _mentions(job) if mentions is None else mentions
+        return C.candidates_rows(scans, job.corpus.assigned, mentions, job.profile, job.work_dir)
+    logic = C.statement_logic(job.corpus.assigned, job.profile)
+    return C.candidates_concat(scans, logic, job.profile, job.work_dir)
+
+
+def _literals_or_all(rows: DataFrame) -> DataFrame:
+    """Rows (case_id, logic, query_id, is_literal): of a case with literals only these."""
+    case = Window.partitionBy("case_id")
+    marked = rows.withColumn("any_literal", F.max("is_literal").over(case))
+    return marked.where("is_literal OR NOT any_literal").select("case_id", "logic", "query_id")
+
+
+def _found_rows(job: Job) -> DataFrame:
+    """``rows``: what the statements answer, one row per case and distinct outcome."""
+    parsed, assigned = job.corpus
+    mentions = _mentions(job)
+    contexts = C.searched_texts(parsed, assigned).where(F.col("kind") == C.CONTEXT)
+    shown = mentions.where(F.col("kind") == C.CONTEXT).join(
+        contexts.select("parent", "tid", "shown"), ["parent", "tid"]
     )
-    probe = joined.withColumn("m_kind", _mention_kind()).withColumn("m_key", F.col("src_col"))
-    return probe.join(found, ["parent", "salt", "m_kind", "m_key"], "left")
+    reads = (
+        job.cases.where("gate = 'read'")
+        .select("case_id", "parent", F.col("src_col").alias("source"))
+        .join(shown, ["parent", "source"])
+        .select("case_id", F.col("shown").alias("logic"), "tid.query_id")
+        .distinct()
+    )
+    static = job.cases.where("gate = 'static'")
+    entries = C.entries_rows(assigned).select("parent", "key", "expr", "query_id", "is_literal")
+    constants = (
+        static.select("case_id", "parent", "key")
+        .join(entries, ["parent", "key"])
+        .select("case_id", F.col("expr").alias("logic"), "query_id", "is_literal")
+        .distinct()
+    )
+    constants = materialize(_literals_or_all(constants), "constants", job.work_dir)
+    tier = C.best_tier(scored_cases(job, mentions)).select("case_id", "logic", "query_id").distinct()
+    tier = tier.join(constants.select("case_id").distinct(), "case_id", "left_anti")
+    return materialize(reads.union(constants).union(tier), "found", job.work_dir)
 
 
-def _one(logic: Column | str, query_id: Column | str) -> Column:
-    logic = F.lit(logic) if isinstance(logic, str) else logic
-    query_id = F.lit(query_id) if isinstance(query_id, str) else query_id
-    return F.array(F.struct(logic.alias("logic"), query_id.alias("query_id"))).cast(_OUTCOME)
+def _with_file_facts(job: Job, asked: DataFrame, firsts: DataFrame) -> DataFrame:
+    """Cases with the facts of their file and the first statement for their key."""
+    info = ST.file_info(job.corpus.parsed, job.profile).withColumn("has_file", F.lit(True))
+    if not job.profile.multi_row:
+        stars = SH.wildcards(*job.corpus).groupBy("parent").agg(
+            F.min(F.struct("stmt_no", "prio", "query_id", "description")).alias("first_star")
+        )
+        info = info.join(stars, "parent", "left")
+    return asked.join(info, "parent", "left").join(firsts, C.PLACE, "left")
 
 
-def with_candidates(joined: DataFrame, profile: Profile) -> DataFrame:
-    """Add the scored ``candidates`` and their best ``tier`` to joined edges."""
-    scans = F.col("gate").isin("normal", "static")
-    empty = F.array().cast(C.NO_CANDIDATES)
-    if profile.multi_row:
-        entries = F.concat(
-            F.filter(F.coalesce("entries", F.array()), lambda e: e["usable"]),
-            F.coalesce("mention_entries", F.array()),
-        )
-        pool = joined.withColumn("pool", F.when(scans, entries))
-        value = C.candidates_rows(F.col("pool"), profile)
-        prefer = F.lit(False)
-    else:
-        pool = joined.withColumn("pool", F.when(scans, F.col("entries")))
-        value = C.candidates_concat(F.col("pool"), F.col("gate") == "static", profile)
-        prefer = F.col("gate") == "static"
-    scored = pool.withColumn("candidates", F.coalesce(value, empty))
-    return C.best_tier(scored, prefer)
-
-
-def _outcome_rows(profile: Profile) -> Column:
+def _outcomes_rows(job: Job) -> DataFrame:
+    found = _found_rows(job)
+    rest = job.cases.join(found.select("case_id").distinct(), "case_id", "left_anti")
+    facts = _with_file_facts(job, rest, C.firsts_rows(*job.corpus))
     gate = F.col("gate")
     missing_id = ST.placeholder_id(F.col("parent"))
     default = F.coalesce("default_id", missing_id)
@@ -154,53 +174,53 @@ def _outcome_rows(profile: Profile) -> Column:
     null_id = F.when(
         F.col("tgt_name") == "", F.coalesce("first_values_id", default)
     ).otherwise(F.coalesce(first_id, default))
-    reads = F.transform(
-        "contexts", lambda c: F.struct(c["shown"].alias("logic"), c["query_id"].alias("query_id"))
-    )
-    any_literal = F.exists("entries", lambda e: e["is_literal"])
-    constants = F.array_distinct(
-        F.transform(
-            F.filter("entries", lambda e: e["is_literal"] | ~F.col("has_literal")),
-            lambda e: F.struct(e["expr"].alias("logic"), e["query_id"].alias("query_id")),
-        )
-    )
-    tier = F.array_distinct(
-        F.transform(
-            "tier", lambda c: F.struct(c["logic"].alias("logic"), c["query_id"].alias("query_id"))
-        )
-    )
     outcome = (
         F.when(gate == "file_error", _one(K.PROCESSING_ERROR, ""))
         .when(gate == "null", _one(K.NULL_LITERAL, null_id))
-        .when(
-            gate == "wildcard",
-            _one(K.WILDCARD_ROWS, F.coalesce(first_id, default)),
-        )
-        .when((gate == "read") & (F.size("contexts") > 0), reads)
+        .when(gate == "wildcard", _one(K.WILDCARD_ROWS, F.coalesce(first_id, default)))
         .when(gate == "missing_both", _one(K.MISSING_BOTH, default))
         .when(gate == "missing_source", _one(K.MISSING_SOURCE, default))
         .when(gate.isin("missing_target", "read"), _one(K.MISSING_TARGET, default))
-        .when((gate == "static") & (F.size("entries") > 0), constants)
-        .when(F.size("tier") > 0, tier)
-        .when(gate == "static", _one(profile.static_fallback, default))
+        .when(gate == "static", _one(job.profile.static_fallback, default))
         .when(failed.isNotNull(), _one(K.PARSE_FAILED, failed))
         .otherwise(_one(K.NOT_FOUND, default))
     )
-    return any_literal, outcome
+    return found.union(facts.select("case_id", outcome.alias("o")).select("case_id", "o.*"))
+
+
+def _one(logic: Column | str, query_id: Column | str) -> Column:
+    logic = F.lit(logic) if isinstance(logic, str) else logic
+    query_id = F.lit(query_id) if isinstance(query_id, str) else query_id
+    return F.struct(logic.alias("logic"), query_id.alias("query_id"))
+
+
+def _tiers_concat(job: Job) -> DataFrame:
+    """``concat``: per case the distinct expressions of the best tier in statement order."""
+    static = job.cases.where("gate = 'static'")
+    tier = C.best_tier(scored_cases(job), static)
+    at = F.min(F.struct("ord", "seq", "query_id")).alias("at")
+    each = tier.groupBy("case_id", "logic").agg(at)
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("at", "logic"))), lambda x: x["logic"])
+    return each.groupBy("case_id").agg(
+        F.array_join(texts, " | ").alias("tier_logic"), F.min("at").alias("tier_at")
+    )
 
 
-def _outcome_concat(profile: Profile) -> Column:
+def _outcomes_concat(job: Job) -> DataFrame:
+    logic = C.statement_logic(job.corpus.assigned, job.profile)
+    facts = _with_file_facts(job, job.cases, C.firsts_concat(*job.corpus, logic))
+    facts = facts.join(_tiers_concat(job), "case_id", "left")
     gate = F.col("gate")
     default = F.coalesce("default_id", F.lit(""))
     first_id, first_text = F.col("first.query_id"), F.col("first.text")
     star_text = F.concat(
         F.lit("Wildcard ("),
-        F.when(F.coalesce("source_column", F.lit("")) != "", F.col("source_column")).otherwise(
-            F.col("target_column")
+        F.when(F.coalesce("shown_column", F.lit("")) != "", F.col("shown_column")).otherwise(
+            F.coalesce("shown_target", F.lit(""))
         ),
         F.lit(") — all columns from "),
-        F.when(F.coalesce("source_table", F.lit("")) != "", F.col("source_table")).otherwise(
-            F.coalesce("target_table", F.lit(""))
+        F.when(F.coalesce("shown_table", F.lit("")) != "", F.col("shown_table")).otherwise(
+            F.coalesce("shown_target_table", F.lit(""))
         ),
     )
     star = (
@@ -212,69 +232,57 @@ def _outcome_concat(profile: Profile) -> Column:
         .otherwise(_one(star_text, default))
     )
     no_context = F.concat(
-        F.lit("Read column '"), F.col("source_column"), F.lit("' (context not extracted)")
+        F.lit("Read column '"), F.col("shown_column"), F.lit("' (context not extracted)")
     )
-    logics = F.array_distinct(F.transform("tier", lambda c: c["logic"]))
-    tier = _one(F.array_join(logics, " | "), F.get("tier", 0)["query_id"])
-    return (
+    outcome = (
         F.when((gate == "file_error") | F.col("has_file").isNull(), _one(K.NOT_FOUND, ""))
         .when(gate == "null", _one(K.NULL_LITERAL, F.coalesce(first_id, default)))
         .when(gate == "wildcard", star)
         .when(
-            gate == "read",
-            _one(F.coalesce(first_text, no_context), F.coalesce(first_id, default)),
+            gate == "read", _one(F.coalesce(first_text, no_context), F.coalesce(first_id, default))
         )
         .when(gate == "missing_both", _one(K.MISSING_BOTH, default))
         .when(gate == "missing_source", _one(K.MISSING_SOURCE, default))
         .when(gate == "missing_target", _one(K.MISSING_TARGET, default))
-        .when(F.size("tier") > 0, tier)
-        .when(gate == "static", _one(profile.static_fallback, default))
+        .when(
+            F.col("tier_logic").isNotNull(), _one(F.col("tier_logic"), F.col("tier_at.query_id"))
+        )
+        .when(gate == "static", _one(job.profile.static_fallback, default))
         .when(F.col("failed_id").isNotNull(), _one(K.PARSE_FAILED, F.col("failed_id")))
         .otherwise(_one(K.NOT_FOUND, default))
     )
+    return facts.select("case_id", outcome.alias("o")).select("case_id", "o.*")
 
 
-def resolve(scored: DataFrame, profile: Profile) -> DataFrame:
-    """Fact rows (with ``row_id``): the outcome of the first gate that applies."""
-    if profile.multi_row:
-        any_literal, outcome = _outcome_rows(profile)
-        scored = scored.withColumn("has_literal", F.coalesce(any_literal, F.lit(False)))
-    else:
-        outcome = _outcome_concat(profile)
+def resolve(job: Job) -> DataFrame:
+    """Fact rows (with ``row_id``): each edge with the outcomes of its case."""
+    outcomes = _outcomes_rows(job) if job.profile.multi_row else _outcomes_concat(job)
+    outcomes = materialize(outcomes, "outcomes", job.work_dir)
     source = {c: "parent_given" if c == "parent" else c for c in EDGE_COLUMNS}
     given = [F.coalesce(source[c], F.lit("")).alias(c) for c in EDGE_COLUMNS]
-    rows = scored.withColumn("outcome", outcome).select(
-        "row_id", *given, F.explode_outer("outcome").alias("o")
-    )
-    return rows.select(
+    return job.edges.join(outcomes, "case_id").select(
         "row_id",
-        *EDGE_COLUMNS,
-        F.col("o.logic").alias("transformation_logic"),
-        F.col("o.query_id").alias("query_uuid"),
+        *given,
+        F.col("logic").alias("transformation_logic"),
+        F.col("query_id").alias("query_uuid"),
     )
 
 
-def scored_edges(
-    edges: DataFrame,
-    sql_files: DataFrame,
-    profile: str | Profile = "rows",
-    rows_per_salt: int = ROWS_PER_SALT,
-) -> DataFrame:
-    """Edges with all scored candidates and the best tier, before the gates decide."""
-    profile = get_profile(profile)
-    edges = E.with_file_key(edges)
-    corpus = build_corpus(referenced_files(edges, sql_files), profile)
-    return with_candidates(join_lookups(edges, corpus, profile, rows_per_salt), profile)
-
-
 def candidates(edges: DataFrame, sql_files: DataFrame, profile: str | Profile) -> DataFrame:
     """One row per scored candidate of an edge."""
-    exploded = scored_edges(edges, sql_files, profile).select(
-        "row_id", F.explode_outer("candidates").alias("c")
-    )
-    return exploded.where("c IS NOT NULL").select(
-        "row_id", "c.query_id", "c.logic", "c.score", "c.is_literal", "c.ord"
-    )
+    job = prepare(edges, sql_files, profile)
+    return _of_edges(job, scored_cases(job))
+
+
+def best_candidates(edges: DataFrame, sql_files: DataFrame, profile: str | Profile) -> DataFrame:
+    """One row per candidate with the highest score of its edge."""
+    job = prepare(edges, sql_files, profile)
+    return _of_edges(job, C.best_tier(scored_cases(job)))
+
+
+def _of_edges(job: Job, scored: DataFrame) -> DataFrame:
+    rows = job.edges.select("row_id", "case_id").join(scored, "case_id")
+    return rows.select("row_id", "query_id", "logic", "score", "is_literal", "ord")
 
 
 def dim_table(
@@ -301,19 +309,31 @@ def extract_lineage(
     edges: DataFrame,
     sql_files: DataFrame,
     profile: str | Profile = "rows",
-    rows_per_salt: int = ROWS_PER_SALT,
+    work_dir: str | None = None,
 ) -> Lineage:
     """Explain every edge by the expression that fills its target column.
 
     ``edges`` has the seven input columns and optionally a unique ``row_id``;
     ``sql_files`` has ``parent`` and ``sql_text``, one row per file. Where the
     edges write paths in other ways, a column ``parent_key`` names the file.
+    Shared results are written below ``work_dir`` or the session's
+    ``spark.checkpoint.dir`` while this runs, and persisted where neither is set.
     """
+    job = prepare(edges, sql_files, profile, work_dir=work_dir)
+    fact = resolve(job).select("row_id", *FACT_COLUMNS)
+    return _lineage(job, sql_files, fact)
+
+
+def _lineage(job: Job, sql_files: DataFrame, fact: DataFrame) -> Lineage:
+    dim = dim_table(job.cases, sql_files, job.corpus.parsed, job.profile)
+    warnings = R.warnings(job.cases, sql_files, job.corpus.parsed)
+    shared = (job.edges, job.cases, *job.corpus)
+    return Lineage(fact, dim, R.summarize(fact, job.profile), warnings, shared, job.profile)
+
+
+def statement_dim(edges: DataFrame, sql_files: DataFrame, profile: str | Profile = "rows") -> DataFrame:
+    """The dimension alone: the catalog of the named files, without their assignments."""
     profile = get_profile(profile)
-    edges = E.with_file_key(edges)
-    corpus = build_corpus(referenced_files(edges, sql_files), profile)
-    joined = join_lookups(edges, corpus, profile, rows_per_salt)
-    fact = resolve(with_candidates(joined, profile), profile).select("row_id", *FACT_COLUMNS)
-    dim = dim_table(edges, sql_files, corpus.parsed, profile)
-    summary = R.logic_counts(fact) if profile.multi_row else R.summary_metrics(fact)
-    return Lineage(fact, dim, summary, R.warnings(edges, sql_files, corpus.parsed, profile))
+    parents = E.with_file_key(edges).select("parent").distinct()
+    named = spread_work(sql_files.join(parents, "parent", "left_semi"), "parent")
+    return dim_table(parents, sql_files, ST.statement_catalog(named, profile), profile)

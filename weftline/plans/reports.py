@@ -46,6 +46,11 @@ def logic_counts(fact: DataFrame) -> DataFrame:
     )
 
 
+def summarize(fact: DataFrame, profile: str | Profile = "rows") -> DataFrame:
+    """The summary table: counts per outcome for ``rows``, the labelled counts for ``concat``."""
+    return logic_counts(fact) if get_profile(profile).multi_row else summary_metrics(fact)
+
+
 def row_class(logic: Column, profile: str | Profile = "rows") -> Column:
     """Semantic class of a fact row; null where no class applies."""
     profile = get_profile(profile)
@@ -84,47 +89,33 @@ def edges_per_file(edges: DataFrame) -> DataFrame:
 
 
 def missing_file_report(edges: DataFrame, sql_files: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Number of missing files, and a sample of five."""
+    """Number of missing files, and their names in order; show as many as wanted."""
     missing = missing_files(edges, sql_files)
-    return missing.agg(F.count(F.lit(1)).alias("n")), missing.orderBy("parent").limit(5)
+    return missing.agg(F.count(F.lit(1)).alias("n")), missing.orderBy("parent")
 
 
 def warnings(
-    edges: DataFrame, sql_files: DataFrame, statements: DataFrame, profile: str | Profile
+    edges: DataFrame, sql_files: DataFrame, statements: DataFrame
 ) -> DataFrame:
     """Non-fatal findings as ``(parent, code, message)``."""
-    profile = get_profile(profile)
     missing = missing_files(edges, sql_files).select(
         "parent",
         F.lit("READ_ERROR").alias("code"),
         F.concat(F.lit("Missing SQL file: "), F.col("parent")).alias("message"),
     )
-    cap = F.lit(profile.max_statements)
-    capped = (
-        statements.where((F.col("stmt_no") == 0) & (F.col("n_statements") > cap))
-        .select(
-            "parent",
-            F.lit("SKIP_WARN").alias("code"),
-            F.concat(
-                F.col("n_statements").cast("string"),
-                F.lit(" statements found, processing only the first "),
-                cap.cast("string"),
-            ).alias("message"),
-        )
-    )
     failed = statements.where(
         (F.col("parse_status") != "OK") & (F.col("parse_error") != "NO_STATEMENTS")
     ).select(
         "parent",
-        F.when(F.col("parse_error") == "STATEMENT_TOO_LARGE", "SIZE_SKIP")
-        .otherwise("PARSE_WARN")
-        .alias("code"),
+        F.lit("PARSE_WARN").alias("code"),
         F.concat_ws(" ", F.lit("statement"), F.col("stmt_no").cast("string"), "parse_error").alias(
             "message"
         ),
     )
-    return missing.unionByName(capped).unionByName(failed)
+    return missing.unionByName(failed)
 
 
-def first_warnings(warning_rows: DataFrame, n: int = 20) -> DataFrame:
-    return warning_rows.orderBy("parent", "code", "message").limit(n)
+def first_warnings(warning_rows: DataFrame, n: int | None = None) -> DataFrame:
+    """Warnings in order; only the first ``n`` if a display asks for that."""
+    ordered = warning_rows.orderBy("parent", "code", "message")
+    return ordered if n is None else ordered.limit(n)

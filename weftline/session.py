@@ -16,9 +16,6 @@ SETTINGS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # Plans have thousands of small expressions; skip recording a call site for each.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
-    # Edges hashed by (parent, salt) stay in place for joins on more columns.
-    # The plans hash every right side by the same two columns.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 

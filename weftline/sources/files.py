@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,17 +12,26 @@ from ..operators.edges import check_columns
 
 
 def read_edges(
-    spark: SparkSession, path: str, profile: str | Profile = "rows", multi_line: bool = False
+    spark: SparkSession, path: str, profile: str | Profile = "rows", multi_line: bool = True
 ) -> DataFrame:
-    """Lineage edges from CSV: the seven columns as strings, the text ``NULL`` kept.
+    """Lineage edges from CSV: the seven columns as strings, the text ``NULL`` kept, and
+    ``row_id``, which sorts as the rows stand in the files.
 
-    For ``concat`` the NA words become null. ``multi_line`` allows line breaks
-    in quoted cells, at the price that a file is no longer split among tasks.
+    For ``concat`` the NA words become null. ``multi_line`` allows line breaks in quoted
+    cells; without it a file is split among tasks, and such a cell would break rows.
     """
     raw = spark.read.csv(
         path, header=True, inferSchema=False, quote='"', escape='"', multiLine=multi_line
     )
-    edges = check_columns(raw).select(*EDGE_COLUMNS)
+    # Rows of one split are numbered in order; the split's file and start come first.
+    number = F.monotonically_increasing_id().cast("string")
+    row_id = F.concat_ws(
+        "|",
+        F.col("_metadata.file_path"),
+        F.lpad(F.col("_metadata.file_block_start").cast("string"), 20, "0"),
+        F.lpad(number, 20, "0"),
+    )
+    edges = check_columns(raw).select(row_id.alias("row_id"), *EDGE_COLUMNS)
     if get_profile(profile).multi_row:
         return edges
     kept = {c: F.when(~F.col(c).isin(CSV_NA_VALUES), F.col(c)) for c in EDGE_COLUMNS}
@@ -42,15 +53,38 @@ def base_prefix(base_dir: str) -> str:
     return path.rstrip("/") + "/"
 
 
+def tidy_path(path: Column) -> Column:
+    """A path without ``//``, ``.`` and ``..`` parts, as far as these can be resolved."""
+    plain = F.regexp_replace(F.regexp_replace(path, r"/(?:\./)+", "/"), r"^(?:\./)+", "")
+    plain = F.regexp_replace(plain, r"(?<!^)//+", "/")
+    ups = F.size(F.regexp_extract_all(plain, F.lit(r"(\.\.)"), F.lit(1)))
+    up_one = r"(?<=^|/)(?!\.\./)[^/]+/\.\.(?:/|$)"
+    resolved = F.aggregate(
+        F.sequence(F.lit(1), F.greatest(ups, F.lit(1))),
+        plain,
+        lambda acc, _: F.regexp_replace(F.regexp_replace(acc, up_one, ""), r"^(?:/\.\.)+(?=/)", ""),
+    )
+    return F.when(plain.contains(".."), resolved).otherwise(plain)
+
+
 def resolve_parent(parent: Column, base_dir: str) -> Column:
-    """Relative form of a parent: below the base directory, without ``./``; other
-    absolute paths stay as they are."""
+    """Key of a parent's file: its path below the base directory, or its absolute path if it
+    lies elsewhere. Relative paths start at the base directory."""
     prefix = base_prefix(base_dir)
-    relative = F.when(
-        parent.startswith(prefix), F.substring(parent, len(prefix) + 1, 2_147_483_647)
-    ).otherwise(parent)
-    tidy = F.regexp_replace(F.regexp_replace(relative, r"/(?:\./)+", "/"), r"^(?:\./)+", "")
-    return F.regexp_replace(tidy, r"(?<!^)//+", "/")
+    relative = ~parent.startswith("/") & (parent != "")
+    path = tidy_path(F.when(relative, F.concat(F.lit(prefix), parent)).otherwise(parent))
+    inside = F.substring(path, len(prefix) + 1, 2_147_483_647)
+    return F.when(path.startswith(prefix), inside).otherwise(path)
+
+
+def _texts(files: DataFrame, base_dir: str, drop_bad_utf8: bool) -> DataFrame:
+    text = F.make_valid_utf8("value")
+    if drop_bad_utf8:
+        text = F.replace(text, F.lit("\ufffd"), F.lit(""))
+    return files.select(
+        resolve_parent(_local_path(F.col("_metadata.file_path")), base_dir).alias("parent"),
+        text.alias("sql_text"),
+    )
 
 
 def read_sql_files(spark: SparkSession, base_dir: str, drop_bad_utf8: bool = True) -> DataFrame:
@@ -59,10 +93,34 @@ def read_sql_files(spark: SparkSession, base_dir: str, drop_bad_utf8: bool = Tru
     Bytes that are not UTF-8 are dropped, or kept as U+FFFD.
     """
     files = spark.read.text(base_dir, wholetext=True, recursiveFileLookup=True)
-    text = F.make_valid_utf8("value")
-    if drop_bad_utf8:
-        text = F.replace(text, F.lit("�"), F.lit(""))
-    return files.select(
-        resolve_parent(_local_path(F.col("_metadata.file_path")), base_dir).alias("parent"),
-        text.alias("sql_text"),
+    return _texts(files, base_dir, drop_bad_utf8)
+
+
+def read_named_sql_files(
+    spark: SparkSession, keys: DataFrame, base_dir: str, drop_bad_utf8: bool = True
+) -> DataFrame:
+    """As :func:`read_sql_files`, but only the files whose key (:func:`resolve_parent`) is in
+    ``keys`` (one column ``parent``), also those outside the base directory.
+
+    Files are listed without their contents, and the names of the wanted ones go to Spark's
+    own file index, which holds the names of all files that it reads in any case.
+    """
+    listing = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .load(base_dir)
+        .select("path", resolve_parent(_local_path(F.col("path")), base_dir).alias("parent"))
     )
+    wanted = keys.where("parent <> ''").distinct()
+    paths = [r["path"] for r in listing.join(wanted, "parent", "left_semi").select("path").toLocalIterator()]
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    scheme = base_dir.split("://", 1)[0] + "://" + base_dir.split("://", 1)[1].partition("/")[0] if "://" in base_dir else "file://"
+    for row in wanted.where("startswith(parent, '/')").toLocalIterator():
+        path = hadoop.Path(scheme + row["parent"])
+        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if system.exists(path) and system.getFileStatus(path).isFile():
+            paths.append(path.toString())
+    if not paths:
+        return spark.createDataFrame([], "parent string, sql_text string")
+    literal = [re.sub(r"([\[\]{}*?\\])", r"\\\1", p) for p in paths]
+    return _texts(spark.read.text(literal, wholetext=True), base_dir, drop_bad_utf8)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..constants import CONCAT_OUTPUTS, DIM_COLUMNS, FACT_COLUMNS, Profile, get_profile
 from ..plans.lineage import Lineage
+from ..plans.reports import summarize
 
 
 class OutputPaths(NamedTuple):
@@ -54,5 +55,12 @@ def write_lineage(
 ) -> None:
     write_fact(result.fact, paths.fact, fmt, ordered, **kw)
     write_dim(result.dim, paths.dim, fmt, **kw)
-    write_table(result.summary, paths.summary, fmt, **kw)
+    # Summed up from what was written, not computed again.
+    reader = result.fact.sparkSession.read
+    if fmt == "csv":
+        written = reader.csv(paths.fact, header=True, escape='"', multiLine=True)
+    else:
+        written = reader.format(fmt).load(paths.fact)
+    written = written.fillna("", ["transformation_logic"])
+    write_table(summarize(written, result.profile), paths.summary, fmt, **kw)
     write_table(result.warnings, paths.warnings, fmt, **kw)

@@ -119,3 +119,96 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("parent"),
         F.lit("FILE").alias("parent_type"),
     )
+
+
+# Statements that the ten templates above lack: (SQL, edge, outcomes of the ``rows`` rules,
+# outcome of the ``concat`` rules). An edge is (source table, source column, target table,
+# target column, relation); the SQL None stands for an edge without a file name.
+_DEEP = "f(" * 100 + "s.XA" + ")" * 100
+_SRC = ("SRC", "XA", "TGT", "CA", "WRITE")
+WIDE = [
+    ("UPDATE TGT SET CA = o.XA FROM SRC s, OTHER o", _SRC, ["TRANSFORM_NOT_FOUND"], "o.XA"),
+    ("UPDATE TGT SET CA = s.XA + {N} FROM SRC s", _SRC, ["s.XA + {N}"], "s.XA + {N}"),
+    (
+        "INSERT INTO TGT (CA) SELECT o.XA FROM (SRC s JOIN OTHER o ON s.K = o.K)",
+        _SRC, ["TRANSFORM_NOT_FOUND"], "o.XA",
+    ),
+    (
+        "INSERT INTO TGT (CA) SELECT s.XA AS CB FROM SRC s",
+        ("SRC", "XA", "TGT", "CB", "WRITE"), ["DIRECT_PASS_THROUGH"], "Direct pass through",
+    ),
+    (
+        "INSERT INTO TGT (CA) (SELECT s.XA FROM SRC s) UNION ALL (SELECT s.XA * {N} FROM SRC s)",
+        _SRC, ["DIRECT_PASS_THROUGH", "s.XA * {N}"], "Direct pass through",
+    ),
+    (f"INSERT INTO TGT (CA) SELECT {_DEEP} FROM SRC s", _SRC, [_DEEP], _DEEP),
+    (
+        "CREATE" + " " * 210 + "MULTISET VOLATILE TABLE TGT AS (SELECT s.XA + {N} AS CA FROM SRC s) WITH DATA",
+        _SRC, ["s.XA + {N}"], "s.XA + {N}",
+    ),
+    (
+        "INSERT INTO TGT (CA) VALUES ('a'), ('b')",
+        ("SRC", "STATIC VALUE", "TGT", "CA", "WRITE"), ["'a'", "'b'"], "'a'",
+    ),
+    (
+        "DELETE FROM TGT WHERE CA = {N}",
+        ("SRC", "*", "TGT", "CA", "WRITE"),
+        ["Wildcard SELECT * - all source columns"], "Wildcard DELETE — affects all rows",
+    ),
+    (
+        "SELECT * FROM SRC",
+        ("SRC", "*", "TGT", "CA", "WRITE"),
+        ["Wildcard SELECT * - all source columns"], "Wildcard SELECT * — all source columns",
+    ),
+    (
+        "SELECT s.XA FROM SRC s WHERE s.XB > CURRENT_DATE",
+        ("SRC", "CURRENT_DATE", "TGT", "", "READ"),
+        ["Read in WHERE filter: WHERE s.XB > CURRENT_DATE"],
+        "Read column 'CURRENT_DATE' (context not extracted)",
+    ),
+    ("GRANT SELECT ON TGT TO PUBLIC", _SRC, ["PARSE_FAILED"], "PARSE_FAILED"),
+    (
+        "UPDATE TGT SET CB = {N};\n" * 510 + "UPDATE TGT SET CA = s.XA - {N} FROM SRC s",
+        _SRC, ["s.XA - {N}"], "s.XA - {N}",
+    ),
+    (None, ("SRC", "XA", "TGT{K}", "CA", "WRITE"), ["PROCESSING_ERROR"], "TRANSFORM_NOT_FOUND"),
+]
+
+
+def _wide(spark: SparkSession, sf_dir: str, value) -> tuple[DataFrame, Column]:
+    """Parts, and a column with ``value(case)`` of each part's case."""
+    part = table(spark, sf_dir, "part")
+    column = F.lit(None).cast("string")
+    for number, case in enumerate(WIDE):
+        text = value(case)
+        if text is not None:
+            fill = {"N": F.col("p_size").cast("string"), "K": F.col("p_partkey").cast("string")}
+            filled = _text(text, **fill) if text else F.lit("")
+            column = F.when(F.col("p_partkey") % len(WIDE) == number, filled).otherwise(column)
+    return part, column
+
+
+def _wide_parent() -> Column:
+    return F.concat(F.lit("wide/f"), F.col("p_partkey").cast("string"), F.lit(".sql"))
+
+
+def wide_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part, sql = _wide(spark, sf_dir, lambda case: case[0])
+    files = part.select(_wide_parent().alias("parent"), sql.alias("sql_text"))
+    return files.where("sql_text IS NOT NULL")
+
+
+def wide_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ["source_table", "source_column", "target_table", "target_column", "relation"]
+    columns = []
+    for k, name in enumerate(names):
+        part, column = _wide(spark, sf_dir, lambda case, k=k: case[1][k])
+        columns.append(column.alias(name))
+    _, sql = _wide(spark, sf_dir, lambda case: case[0])
+    parent = F.when(sql.isNotNull(), _wide_parent()).otherwise("")
+    return part.select(
+        F.col("p_partkey").alias("row_id"),
+        *columns,
+        parent.alias("parent"),
+        F.lit("FILE").alias("parent_type"),
+    )
