@@ -213,11 +213,12 @@ def _spans(length: int, gram: int):
             again = np.zeros(len(row), bool)
             if len(row):
                 again[1:] = (g[1:] == g[:-1]) & (whole[1:] == whole[:-1])
-            own = mix64(mix64(row.astype(np.uint64)) ^ place.astype(np.uint64))
+            # Small numbers: they deal rows out as well and take less room than hashes.
+            own = mix64(mix64(row.astype(np.uint64)) ^ place.astype(np.uint64)) >> np.uint64(40)
             yield pa.record_batch(
                 [
                     pa.array(np.where(again, own, g).view(np.int64)),
-                    pa.array(whole.view(np.int64)),
+                    pa.array(np.where(again, 0, whole).view(np.int64)),
                     *[pa.array(k[row]) for k in keys],
                     pa.array(place),
                     pa.array(again),
@@ -379,7 +380,8 @@ def repeated_ranges(named: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     wanted = leaders.groupBy("row_file", "row_no").agg(
         F.collect_list(F.struct("gram", "place", "heavy")).alias("wanted")
     )
-    texts = beside(named, wanted, 40 * leaders.count(), "inner")
+    # About 24 bytes a span and 64 a document, of which there are no more than spans.
+    texts = beside(named, wanted, 24 * leaders.count() + 64 * wanted.count(), "inner")
     texts = texts.select("text", "doc", "row_file", "row_no", "wanted").mapInArrow(
         _span_texts(length), _TEXTS
     )
