@@ -139,7 +139,9 @@ def fold(text: Column) -> tuple[Column, Column]:
     start = F.struct(folded, F.array().cast("array<string>")).cast(found)
     bodies = F.aggregate(passes, start, level)["bodies"]
     shown = F.transform(bodies, lambda b: strip(F.translate(b, _FOLDED[4:], "()")))
-    deep = nesting(text) > MAX_DEPTH
+    # Most texts have too few parentheses to be deep, which is cheap to see.
+    some = F.length(text) - F.length(F.replace(text, F.lit("("), F.lit(""))) > MAX_DEPTH
+    deep = F.when(some, nesting(text) > MAX_DEPTH).otherwise(False)
     return (
         F.when(deep, folded).otherwise(text),
         F.when(deep, shown).otherwise(F.array().cast("array<string>")),
@@ -148,9 +150,10 @@ def fold(text: Column) -> tuple[Column, Column]:
 
 def unfold(text: Column) -> Column:
     """The text with its own parentheses again."""
-    return F.when(
-        text.rlike(f"[{_FOLDED}]"), F.translate(text, _FOLDED, "()()()")
-    ).otherwise(text)
+    signs = F.lit(False)
+    for sign in _FOLDED:
+        signs = signs | text.contains(sign)
+    return F.when(signs, F.translate(text, _FOLDED, "()()()")).otherwise(text)
 
 
 def is_balanced(text: Column) -> Column:
