@@ -27,8 +27,9 @@ def file_system(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path)
 
 
-def pack_files(path: str) -> list[FilePack]:
-    """The data files below ``path`` (or ``path`` itself), small ones together."""
+def pack_files(path: str, most: int = PARTITION_BYTES) -> list[FilePack]:
+    """The data files below ``path`` (or ``path`` itself), small ones together up to ``most``
+    bytes."""
     fs, root = file_system(path)
     info = fs.get_file_info(root)
     if info.type == pafs.FileType.File:
@@ -45,7 +46,7 @@ def pack_files(path: str) -> list[FilePack]:
     for name, size in files:
         if not packs or size > room:
             packs.append([])
-            room = PARTITION_BYTES
+            room = most
         packs[-1].append(name)
         room -= size
     return [FilePack(p) for p in packs] or [FilePack([])]

@@ -1,8 +1,8 @@
 """Token-id files: documents to ids, ids to compressed blocks, and back.
 
 Documents are range-partitioned by doc_id and each task codes its part, in order, into
-segments. A segment has a table of its documents and ids and one independent, checksummed
-block per ``BLOCK_IDS`` ids (:mod:`weftline.llm.id_coder`):
+segments. A segment has a table of its documents and ids and independent, checksummed blocks
+of up to ``BLOCK_IDS`` ids (:mod:`weftline.llm.id_coder`):
 
 ``WTOK1`` | documents u32 | ids u64 | block ids u32 | CRC-32 of all that follows before the
 payload u32 | doc_id i64, is null u8 and ids u64 of each document | words u32 and CRC-32 of
@@ -34,6 +34,11 @@ END_ID = 0
 BLOCK_IDS = 4096
 #: Blocks of a segment, which are coded together. A longer document is a segment of its own.
 SEGMENT_BLOCKS = 1536
+#: A short segment has shorter blocks, down to this, so that many are still coded side by side.
+LEAST_BLOCK_IDS = 512
+SIDE_BY_SIDE = 512
+#: Bytes of files that one task decodes, which takes far longer than reading them.
+READ_BYTES = 8 << 20
 #: Bytes of text that are split into ids together, and words given to the tokenizer at once.
 TEXT_BYTES = 16 << 20
 WORDS_AT_ONCE = 20_000
@@ -125,13 +130,14 @@ def with_end(ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def pack_segment(docs: np.ndarray, ids: np.ndarray) -> bytes:
-    blocks = encode_blocks(ids, BLOCK_IDS)
+    size = min(BLOCK_IDS, max(LEAST_BLOCK_IDS, -(-len(ids) // SIDE_BY_SIDE)))
+    blocks = encode_blocks(ids, size)
     table = np.zeros(len(blocks), _BLOCK)
     for i, words in enumerate(blocks):
-        part = ids[i * BLOCK_IDS : (i + 1) * BLOCK_IDS]
+        part = ids[i * size : (i + 1) * size]
         table[i] = (len(words), zlib.crc32(part.astype("<u2").tobytes()))
     body = docs.tobytes() + table.tobytes()
-    head = struct.pack(_HEAD, MAGIC, len(docs), len(ids), BLOCK_IDS, zlib.crc32(body))
+    head = struct.pack(_HEAD, MAGIC, len(docs), len(ids), size, zlib.crc32(body))
     return head + body + b"".join(w.astype("<u2").tobytes() for w in blocks)
 
 
@@ -246,7 +252,7 @@ class TokenReader(DataSourceReader):
         self.with_ids = options.get("ids", "false") == "true"
 
     def partitions(self) -> list[InputPartition]:
-        return pack_files(self.path)
+        return pack_files(self.path, READ_BYTES)
 
     def read(self, partition: FilePack) -> Iterator[pa.RecordBatch]:
         for path in partition.paths:
