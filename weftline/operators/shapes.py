@@ -31,7 +31,10 @@ _EXPRESSION_WORDS = [
     "PARTITION", "SELECT", "THEN", "WHEN", "WHERE",
 ]
 # Literals with a word before or behind the quotes.
-_LITERAL = rf"(?i:\b(?:DATE|TIME|TIMESTAMP)\s*(?={S.QUOTED}))|(?i:\bINTERVAL\s*(?:{S.QUOTED})\s*\w+(?:\s*\(\d+\))?(?:\s+TO\s+\w+)?)"
+_LITERAL = (
+    rf"(?i:\b(?:DATE|TIME|TIMESTAMP)\s*(?={S.QUOTED}))"
+    rf"|(?i:\bINTERVAL\s*(?:{S.QUOTED})\s*\w+(?:\s*\(\d+\))?(?:\s+TO\s+\w+)?)"
+)
 # Places whose words name no column: units, types and aliases behind AS, constants, frames.
 _NOT_COLUMNS = [
     r"\bEXTRACT\s*\(\s*\w+(?=\s+FROM\b)",

@@ -8,12 +8,10 @@ from pyspark.sql import functions as F
 from ..constants import DIM_COLUMNS, Profile, get_profile
 from ..functions.names import bare_table, strip
 from ..functions.shape import (
-    GROUP,
     IDENT,
     INNER,
     MERGE_WHEN,
     NAME,
-    QUOTED,
     SELECT,
     cut,
     fold,

@@ -114,7 +114,8 @@ def read_named_sql_files(
     wanted = keys.where("parent <> ''").distinct()
     paths = [r["path"] for r in listing.join(wanted, "parent", "left_semi").select("path").toLocalIterator()]
     hadoop = spark._jvm.org.apache.hadoop.fs
-    scheme = base_dir.split("://", 1)[0] + "://" + base_dir.split("://", 1)[1].partition("/")[0] if "://" in base_dir else "file://"
+    kind, marked, rest = base_dir.partition("://")
+    scheme = f"{kind}://{rest.partition('/')[0]}" if marked else "file://"
     for row in wanted.where("startswith(parent, '/')").toLocalIterator():
         path = hadoop.Path(scheme + row["parent"])
         system = path.getFileSystem(spark._jsc.hadoopConfiguration())
