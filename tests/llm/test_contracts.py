@@ -416,6 +416,34 @@ def test_leaks(spark, odd, empty):
     assert decontaminate.without_leaks(odd, spark.createDataFrame([], benchmark.schema)).count() == odd.count()
 
 
+def test_leaks_in_many_edited_and_partial_copies(spark):
+    """Items with one verbatim document and hundreds that hold a few of their n-grams each."""
+
+    def without(item, every):
+        return [f"x{i}" if i % every == every - 1 else w for i, w in enumerate(item)]
+
+    kinds = [
+        (lambda item: without(item, 5), (32 * 2 - 7) / 80),
+        (lambda item: without(item, 4), (30 * 2 - 9) / 80),
+        (lambda item: item[13:27], 0.35),
+        (lambda item: item[5:17] + [f"y{i}" for i in range(6)] + item[17:29], (24 * 2 - 6) / 80),
+    ]
+    items = [[f"{w}{i}k{k}" for i, w in enumerate(words(60, 40).split())] for k in range(len(kinds))]
+    rows, want = [], {}
+    for k, (edit, score) in enumerate(kinds):
+        for copy in range(301):
+            text = " ".join(edit(items[k]) if copy else items[k])
+            want[len(rows), k] = pytest.approx(score if copy else 1.0)
+            rows.append((len(rows), f"{words(len(rows), 30)} {text} {words(len(rows) + 5000, 30)}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame(
+        [(k, " ".join(item)) for k, item in enumerate(items)], "item_id long, text string"
+    )
+    found = decontaminate.leaked_documents(docs, benchmark).collect()
+    assert len(found) == len(want)
+    assert {(r["doc_id"], r["item_id"]): r["score"] for r in found} == want
+
+
 def test_leaks_against_all_alignments(spark):
     """The given tables, all documents by all items."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")

@@ -2,12 +2,14 @@
 
 1. The items' n-grams are found in all documents. A bitmap of fixed size keeps most other
    n-grams of the corpus out of the join; what passes by chance falls away in it.
-2. An item's seeds are its rare n-grams: those in few documents, and in any case those not much
-   more frequent than its others, so that an item that leaked into very many documents keeps
-   seeds.
-3. A document that holds a seed of an item gives the passage around its seeds, and local
-   alignment of the passage's words with the item's counts matches, replaced, added and
-   dropped words. The score is the best alignment's over that of the item with itself.
+2. A document's n-grams of an item fall into groups whose places could lie in one alignment.
+   A group of two or more n-grams is a seed however frequent they are, so that an item that
+   leaked into very many documents, whole, edited or in part, is found in all of them. A lone
+   n-gram is a seed if it is rare: alone in few documents, or in not many more than hold the
+   item's others.
+3. A seed gives the passage around it, and local alignment of the passage's words with the
+   item's counts matches, replaced, added and dropped words. The score is the best
+   alignment's over that of the item with itself.
 
 Words are compared without the case of Latin-1 letters and without ASCII punctuation, by 64-bit
 hashes.
@@ -19,10 +21,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftline.llm.common import beside, ship, stored, with_row_id
+from weftline.llm.common import BROADCAST_BYTES, beside, ship, stored, with_row_id
 from weftline.llm.textops import (
     LOWER,
     PIECE_BYTES,
@@ -35,7 +37,7 @@ from weftline.llm.textops import (
 )
 
 NGRAM = 3
-#: An n-gram in at most this share of all documents, or in this many, is rare.
+#: A lone n-gram in at most this share of all documents, or in this many, is rare.
 RARE_SHARE = 1e-4
 LEAST_RARE = 10
 #: So is one in at most this many times the documents that hold the item's median n-gram.
@@ -45,8 +47,8 @@ LEAST_SCORE = 0.35
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Bits of the bitmap over the items' n-grams; the size is the same for any benchmark.
 BITMAP_BITS = 1 << 23
-#: Words beyond an item's reach that a passage takes along, per item word.
-SLACK = 0.5
+#: Places of one n-gram in a document no further apart than this are one row, by first and last.
+NEAR = 50
 
 _PLAIN = LOWER.copy()
 _PLAIN[[b for b in range(33, 127) if not chr(b).isalnum()]] = 32
@@ -138,8 +140,9 @@ def _item_grams(n: int):
 
 
 def _document_grams(n: int, sizes: list[int], bitmap):
-    """(row_file, row_no, gram, first, last): item n-grams and where they stand. ``sizes``
-    are n and the lengths of the shorter items, whose one gram is all of their words."""
+    """(row_file, row_no, gram, first, last, head): item n-grams and where they stand; ``head``
+    is 1 in one row of a document and n-gram. ``sizes`` are n and the lengths of the shorter
+    items, whose one gram is all of their words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = bitmap.value
@@ -165,8 +168,8 @@ def _document_grams(n: int, sizes: list[int], bitmap):
                 place = at - first[doc]
                 order = np.lexsort((place, found, doc))
                 doc, place, found = doc[order], place[order], found[order]
-                new = np.r_[True, (doc[1:] != doc[:-1]) | (found[1:] != found[:-1])]
-                begin = np.flatnonzero(new)
+                head = np.r_[True, (doc[1:] != doc[:-1]) | (found[1:] != found[:-1])]
+                begin = np.flatnonzero(head | np.r_[True, np.diff(place) > NEAR])
                 last = np.r_[begin[1:], len(doc)] - 1
                 rows = pa.array(doc[begin] + piece.rows.start)
                 yield pa.record_batch(
@@ -176,8 +179,9 @@ def _document_grams(n: int, sizes: list[int], bitmap):
                         pa.array(found[begin].view(np.int64)),
                         pa.array(place[begin].astype(np.int64)),
                         pa.array(place[last].astype(np.int64)),
+                        pa.array(head[begin].astype(np.int64)),
                     ],
-                    names=["row_file", "row_no", "gram", "first", "last"],
+                    names=["row_file", "row_no", "gram", "first", "last", "head"],
                 )
 
     return run
@@ -211,7 +215,10 @@ def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-_FOUND = "row_file long, row_no long, doc_id long, item_id long, score double, first_word long, last_word long"
+_FOUND = (
+    "row_file long, row_no long, item long, doc_id long, item_id long, "
+    "score double, first_word long, last_word long"
+)
 
 
 def _align_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,7 +235,7 @@ def _align_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             last.append(int(starts[k]) + b - 1)
         yield pa.record_batch(
             [
-                *[batch.column(c) for c in names[:4]],
+                *[batch.column(c) for c in names[:5]],
                 pa.array(scores, pa.float64()),
                 pa.array(first, pa.int64()),
                 pa.array(last, pa.int64()),
@@ -237,6 +244,69 @@ def _align_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _seed_spans(
+    seen: DataFrame, grams: DataFrame, items: DataFrame, rare: float, least_score: float
+) -> DataFrame:
+    """(row_file, row_no, item, start, end): the passages of documents to align with an item.
+
+    With ``L`` item words of 2 points each, an alignment that reaches ``least_score`` has at most
+    ``2 * (1 - least_score) * L`` added and dropped words. So its n-grams stand within that
+    distance of each other, as offsets from their places in the item, and so does all of it.
+    """
+    near = F.ceil(F.col("length") * max(0.0, 2.0 * (1.0 - least_score)))
+    places = grams.groupBy("item", "gram").agg(
+        F.min("place").alias("place_first"), F.max("place").alias("place_last")
+    )
+    hits = (
+        seen.join(places, "gram")
+        .join(items.select("item", F.size("words").alias("length")), "item")
+        .withColumn("low", F.col("first") - F.col("place_last"))
+        .withColumn("high", F.col("last") - F.col("place_first"))
+    )
+    # Hits by offset, cut into groups where the next one is out of reach of all before it.
+    by_offset = Window.partitionBy("row_file", "row_no", "item").orderBy("low", "high", "gram")
+    upto = by_offset.rowsBetween(Window.unboundedPreceding, -1)
+    cut = F.col("low") > F.max("high").over(upto) + near
+    groups = (
+        hits.withColumn("cut", F.coalesce(cut.cast("long"), F.lit(0)))
+        .withColumn("part", F.sum("cut").over(by_offset.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy("row_file", "row_no", "item", "length", "part")
+        .agg(
+            (F.min("low") - near).alias("start"),
+            (F.max("high") + F.col("length") + near).alias("end"),
+            # Two n-grams of an alignment have two places in the document and two in the item.
+            (
+                (F.max("last") > F.min("first")) & (F.max("place_last") > F.min("place_first"))
+            ).alias("many"),
+            F.min("gram").alias("gram"),  # the only one unless ``many``
+        )
+    )
+    groups = stored(groups, "leak-groups")
+    lone = groups.where(~F.col("many"))
+    alone = (
+        lone.select("item", "gram", "row_file", "row_no")
+        .distinct()
+        .groupBy("item", "gram")
+        .agg(F.count(F.lit(1)).alias("alone"))
+    )
+    holders = seen.groupBy("gram").agg(F.sum("head").alias("holders"))
+    usual = (
+        grams.join(holders, "gram").groupBy("item").agg(F.percentile("holders", 0.5).alias("usual"))
+    )
+    limit = max(LEAST_RARE, rare)
+    seeds = stored(
+        alone.join(usual, "item")
+        .where((F.col("alone") <= limit) | (F.col("alone") <= OWN_FACTOR * F.col("usual")))
+        .select("item", "gram"),
+        "leak-seeds",
+    )
+    if 40 * seeds.count() <= BROADCAST_BYTES:
+        seeds = F.broadcast(seeds)
+    span = ["row_file", "row_no", "item", "start", "end"]
+    rare_ones = lone.join(seeds, ["item", "gram"], "left_semi").select(span)
+    return groups.where("many").select(span).unionByName(rare_ones)
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -285,31 +355,11 @@ def find_leaks(
     bitmap = spark.sparkContext.broadcast(bits.view(np.uint64))
 
     seen = named.select("text", "row_file", "row_no").mapInArrow(
-        _document_grams(n, sizes, bitmap), "row_file long, row_no long, gram long, first long, last long"
+        _document_grams(n, sizes, bitmap),
+        "row_file long, row_no long, gram long, first long, last long, head long",
     )
     seen = stored(seen.join(grams.select("gram").distinct(), "gram", "left_semi"), "leak-seen")
-    # Seeds: rare in the corpus, or not much more frequent than the item's others.
-    holders = seen.groupBy("gram").agg(F.count(F.lit(1)).alias("holders"))
-    limit = max(LEAST_RARE, rare_share * docs.count())
-    held = stored(grams.join(holders, "gram"), "leak-holders")
-    usual = held.groupBy("item").agg(F.percentile("holders", 0.5).alias("usual"))
-    seeds = (
-        held.join(usual, "item")
-        .where((F.col("holders") <= limit) | (F.col("holders") <= OWN_FACTOR * F.col("usual")))
-        .join(items.select("item", F.size("words").alias("length")), "item")
-        .select("gram", "item", "place", "length")
-    )
-    seeds = stored(seeds, "leak-seeds")
-    reach = F.ceil(F.col("length") * SLACK)
-    spans = (
-        seen.join(seeds, "gram")
-        .groupBy("row_file", "row_no", "item")
-        .agg(
-            F.min(F.col("first") - F.col("place") - reach).alias("start"),
-            F.max(F.col("last") - F.col("place") + F.col("length") + reach).alias("end"),
-        )
-    )
-    spans = stored(spans, "leak-spans")
+    spans = stored(_seed_spans(seen, grams, items, rare_share * docs.count(), least_score), "leak-spans")
     wanted = spans.groupBy("row_file", "row_no").agg(
         F.collect_list(F.struct("item", "start", "end")).alias("wanted")
     )
@@ -322,7 +372,18 @@ def find_leaks(
         )
     )
     scored = passages.join(items, "item").mapInArrow(_align_rows, _FOUND)
-    return scored.where(F.col("score") >= least_score)
+    # A document may give several passages for an item: the best counts, then the first.
+    best = F.max(F.struct("score", -F.col("first_word"), "first_word", "last_word", "doc_id", "item_id"))
+    return (
+        scored.where(F.col("score") >= least_score)
+        .groupBy("row_file", "row_no", "item")
+        .agg(best.alias("best"))
+        .select(
+            "row_file",
+            "row_no",
+            *[f"best.{c}" for c in ("doc_id", "item_id", "score", "first_word", "last_word")],
+        )
+    )
 
 
 def leaked_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
