@@ -173,6 +173,38 @@ def test_mix_nears_targets_over_levels(spark, monkeypatch):
     assert all(abs(taken[s] - t) <= 50 for s, t in target.items())
 
 
+def test_mix_spreads_equal_rows(spark, monkeypatch):
+    """A third of all rows is one document, and a third has no doc_id and one text."""
+    monkeypatch.setattr(mixing, "COPIES_PER_CHUNK", 100)
+    sizes = []
+    fold = mixing.stored
+
+    def stored(df, name):
+        out = fold(df, name)
+        if name == "mix-level":
+            sizes.append(out.agg(F.max(F.size("done"))).first()[0] or 0)
+        return out
+
+    monkeypatch.setattr(mixing, "stored", stored)
+    docs = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, F.col("id")).when(F.col("id") % 3 == 1, 1).alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, F.repeat(F.lit("w "), (F.col("id") % 50 + 1).cast("int")))
+        .otherwise("the same four words")
+        .alias("text"),
+        F.when(F.col("id") % 30 < 25, "big").alias("source"),
+    )
+    rows = mixing.mix_documents(docs).collect()
+    assert len(rows) == 6000
+    assert max(sizes) < 3 * mixing.FAN
+    taken, target = Counter(), {}
+    for r in rows:
+        taken[r["target"]] += r["taken"]
+        target[r["target"]] = r["target"]
+    assert len(target) == 2 and all(abs(taken[t] - t) <= 50 for t in target)
+    again = mixing.mix_documents(docs.repartition(7)).collect()
+    assert sorted(map(str, again)) == sorted(map(str, rows))
+
+
 def test_mixed_corpus_repeats_rows(odd):
     out = mixing.mixed_corpus(odd)
     assert out.columns == odd.columns

@@ -9,7 +9,9 @@ and what a coin for the last one makes wrong is worked off on others.
 
 Duels run as a reduction tree: buckets of about ``FAN`` documents each fold to one unsettled
 document, these again meet in buckets of at most ``FAN``, up to one per source. A source that
-holds most rows is only many buckets. All random numbers are hashes, so reruns agree.
+holds most rows is only many buckets. Rows of a source with equal doc_id and text are numbered
+and the number counts in their hash, so that copies spread over buckets like others. All random
+numbers are hashes, so reruns agree.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ from pyspark.sql import functions as F
 from weftline.llm.common import beside, stored, with_row_id, word_count
 
 FAN = 64
+#: Rows that one group of numbered copies holds on average.
+COPIES_PER_CHUNK = 1_000
 WEIGHTS = (3.0, 1.0, 2.0)
 _ITEM = "struct<size:bigint,h:bigint,doc_id:bigint,row_file:bigint,row_no:bigint,p:double>"
 _DONE = "array<struct<doc_id:bigint,row_file:bigint,row_no:bigint,size:bigint,up:int>>"
@@ -140,6 +144,39 @@ def _finish(cur: Column, done: Column, seed: int) -> Column:
     return F.aggregate(done, start, step, lambda acc: acc["rows"])
 
 
+def _tell_copies(items: DataFrame, rows: int) -> DataFrame:
+    """Make ``h`` of rows of a source with equal ``h`` differ, the first one's stays.
+
+    Copies are numbered from 0 in chunks that a hash of the row's place deals out, moved by the
+    counts of the chunks before, so no task sees all copies. Which copy has which number hangs
+    on the files, the numbers do not: copies are alike in all that is drawn by.
+    """
+    chunks = max(1, -(-rows // COPIES_PER_CHUNK))
+    items = items.withColumn("chunk", F.pmod(F.xxhash64("row_file", "row_no"), F.lit(chunks)))
+    before = Window.partitionBy("source", "h").orderBy("chunk")
+    before = before.rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        items.groupBy("source", "h", "chunk")
+        .agg(F.count(F.lit(1)).alias("copies"))
+        .withColumn("start", F.sum("copies").over(before))
+        .where("start > 0")  # few rows where doc_ids are unique
+        .select(F.col("source").alias("s_source"), F.col("h").alias("s_h"), F.col("chunk").alias("s_chunk"), "start")
+    )
+    inside = Window.partitionBy("source", "h", "chunk").orderBy("row_file", "row_no")
+    same = (
+        F.col("source").eqNullSafe(F.col("s_source"))
+        & (F.col("h") == F.col("s_h"))
+        & (F.col("chunk") == F.col("s_chunk"))
+    )
+    number = F.coalesce("start", F.lit(0)) + F.row_number().over(inside) - 1
+    return (
+        items.join(starts, same, "left")
+        .withColumn("number", number)
+        .withColumn("h", F.when(F.col("number") > 0, F.xxhash64("h", "number")).otherwise(F.col("h")))
+        .drop("chunk", "number", "start", "s_source", "s_h", "s_chunk")
+    )
+
+
 def mix_rows(
     docs: DataFrame,
     weights: Sequence[float] = WEIGHTS,
@@ -181,8 +218,11 @@ def mix_rows(
     plays = (F.col("size") > 0) & (F.col("p") > 0)
     item = F.struct("size", "h", "doc_id", "row_file", "row_no", "p").cast(_ITEM)
     bucket = F.pmod(F.xxhash64(F.lit(seed), "h"), F.col("buckets"))
-    todo = start.where(plays).select("source", "buckets", bucket.alias("bucket"), item.alias("item"))
-    largest = targets.agg(F.max("n")).first()[0] or 0
+    largest, every = targets.agg(F.max("n"), F.sum("n")).first()
+    largest = largest or 0
+    todo = _tell_copies(start.where(plays), every or 0).select(
+        "source", "buckets", bucket.alias("bucket"), item.alias("item")
+    )
     buckets, level, done = max(1, -(-largest // FAN)), 0, []
     while True:
         folded = stored(
