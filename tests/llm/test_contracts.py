@@ -243,6 +243,28 @@ def test_entropy_spans(spark):
         assert r["h"] == pytest.approx(best)
 
 
+def test_entropy_of_hex_in_any_case(spark):
+    texts = {
+        "mixed": "key 9f86D081884c7D659a2fEAA0c5b1F3e7A9d2 end",
+        "mixed, short": "9f86D081884c7D659a2fEAA0c5",
+        "upper": "9F86D081884C7D659A2FEAA0C5B1F3E7A9D2",
+        "lower, base": "9f86d081884c7d659a2feaa0c5b1f3e7a9d2",
+        "few characters": "aAaA1aAaA1aAaA1aAaA1aAaA1",
+        "longer word": "9f86D081884c7D659a2fEAA0c5g",
+    }
+    docs = spark.createDataFrame(list(texts.items()), "name string, text string")
+    rows = secrets.find_secrets(docs).collect()
+    found = {r["name"]: [(s.start, secrets.KINDS[s.kind], s.end) for s in r["spans"]] for r in rows}
+    assert found == {
+        "mixed": [(4, "entropy", 40)],
+        "mixed, short": [(0, "entropy", 26)],
+        "upper": [(0, "entropy", 36)],
+        "lower, base": [(0, "hex", 36)],
+        "few characters": [],
+        "longer word": [(0, "entropy", 27)],
+    }
+
+
 # ------------------------------------------------------------------- WARC
 
 

@@ -39,12 +39,13 @@ class CharacterClass:
     bits: float
 
 
-#: Lower-case or upper-case hexadecimal keys below the base scan's length, and keys of
-#: letters, digits and the signs of base64; both need a digit and a letter.
+#: Hexadecimal keys of any case, without the lower-case ones of the base scan's length, and keys
+#: of letters, digits and the signs of base64; both need a digit and a letter.
 CLASSES = (
     CharacterClass(
         r"(?<![A-Za-z0-9+/_=-])(?=[0-9]*+[A-Fa-f])(?=[A-Fa-f]*+[0-9])"
-        r"(?:[0-9a-f]{20,31}+|[0-9A-F]{20,}+)(?![A-Za-z0-9+/_=-])",
+        r"(?![0-9a-f]{32,}+(?![A-Za-z0-9+/_=-]))"
+        r"[0-9a-fA-F]{20,}+(?![A-Za-z0-9+/_=-])",
         16,
         3.0,
     ),
