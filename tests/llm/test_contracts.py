@@ -352,6 +352,28 @@ def test_lines(odd, empty, labels):
     assert line_labels.label_lines(empty, labels).count() == 0
 
 
+def test_lines_of_sample_are_bounded(spark, monkeypatch):
+    """Documents of many short lines: the driver gets whole chunks, up to the bound."""
+    fitted = []
+    fit = line_labels.fit_field
+
+    def fit_field(x, good, sequences, rounds=250):
+        fitted.append((x, good, sequences))
+        return fit(x, good, sequences, 5)
+
+    monkeypatch.setattr(line_labels, "fit_field", fit_field)
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 3 != 1][:4]
+    text = lambda i: "\n".join(f"Line {k} of {i}." for k in range(5_000 + i))
+    docs = spark.createDataFrame([(i, text(i)) for i in ids], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)], "doc_id long, quality int")
+    rows = line_labels.label_lines(docs, labels).collect()
+    assert line_labels.label_lines(docs.repartition(3), labels, sample_lines=640).count() == len(rows) == 4
+    (x, good, _), (few, kinds, sequences) = fitted
+    assert len(x) == sum(5_000 + i for i in ids) and good.sum() == sum(5_000 + i for i in ids[1::2])
+    assert 0 < kinds.sum() <= 640 and 0 < len(kinds) - kinds.sum() <= 640
+    assert len(few) > 640 and all(b - a <= line_labels.CHUNK for a, b in sequences)
+
+
 def test_quality(odd, empty, labels, spark):
     rows = quality_trees.classify(odd, labels).collect()
     assert len(rows) == odd.count()

@@ -35,6 +35,9 @@ from weftline.llm.textops import (
 
 #: Documents the field is fitted on, at most, of each quality; those with the smallest hash.
 SAMPLE = 1_000
+#: Lines the field is fitted on, at most, of each quality: whole chunks, those with the smallest
+#: hash.
+SAMPLE_LINES = 128_000
 #: Training sequences are cut to this many lines.
 CHUNK = 64
 #: Least share of words in content lines.
@@ -234,22 +237,40 @@ def fit_field(
 # ---------------------------------------------------------------- Spark
 
 
-def _sample_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, good, lines, features) of the sample's documents."""
+def _sample_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, good, chunk, features) of the sample's documents, a row per ``CHUNK`` lines."""
     for batch in batches:
         for piece in pieces(batch.column(2)):
             lines = find_lines(piece)
             x = line_features(piece, lines, repeated_lines(piece, lines), piece.word_hashes())
-            ends = (lines.first * x.shape[1]).astype(np.int32)
-            values = pa.ListArray.from_arrays(pa.array(ends), pa.array(x.ravel()))
+            size = np.diff(lines.first)
+            chunks = -(-size // CHUNK)
+            doc = np.repeat(np.arange(len(piece)), chunks)
+            chunk = np.arange(len(doc)) - np.repeat(np.cumsum(chunks) - chunks, chunks)
+            begin = lines.first[:-1][doc] + chunk * CHUNK
+            end = np.minimum(begin + CHUNK, lines.first[1:][doc])
             part = batch.slice(piece.rows.start, len(piece))
-            yield pa.record_batch(
-                [part.column(0), part.column(1), values], names=["doc_id", "good", "features"]
-            )
-
-
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
-    """Fit on at most ``sample`` documents of each quality label.
+            for k in range(0, len(doc), 1_000):
+                a, b = begin[k : k + 1_000], end[k : k + 1_000]
+                ends = (np.r_[a, b[-1]] - a[0]) * x.shape[1]
+                values = pa.array(x[a[0] : b[-1]].ravel())
+                take = pa.array(doc[k : k + 1_000])
+                yield pa.record_batch(
+                    [
+                        part.column(0).take(take),
+                        part.column(1).take(take),
+                        pa.array(chunk[k : k + 1_000].astype(np.int64)),
+                        pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values),
+                    ],
+                    names=["doc_id", "good", "chunk", "features"],
+                )
+
+
+def train(
+    docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_lines: int = SAMPLE_LINES
+) -> Field:
+    """Fit on at most ``sample`` documents of each quality label, and on at most
+    ``sample_lines`` of their lines, in whole chunks chosen by hash on the executors.
 
     Rows whose labels are held out elsewhere are not used. Null labels and ids are no labels.
     """
@@ -264,12 +285,18 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
         for q in (0, 1)
     ]
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
-    rows = (
-        texts.join(best[0].union(best[1]), "doc_id")
+    chunks = [
+        texts.join(ids, "doc_id")
         .select("doc_id", "good", "text")
-        .mapInArrow(_sample_lines, "doc_id long, good int, features array<double>")
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(2 * sample)
+        .mapInArrow(_sample_chunks, "doc_id long, good int, chunk long, features array<double>")
+        .orderBy(F.xxhash64("doc_id", "chunk"), "doc_id", "chunk", "features")
+        .limit(sample_lines // CHUNK)
+        for ids in best
+    ]
+    rows = (
+        chunks[0]
+        .union(chunks[1])
+        .orderBy(F.xxhash64("doc_id"), "doc_id", "chunk", "features")
         .toPandas()
     )
     n = len(LINE_FEATURES)
@@ -287,14 +314,19 @@ OUTPUT = (
 
 
 def label_lines(
-    docs: DataFrame, labels: DataFrame, share: float = CONTENT_SHARE, sample: int = SAMPLE
+    docs: DataFrame,
+    labels: DataFrame,
+    share: float = CONTENT_SHARE,
+    sample: int = SAMPLE,
+    sample_lines: int = SAMPLE_LINES,
 ) -> DataFrame:
     """Per document the base counts, ``base_failed``, ``kept`` and ``content_share``.
 
     A null text counts as empty; a text without words fails the base rules and has share 0.
-    Repeated rows get equal results. Without labels all lines are content.
+    Repeated rows get equal results. Without labels all lines are content. ``sample`` and
+    ``sample_lines`` bound what the field is fitted on, see :func:`train`; all lines are labelled.
     """
-    field = docs.sparkSession.sparkContext.broadcast(train(docs, labels, sample))
+    field = docs.sparkSession.sparkContext.broadcast(train(docs, labels, sample, sample_lines))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
