@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from weftline.llm import (
+    conversations,
     decontaminate,
     line_labels,
     mixing,
     ngram_join,
     quality_trees,
     repeats,
+    runs,
     secrets,
     sharding,
     token_files,
@@ -70,6 +72,14 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), n=4, percent=85)
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_digest(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_digest(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_archive": op1_warc_archive,
     "op2_align_leaks": op2_align_leaks,
@@ -81,6 +91,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pivotal_mix": op8_pivotal_mix,
     "op9_entropy_secrets": op9_entropy_secrets,
     "op10_ngram_jaccard": op10_ngram_jaccard,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 SQL: dict[str, str] = {
     "op1_warc_archive": """
