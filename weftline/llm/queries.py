@@ -12,6 +12,7 @@ from weftline.llm import (
     line_labels,
     mixing,
     ngram_join,
+    packing,
     quality_trees,
     repeats,
     runs,
@@ -72,6 +73,13 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), n=4, percent=85)
 
 
+def op11_tiered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.packed_digest(table(spark, sf_dir, "documents"), str(path), end_id=1)
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.run_digest(table(spark, sf_dir, "documents"))
 
@@ -91,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pivotal_mix": op8_pivotal_mix,
     "op9_entropy_secrets": op9_entropy_secrets,
     "op10_ngram_jaccard": op10_ngram_jaccard,
+    "op11_tiered_packing": op11_tiered_packing,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_conversation_repair": op13_conversation_repair,
 }
