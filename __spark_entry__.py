@@ -23,6 +23,7 @@ from weftline.operators import statements as ST  # noqa: E402
 from weftline.operators.spread import spread_work  # noqa: E402
 from weftline.plans import lineage as L  # noqa: E402
 from weftline.plans import reports as R  # noqa: E402
+from weftline.sources.files import read_edges  # noqa: E402
 
 try:
     import weftline.llm.queries as corpus  # noqa: E402
@@ -261,6 +262,12 @@ def _wide(profile: str) -> Query:
     return run
 
 
+def extract_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """Outcomes of all edges of CSV files that hold broken records."""
+    edges = read_edges(spark, workload.broken_edges(spark, sf))
+    return L.extract_lineage(edges, _files(spark, sf)).fact.select(*FACT_COLUMNS)
+
+
 def row_class(spark: SparkSession, sf: str) -> DataFrame:
     return R.class_counts(_lineage(spark, sf).fact)
 
@@ -346,6 +353,7 @@ def queries() -> dict[str, Query]:
         "fact_patched": _fact("patched"),
         "wide_rows": _wide("rows"),
         "wide_concat": _wide("concat"),
+        "extract_errors": extract_errors,
         "null_gate": _gate("rows", "null"),
         "wildcard_gate": _gate("concat", "wildcard"),
         "read_gate": _gate("concat", "read"),

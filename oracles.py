@@ -396,6 +396,14 @@ SELECT k, CAST(grp AS int) AS pos, trim(string_agg(CASE WHEN cut THEN '' ELSE c
         "SELECT row_id, query_id, logic, score FROM cb QUALIFY score = max(score) OVER (PARTITION BY row_id)",
         *_B[:-1],
     ),
+    "extract_errors": _sql(
+        f"""SELECT {_NINE} FROM fact
+        UNION ALL SELECT {_seven('ed')}, 'EXTRACT_ERROR', coalesce(ok_id, any_id, md5(ed.parent || '|0|'))
+        FROM ed LEFT JOIN fi ON fi.parent = ed.parent WHERE row_id % 16 = 5
+        UNION ALL SELECT DISTINCT source_table, source_column, target_table, target_column, '', '', '',
+        'PROCESSING_ERROR', '' FROM ed WHERE row_id % 16 = 9""",
+        *_B,
+    ),
     "fact_rows": _sql(f"SELECT {_NINE} FROM fact", *_B),
     "fact_concat": _sql(f"SELECT {_NINE} FROM fact", *_A),
     "fact_patched": _sql(f"SELECT {_NINE} FROM fact", *_P),

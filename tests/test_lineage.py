@@ -1,5 +1,6 @@
 """The whole job on small hand-written cases, against outcomes worked out by hand."""
 
+import hashlib
 import re
 
 import pytest
@@ -11,7 +12,7 @@ from weftline.operators import edges as E
 from weftline.operators import spread
 from weftline.plans import lineage
 from weftline.plans import reports as R
-from weftline.sources.files import read_edges, read_sql_files, resolve_parent
+from weftline.sources.files import needs_multi_line, read_edges, read_sql_files, resolve_parent
 from weftline.sources.sinks import output_paths
 
 SQL = {
@@ -283,6 +284,50 @@ def test_rows_keep_their_place_and_line_breaks(spark, tmp_path):
     assert [r["source_column"] for r in back] == [f"x{i // 2}" for i in range(80)]
 
 
+def md5(text):
+    return hashlib.md5(text.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("multi_line", [None, False, True])
+def test_broken_records(spark, tmp_path, multi_line):
+    """Each broken record is one row with the cells it has, a warning, and spoils no other."""
+    csv = tmp_path / "edges.csv"
+    good = "src,x,tgt,c1,WRITE,a.sql,FILE"
+    rows = [good, good + ",more", good + ",most", good + ",most", "src,x,tgt", '"sr""c",x,"t,gt",c1,WRITE,a.sql,"F"']
+    rows += ["src,NULL,tgt,c1,WRITE,none.sql,FILE,", "src,y,tgt,c1,WRITE,a.sql,FILE"]
+    csv.write_text("\n".join([",".join(EDGE_COLUMNS), *rows]) + "\n")
+    edges = read_edges(spark, str(csv), multi_line=multi_line)
+    errors = [r["row_error"] for r in edges.orderBy("row_id").collect()]
+    code = "TOO_MANY_CELLS: "
+    assert errors == [None] + [code + r for r in rows[1:4]] + [None] * 2 + [code + rows[6], None]
+    files = spark.createDataFrame([("a.sql", "UPDATE tgt SET c1 = x")], "parent string, sql_text string")
+    result = extract_lineage(edges, files)
+    fact = [tuple(r)[1:] for r in result.fact.orderBy("row_id").collect()]
+    first = md5("a.sql|0|UPDATE tgt SET c1 = x")
+    seven = tuple(good.split(","))
+    assert fact[:3] == [
+        (*seven, "DIRECT_PASS_THROUGH", first),
+        (*seven, "EXTRACT_ERROR", first),
+        (*seven, "EXTRACT_ERROR", first),  # equal broken records are one, as equal edges are
+    ]
+    assert fact[3] == ("src", "x", "tgt", "", "", "", "", "PROCESSING_ERROR", "")
+    assert fact[4][:3] == ('sr"c', "x", "t,gt") and len(fact) == 7
+    assert fact[5][7:] == ("EXTRACT_ERROR", md5("none.sql|0|"))
+    warned = result.warnings.where("code = 'ROW_ERROR'").collect()
+    assert sorted(r["message"] for r in warned)[0] == f"parent=a.sql err={code}{rows[1]}" and len(warned) == 4
+    # The other rules leave such rows out.
+    concat = extract_lineage(read_edges(spark, str(csv), "concat"), files, "concat").fact
+    assert concat.count() == 4 and concat.where("transformation_logic = 'EXTRACT_ERROR'").count() == 0
+
+
+def test_line_breaks_are_found(spark, tmp_path):
+    csv = tmp_path / "edges.csv"
+    csv.write_text('a,b\n"x ""y""",1\n')
+    assert not needs_multi_line(spark, str(csv))
+    csv.write_text('a,b\n"x\ny",1\n')
+    assert needs_multi_line(spark, str(csv))
+
+
 def test_parents_outside_the_base(spark, tmp_path):
     """``..`` and absolute paths are read, unnamed files are not, and bad bytes are kept."""
     base = tmp_path / "base"

@@ -51,6 +51,10 @@ MISSING_SOURCE = "MISSING_SOURCE_COLUMN"
 MISSING_TARGET = "MISSING_TARGET_COLUMN"
 MISSING_BOTH = "MISSING_BOTH_COLUMNS"
 PROCESSING_ERROR = "PROCESSING_ERROR"
+EXTRACT_ERROR = "EXTRACT_ERROR"
+
+# Column of edges that says why a row cannot be explained; null where it can.
+ROW_ERROR = "row_error"
 
 # Texts that describe reads and wildcards.
 READ_PROJECTION = "Read in SELECT projection: "

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import DEDUP_KEY, EDGE_COLUMNS, NULL_LITERAL, Profile, get_profile
+from ..constants import DEDUP_KEY, EDGE_COLUMNS, NULL_LITERAL, ROW_ERROR, Profile, get_profile
 from ..functions import names as N
 from .candidates import ASSIGNED, READ_COLUMN, TARGET_TABLE
 
@@ -26,20 +26,26 @@ def with_row_id(edges: DataFrame) -> DataFrame:
 
 
 def with_file_key(edges: DataFrame) -> DataFrame:
-    """``parent`` becomes the key of the SQL file, ``parent_given`` keeps the input's text."""
+    """``parent`` becomes the key of the SQL file, ``parent_given`` keeps the input's text.
+
+    Edges without a column ``row_error`` have no errors.
+    """
     check_columns(edges)
+    if ROW_ERROR not in edges.columns:
+        edges = edges.withColumn(ROW_ERROR, F.lit(None).cast("string"))
     key = "parent_key" if "parent_key" in edges.columns else "parent"
     keyed = with_row_id(edges).withColumn("parent_given", F.col("parent"))
-    return keyed.withColumn("parent", F.col(key)).select("row_id", *EDGE_COLUMNS, "parent_given")
+    names = ["row_id", *EDGE_COLUMNS, "parent_given", ROW_ERROR]
+    return keyed.withColumn("parent", F.col(key)).select(*names)
 
 
 def dedup_edges(edges: DataFrame) -> DataFrame:
-    """First row (by ``row_id``) per tables, columns and parent.
+    """First row (by ``row_id``) per tables, columns and parent; rows with errors by error too.
 
     An aggregate, not a window: copies are merged on the map side, so a large
     group of copies never meets in one task.
     """
-    key = DEDUP_KEY + [c for c in edges.columns if c == "parent_given"]
+    key = DEDUP_KEY + [c for c in edges.columns if c in ("parent_given", ROW_ERROR)]
     others = [c for c in edges.columns if c not in key and c != "row_id"]
     first = F.min(F.struct("row_id", *others)).alias("first")
     return (
@@ -92,8 +98,10 @@ def with_gate(edges: DataFrame, profile: str | Profile = "rows") -> DataFrame:
         star = F.coalesce(F.col("source_column") == "*", F.lit(False)) | F.coalesce(
             F.col("target_column") == "*", F.lit(False)
         )
+    broken = F.col(ROW_ERROR).isNotNull() if ROW_ERROR in edges.columns else F.lit(False)
     gate = (
-        F.when(F.coalesce("parent", F.lit("")) == "", "file_error")
+        F.when(broken, "row_error")
+        .when(F.coalesce("parent", F.lit("")) == "", "file_error")
         .when((src == NULL_LITERAL) | (tgt == NULL_LITERAL), "null")
         .when(star, "wildcard")
         .when((F.col("rel") == "READ") & (src != "") & (tgt == ""), "read")

@@ -62,6 +62,8 @@ def prepare_edges(edges: DataFrame, profile: Profile) -> DataFrame:
     if profile.multi_row:
         raw = E.dedup_edges(raw)
     gated = computed_once(E.with_gate(E.normalize_edges(raw, profile), profile))
+    if not profile.multi_row:  # these rules skip such rows, with a warning
+        gated = gated.where("gate <> 'row_error'")
     kept = ["row_id", *EDGE_COLUMNS, "parent_given", "case_id"]
     return E.with_case(gated, profile).select(
         *kept, *[c for c in E.CASE_COLUMNS if c not in EDGE_COLUMNS]
@@ -171,11 +173,13 @@ def _outcomes_rows(job: Job) -> DataFrame:
     default = F.coalesce("default_id", missing_id)
     failed = F.when(F.col("has_file"), F.col("failed_id")).otherwise(missing_id)
     first_id = F.col("first.query_id")
+    named = F.coalesce("parent", F.lit("")) != ""
     null_id = F.when(
         F.col("tgt_name") == "", F.coalesce("first_values_id", default)
     ).otherwise(F.coalesce(first_id, default))
     outcome = (
-        F.when(gate == "file_error", _one(K.PROCESSING_ERROR, ""))
+        F.when(gate == "row_error", _one(K.EXTRACT_ERROR, F.when(named, default).otherwise("")))
+        .when(gate == "file_error", _one(K.PROCESSING_ERROR, ""))
         .when(gate == "null", _one(K.NULL_LITERAL, null_id))
         .when(gate == "wildcard", _one(K.WILDCARD_ROWS, F.coalesce(first_id, default)))
         .when(gate == "missing_both", _one(K.MISSING_BOTH, default))
@@ -321,12 +325,10 @@ def extract_lineage(
     """
     job = prepare(edges, sql_files, profile, work_dir=work_dir)
     fact = resolve(job).select("row_id", *FACT_COLUMNS)
-    return _lineage(job, sql_files, fact)
-
-
-def _lineage(job: Job, sql_files: DataFrame, fact: DataFrame) -> Lineage:
     dim = dim_table(job.cases, sql_files, job.corpus.parsed, job.profile)
     warnings = R.warnings(job.cases, sql_files, job.corpus.parsed)
+    if K.ROW_ERROR in edges.columns:
+        warnings = warnings.unionByName(R.row_warnings(edges))
     shared = (job.edges, job.cases, *job.corpus)
     return Lineage(fact, dim, R.summarize(fact, job.profile), warnings, shared, job.profile)
 

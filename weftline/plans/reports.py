@@ -12,6 +12,7 @@ from ..constants import (
     MISSING_TARGET,
     NOT_FOUND,
     PARSE_FAILED,
+    ROW_ERROR,
     ROWS,
     Profile,
     get_profile,
@@ -115,6 +116,16 @@ def warnings(
     return missing.unionByName(failed)
 
 
+def row_warnings(edges: DataFrame) -> DataFrame:
+    """One warning per edge that cannot be read, as given."""
+    parent = F.coalesce("parent", F.lit(""))
+    return edges.where(F.col(ROW_ERROR).isNotNull()).select(
+        parent.alias("parent"),
+        F.lit("ROW_ERROR").alias("code"),
+        F.concat(F.lit("parent="), parent, F.lit(" err="), F.col(ROW_ERROR)).alias("message"),
+    )
+
+
 def first_warnings(warning_rows: DataFrame, n: int | None = None) -> DataFrame:
     """Warnings in order; only the first ``n`` if a display asks for that."""
     ordered = warning_rows.orderBy("parent", "code", "message")

@@ -7,22 +7,59 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..constants import CSV_NA_VALUES, EDGE_COLUMNS, Profile, get_profile
+from ..constants import CSV_NA_VALUES, EDGE_COLUMNS, ROW_ERROR, Profile, get_profile
 from ..operators.edges import check_columns
 
 
+_QUOTED_CELL = r'"(?:[^"]|"")*+"'
+_RECORD = "_edge_record"
+
+
+def needs_multi_line(spark: SparkSession, path: str) -> bool:
+    """Whether some quoted cell of the CSV files goes on over a line's end.
+
+    Then, and only then, a line has an odd number of quotes. Stops at the first one found.
+    """
+    line = F.col("value")
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    return bool(spark.read.text(path).where(quotes % 2 == 1).head(1))
+
+
+def record_error(record: Column, width: int) -> Column:
+    """Why a CSV record is no edge, else null: it has more cells than the header's ``width``,
+    or a quote that never closes.
+
+    ``record`` is the text of a record that does not have the header's cells. Missing cells at
+    its end are empty cells and no error.
+    """
+    plain = F.regexp_replace(record, _QUOTED_CELL, "")
+    commas = F.length(plain) - F.length(F.replace(plain, F.lit(","), F.lit("")))
+    code = F.when(plain.contains('"'), "OPEN_QUOTE").when(commas >= width, "TOO_MANY_CELLS")
+    return F.when(code.isNotNull(), F.concat(code, F.lit(": "), F.make_valid_utf8(record)))
+
+
 def read_edges(
-    spark: SparkSession, path: str, profile: str | Profile = "rows", multi_line: bool = True
+    spark: SparkSession,
+    path: str,
+    profile: str | Profile = "rows",
+    multi_line: bool | None = None,
 ) -> DataFrame:
-    """Lineage edges from CSV: the seven columns as strings, the text ``NULL`` kept, and
-    ``row_id``, which sorts as the rows stand in the files.
+    """Lineage edges from CSV: the seven columns as strings, the text ``NULL`` kept,
+    ``row_id``, which sorts as the rows stand in the files, and ``row_error``.
 
-    For ``concat`` the NA words become null. ``multi_line`` allows line breaks in quoted
-    cells; without it a file is split among tasks, and such a cell would break rows.
+    For ``concat`` the NA words become null. A record that cannot be read keeps the cells
+    that it has and says why in ``row_error`` (:func:`record_error`). ``multi_line`` allows
+    line breaks in quoted cells, for which a file is one task; by default that is so only for
+    files that have some, and other files are split among tasks.
     """
-    raw = spark.read.csv(
-        path, header=True, inferSchema=False, quote='"', escape='"', multiLine=multi_line
-    )
+    if multi_line is None:
+        multi_line = needs_multi_line(spark, path)
+    options = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line}
+    names = check_columns(spark.read.csv(path, inferSchema=False, **options)).columns
+    schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in [*names, _RECORD])
+    # A reader that prunes columns does not see how many cells a record has.
+    reader = spark.read.option("columnPruning", False).option("columnNameOfCorruptRecord", _RECORD)
+    raw = reader.csv(path, schema=schema, mode="PERMISSIVE", **options)
     # Rows of one split are numbered in order; the split's file and start come first.
     number = F.monotonically_increasing_id().cast("string")
     row_id = F.concat_ws(
@@ -31,7 +68,8 @@ def read_edges(
         F.lpad(F.col("_metadata.file_block_start").cast("string"), 20, "0"),
         F.lpad(number, 20, "0"),
     )
-    edges = check_columns(raw).select(row_id.alias("row_id"), *EDGE_COLUMNS)
+    error = record_error(F.col(_RECORD), len(names)).alias(ROW_ERROR)
+    edges = raw.select(row_id.alias("row_id"), *EDGE_COLUMNS, error)
     if get_profile(profile).multi_row:
         return edges
     kept = {c: F.when(~F.col(c).isin(CSV_NA_VALUES), F.col(c)) for c in EDGE_COLUMNS}

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -121,6 +124,33 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the cluster's shared one; a local master may have none."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and spark.conf.get("spark.master", "local").startswith("local"):
+        folder = tempfile.mkdtemp(prefix="weftline-input-")
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir")
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def broken_edges(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of CSV files with all edges in order and, between them, records that have a cell
+    too many, and records that end early."""
+    edge, key = edges(spark, sf_dir), F.col("row_id")
+    cells = [c for c in edge.columns if c != "row_id"]
+    whole = F.concat_ws(",", *cells)
+    more = F.when(key % 16 == 5, F.concat_ws(",", whole, key.cast("string"))).when(
+        key % 16 == 9, F.concat_ws(",", *cells[:4])
+    )
+    lines = F.array_compact(F.array(more, whole))
+    # A writer with one column and no quotes gives lines as they are, each file with a header.
+    rows = edge.orderBy("row_id").select(F.explode(lines).alias(",".join(cells)))
+    path = new_folder(spark, "broken-edges")
+    rows.write.csv(path, header=True, sep="\u0001", quote="\u0000")
+    return path
+
+
 # Statements that the ten templates above lack: (SQL, edge, outcomes of the ``rows`` rules,
 # outcome of the ``concat`` rules). An edge is (source table, source column, target table,
 # target column, relation); the SQL None stands for an edge without a file name.
