@@ -18,6 +18,7 @@ from weftline.functions import names as N  # noqa: E402
 from weftline.functions import shape as S  # noqa: E402
 from weftline.operators import candidates as C  # noqa: E402
 from weftline.operators import edges as E  # noqa: E402
+from weftline.operators import scopes as SC  # noqa: E402
 from weftline.operators import shapes as SH  # noqa: E402
 from weftline.operators import statements as ST  # noqa: E402
 from weftline.operators.spread import spread_work  # noqa: E402
@@ -262,6 +263,18 @@ def _wide(profile: str) -> Query:
     return run
 
 
+def scope_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored tables that each statement and each of its named scopes reads."""
+    catalog = ST.statement_catalog(spread_work(workload.scope_files(spark, sf), "parent"))
+    found = SC.scope_sources(SC.scopes(catalog))
+    parents = catalog.select("query_id", "parent")
+    return (
+        found.where("kind <> 'nested'")
+        .join(parents, "query_id")
+        .select(F.col("parent").cast("bigint").alias("k"), "kind", "name", F.col("table").alias("base_table"))
+    )
+
+
 def extract_errors(spark: SparkSession, sf: str) -> DataFrame:
     """Outcomes of all edges of CSV files that hold broken records."""
     edges = read_edges(spark, workload.broken_edges(spark, sf))
@@ -354,6 +367,7 @@ def queries() -> dict[str, Query]:
         "wide_rows": _wide("rows"),
         "wide_concat": _wide("concat"),
         "extract_errors": extract_errors,
+        "scope_sources": scope_sources,
         "null_gate": _gate("rows", "null"),
         "wildcard_gate": _gate("concat", "wildcard"),
         "read_gate": _gate("concat", "read"),

@@ -6,7 +6,7 @@ The expectation comes from the statement templates, not from reading SQL text:
 
 from __future__ import annotations
 
-from workload import TEMPLATES, WIDE
+from workload import SCOPES, TEMPLATES, WIDE
 
 
 def _quote(text: str) -> str:
@@ -283,6 +283,19 @@ def _wide(rows: list[tuple[int, str]]) -> str:
     )
 
 
+def _scope_sources() -> str:
+    rows = []
+    for number, (text, names) in enumerate(SCOPES):
+        for name, tables in names.items():
+            cte = f"{name} AS (" in text.upper() or f"{name} (" in text.upper()
+            kind = "statement" if not name else "cte" if cte else "named"
+            rows += [(number, kind, name, t) for t in tables]
+    return (
+        "SELECT DISTINCT p_partkey AS k, kind, name, replace(x, '{N}', CAST(p_size AS varchar)) AS base_table "
+        f"FROM part JOIN (VALUES {_values(rows)}) t(c, kind, name, x) ON c = p_partkey % {len(SCOPES)}"
+    )
+
+
 ORACLES = {
     "wide_rows": _wide([(i, x) for i, case in enumerate(WIDE) for x in case[2]]),
     "wide_concat": _wide([(i, case[3]) for i, case in enumerate(WIDE)]),
@@ -396,6 +409,7 @@ SELECT k, CAST(grp AS int) AS pos, trim(string_agg(CASE WHEN cut THEN '' ELSE c
         "SELECT row_id, query_id, logic, score FROM cb QUALIFY score = max(score) OVER (PARTITION BY row_id)",
         *_B[:-1],
     ),
+    "scope_sources": _scope_sources(),
     "extract_errors": _sql(
         f"""SELECT {_NINE} FROM fact
         UNION ALL SELECT {_seven('ed')}, 'EXTRACT_ERROR', coalesce(ok_id, any_id, md5(ed.parent || '|0|'))

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from weftline.constants import ROWS
 from weftline.functions import shape as S
+from weftline.operators import scopes as SC
 from weftline.operators import shapes as SH
 from weftline.operators import statements as ST
 
@@ -313,3 +314,58 @@ def test_ids_are_stable_and_distinct(spark):
     first, second = catalog(spark, text), catalog(spark, text, profile=ROWS)
     assert [r["query_id"] for r in first] == [r["query_id"] for r in second]
     assert len({r["query_id"] for r in first}) == 2
+
+
+def test_writes_behind_with(spark):
+    """Kind, target and contents are those of the write; its WITH list still counts as read."""
+    with_list = "WITH a AS (SELECT 'INSERT INTO x' i FROM t), b (c) AS (SELECT i FROM a) "
+    cases = [
+        ("INSERT INTO db.q (k) SELECT c FROM b", "INSERT", "Q"),
+        ("INS q SELECT c FROM b", "INSERT", "Q"),
+        ("UPDATE q SET k = b.c FROM b", "UPDATE", "Q"),
+        ("MERGE INTO q USING b ON q.k = b.c WHEN MATCHED THEN UPDATE SET k = 1", "MERGE", "Q"),
+        ("DELETE FROM q WHERE k IN (SELECT c FROM b)", "DELETE", ""),
+        ("SELECT c FROM b", "SELECT", ""),
+    ]
+    df = files(spark, ";".join(with_list + sql for sql, _, _ in cases))
+    parsed = SH.parse_statements(ST.statement_catalog(df)).orderBy("stmt_no").collect()
+    assert [(r["kind"], r["target_table"], r["parse_error"]) for r in parsed] == [(k, t, "") for _, k, t in cases]
+    for r in parsed:
+        assert {"T", "A"} <= {t["name"] for t in r["tables"]}
+        assert r["sql_query"].startswith("WITH a AS")
+    kinds = df.select(F.explode(F.split("sql_text", ";")).alias("q")).select(ST.statement_kind(F.col("q")))
+    assert [k for (k,) in kinds.collect()] == [k for _, k, _ in cases]
+    assert catalog(spark, "WITH a AS (SELECT 1) INSERT")[0]["parse_error"] == "UNSUPPORTED_STATEMENT"
+    assert catalog(spark, "WITH a AS (SELECT 1")[0]["parse_error"] == "UNBALANCED"
+
+
+def test_scopes(spark):
+    deep = "SELECT x FROM (" * 40 + "SELECT x FROM bottom" + ") z" * 40
+    df = spark.createDataFrame(
+        [
+            ("a", "SELECT a.x, (SELECT max(y) FROM m) AS top, f('(SELECT 1 FROM no)') FROM (t1 a JOIN"
+                  " (SELECT x FROM t2) b ON a.x = b.x) WHERE EXISTS (SELECT 1 FROM t3) AND a.z IN (1, 2)"),
+            ("b", deep),
+            ("c", "WITH \"q q\" AS (SELECT 1 one), p AS (SELECT x FROM d.p) SELECT x FROM p, \"q q\""),
+            ("d", "HELLO (SELECT 1 FROM t)"),
+            ("e", None),
+        ],
+        "parent string, sql_text string",
+    )
+    found = SC.scopes(ST.statement_catalog(df))
+    ids = {r["query_id"]: r["parent"] for r in ST.statement_catalog(df).collect()}
+    rows = {(ids[r["query_id"]], r["scope"]): (r["kind"], r["name"], r["body"]) for r in found.collect()}
+    assert {k: v[:2] for k, v in rows.items() if k[0] == "a"} == {
+        ("a", "0"): ("statement", ""), ("a", "0.0"): ("named", "TOP"),
+        ("a", "0.1"): ("named", "B"), ("a", "0.2"): ("nested", ""),
+    }
+    assert rows["a", "0.2"][2] == "SELECT 1 FROM t3"
+    assert {k[0] for k in rows} == {"a", "b", "c"}
+    tables = {}
+    for r in SC.scope_sources(found).collect():
+        tables.setdefault((ids[r["query_id"]], r["scope"]), set()).add(r["table"])
+    assert tables["a", "0"] == {"M", "T1", "T2", "T3"} and tables["a", "0.1"] == {"T2"}
+    assert tables["b", "0"] == {"BOTTOM"}
+    # An expression that reads a table of its own name.
+    assert tables["c", "0"] == {"P"} and tables["c", "0.1"] == {"P"}
+    assert SC.scope_sources(found.limit(0)).count() == 0

@@ -49,6 +49,12 @@ _NOT_ALIAS = (
 )
 _ALIAS = rf"(?:\s+(?:AS\s+)?(?!(?:{_NOT_ALIAS})\b)({IDENT}))?"
 
+# The alias behind a parenthesised query, which may also stand in an expression.
+QUERY_ALIAS = (
+    rf"(?:\s*+(?:AS\s+)?(?!(?:{_NOT_ALIAS}|AND|OR|NOT|THEN|ELSE|END|IS|IN|LIKE|BETWEEN|ASC|DESC|"
+    rf"INSERT|INS|UPDATE|UPD|MERGE|DELETE|DEL)\b)({IDENT}))?"
+)
+
 # Trailing words that are part of an expression, not a column alias.
 _NOT_COLUMN_ALIAS = ["END", "NULL", "DAY", "MONTH", "YEAR", "HOUR", "MINUTE", "SECOND"]
 _NOT_BEFORE_ALIAS = [

@@ -96,7 +96,7 @@ def parse_statements(statements: DataFrame) -> DataFrame:
         "bodies",
         F.concat(
             F.array(F.when(has_top, S.from_first_select(F.col("source"))).otherwise("")),
-            S.nested_selects(F.col("source")),
+            S.nested_selects(F.when(ok, F.concat("with_text", "source")).otherwise("")),
             F.when(ok, F.col("deep_selects")).otherwise(F.array().cast("array<string>")),
         ),
     )
@@ -259,7 +259,7 @@ def parse_statements(statements: DataFrame) -> DataFrame:
         .withColumn("tables", tables)
         .withColumn("contexts", contexts)
         .withColumn("inputs", inputs)
-        .select(*statements.drop("body", "sql", "deep_selects").columns, "tables", "units", "contexts", "inputs")
+        .select(*statements.drop("body", "sql", "with_text", "deep_selects").columns, "tables", "units", "contexts", "inputs")
     )
 
 

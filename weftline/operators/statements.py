@@ -30,6 +30,7 @@ _OTHER_VERBS = [
     "DROP", "ALTER", "COLLECT", "GRANT", "REVOKE", "CALL", "EXPLAIN", "SHOW", "HELP", "RENAME",
     "DATABASE", "COMMENT", "SET", "BT", "ET", "BEGIN", "END", "COMMIT", "EXEC", "EXECUTE",
 ]
+_WRITES = "INSERT|INS|UPDATE|UPD|MERGE|DELETE|DEL"
 _ONE_MODIFIER = ["", "MULTISET", "VOLATILE", "GLOBAL TEMPORARY"]
 _DDL_OBJECTS = ["DROP TABLE", "ALTER TABLE", "ALTER COLUMN", "COLLECT STATISTICS"]
 
@@ -91,8 +92,15 @@ def _created(head: Column) -> Column:
     return F.regexp_extract(head, r"\A(?:CREATE|REPLACE)(?: (?!TABLE\b|VIEW\b)\w+)*+ (TABLE|VIEW)\b", 1)
 
 
+def behind_with(stmt: Column) -> Column:
+    """The INSERT, UPDATE, MERGE or DELETE behind a leading WITH list, else empty."""
+    return cut(stmt, rf"\A\s*WITH\b{until(f'{_WRITES}|{SELECT}')}(\b(?:{_WRITES})\b.*)\z")
+
+
 def statement_kind(stmt: Column) -> Column:
-    return _kind(leading_words(stmt))
+    """Kind of a statement; that of the write behind a leading WITH list."""
+    write = behind_with(stmt)
+    return _kind(leading_words(F.when(write != "", write).otherwise(stmt)))
 
 
 def _kind(s: Column) -> Column:
@@ -175,6 +183,8 @@ def _has_anchor(stmt: Column, body: Column, kind: Column) -> Column:
 def statement_catalog(sql_files: DataFrame, profile: str | Profile = "rows") -> DataFrame:
     """One row per statement: id, text, kind, body, write target and parse status.
 
+    A leading WITH list of a write is put aside as ``with_text``; ``sql`` is the rest.
+
     A file without statements keeps one placeholder row. ``sql`` is the text with its deepest
     groups folded, ``deep_selects`` has the bodies of SELECTs among them.
     """
@@ -199,7 +209,17 @@ def statement_catalog(sql_files: DataFrame, profile: str | Profile = "rows") ->
         leading_words(full).alias("head"),
     )
     sql = F.col("sql")
-    typed = sized.withColumn("kind", _kind(F.col("head")))
+    write = F.when(F.col("head").rlike(r"\AWITH\b"), behind_with(sql)).otherwise("")
+    is_write = F.col("write") != ""
+    before = F.substr(sql, F.lit(1), F.length(sql) - F.length("write"))
+    parted = sized.withColumns({"folded": sql, "write": write}).withColumns(
+        {
+            "with_text": F.when(is_write, before).otherwise(""),
+            "sql": F.when(is_write, F.col("write")).otherwise(sql),
+            "head": F.when(is_write, leading_words(F.col("write"))).otherwise(F.col("head")),
+        }
+    )
+    typed = parted.withColumn("kind", _kind(F.col("head")))
     kind = F.col("kind")
     creates = kind.isin("CTAS", "VIEW", "CREATE")
     body = typed.withColumn(
@@ -210,7 +230,7 @@ def statement_catalog(sql_files: DataFrame, profile: str | Profile = "rows") ->
         .when(_pure_ddl(F.col("upper_sql"), F.col("head")), "PURE_DDL_SKIPPED")
         .when(kind == "DDL", "DDL_NODE_SKIPPED")
         .when(creates & (F.col("body") == ""), "CREATE_NO_SELECT_SKIPPED")
-        .when(~is_balanced(sql), "UNBALANCED")
+        .when(~is_balanced(F.col("folded")), "UNBALANCED")
         .when(~F.col("anchored"), "UNSUPPORTED_STATEMENT")
         .otherwise("")
     )
@@ -220,6 +240,7 @@ def statement_catalog(sql_files: DataFrame, profile: str | Profile = "rows") ->
         "stmt_no",
         "sql_query",
         "sql",
+        "with_text",
         "deep_selects",
         "body",
         "kind",

@@ -201,10 +201,78 @@ WIDE = [
         "UPDATE TGT SET CB = {N};\n" * 510 + "UPDATE TGT SET CA = s.XA - {N} FROM SRC s",
         _SRC, ["s.XA - {N}"], "s.XA - {N}",
     ),
+    (
+        "WITH c AS (SELECT s.XA AS Y FROM SRC s) INSERT INTO TGT (CA) SELECT c.Y FROM c",
+        _SRC, ["DIRECT_PASS_THROUGH"], "c.Y",
+    ),
+    (
+        "WITH c AS (SELECT s.XA + {N} AS Y FROM SRC s) UPDATE TGT SET CA = c.Y FROM c",
+        _SRC, ["TRANSFORM_NOT_FOUND"], "c.Y",
+    ),
+    (
+        "WITH b AS (SELECT s.K FROM SRC s), c (Y) AS (SELECT b.K * {N} FROM b)"
+        " MERGE INTO TGT t USING c ON t.K = c.Y WHEN MATCHED THEN UPDATE SET CA = c.Y",
+        _SRC, ["TRANSFORM_NOT_FOUND"], "c.Y",
+    ),
+    (
+        "INSERT INTO TGT (CA) WITH c AS (SELECT s.XA AS Y FROM SRC s) SELECT c.Y FROM c",
+        _SRC, ["DIRECT_PASS_THROUGH"], "c.Y",
+    ),
+    (
+        "INSERT INTO TGT (CA) SELECT d.Y FROM (SELECT s.XA * {N} AS Y FROM SRC s) d",
+        _SRC, ["s.XA * {N}"], "d.Y",
+    ),
+    (
+        "CREATE VOLATILE TABLE TGT AS (SELECT d.Y AS CA FROM (SELECT e.Z AS Y FROM"
+        " (SELECT s.XA AS Z FROM SRC s) e) d) WITH DATA",
+        _SRC, ["DIRECT_PASS_THROUGH"], "d.Y",
+    ),
     (None, ("SRC", "XA", "TGT{K}", "CA", "WRITE"), ["PROCESSING_ERROR"], "TRANSFORM_NOT_FOUND"),
 ]
 
 
+# Statements with scopes: (SQL, the tables that each named scope and the statement read).
+SCOPES = [
+    (
+        "WITH a AS (SELECT x FROM DB.T1), b AS (SELECT x FROM a JOIN T{N} z ON a.x = z.x)"
+        " INSERT INTO TGT (CA) SELECT x FROM b UNION ALL SELECT y FROM T3",
+        {"A": ["T1"], "B": ["T1", "T{N}"], "": ["T1", "T{N}", "T3"]},
+    ),
+    (
+        "INSERT INTO TGT (CA) WITH RECURSIVE r (n) AS (SELECT n FROM SEED{N} UNION ALL SELECT r.n + 1"
+        " FROM r, STEPS) SELECT n FROM r WHERE n IN (SELECT k FROM KEYS k)",
+        {"R": ["SEED{N}", "STEPS"], "": ["SEED{N}", "STEPS", "KEYS"]},
+    ),
+    (
+        "CREATE TABLE TGT AS (SELECT d.v FROM (SELECT max(e.v) v FROM (SELECT v FROM DEEP{N}) AS e) d"
+        " LEFT JOIN SIDE s ON d.v = s.v) WITH DATA",
+        {"E": ["DEEP{N}"], "D": ["DEEP{N}"], "": ["DEEP{N}", "SIDE"]},
+    ),
+    (
+        # The inner name hides the outer one of the same name.
+        "SELECT * FROM c, (WITH c AS (SELECT v FROM IN{N}) SELECT v FROM c) q",
+        {"C": ["IN{N}"], "Q": ["IN{N}"], "": ["C", "IN{N}"]},
+    ),
+    (
+        "WITH c AS (SELECT s.k FROM SRC{N} s) MERGE INTO TGT t USING c ON t.k = c.k"
+        " WHEN MATCHED THEN UPDATE SET CA = (SELECT min(v) FROM MINS)",
+        {"C": ["SRC{N}"], "": ["SRC{N}", "MINS"]},
+    ),
+    ("UPDATE TGT SET CA = s.v FROM (SELECT v FROM U{N} WHERE note = '(SELECT 1 FROM no)') s", {"S": ["U{N}"], "": ["U{N}"]}),
+    ("DELETE FROM TGT WHERE k = {N}", {}),
+]
+
+
+def scope_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file per part, a statement of ``SCOPES`` each."""
+    part = table(spark, sf_dir, "part")
+    sql = F.lit("")
+    for number, (text, _) in enumerate(SCOPES):
+        filled = _text(text, N=F.col("p_size").cast("string"))
+        sql = F.when(F.col("p_partkey") % len(SCOPES) == number, filled).otherwise(sql)
+    return part.select(F.col("p_partkey").cast("string").alias("parent"), sql.alias("sql_text"))
+
+
 def _wide(spark: SparkSession, sf_dir: str, value) -> tuple[DataFrame, Column]:
     """Parts, and a column with ``value(case)`` of each part's case."""
     part = table(spark, sf_dir, "part")
