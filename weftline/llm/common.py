@@ -52,7 +52,7 @@ def with_row_id(df: DataFrame, name: str = "rows") -> DataFrame:
     ``row_no``; the last two identify a row of a stored table."""
     columns = [
         F.struct("*").alias("doc"),
-        F.xxhash64(F.col("_metadata.file_name")).alias("row_file"),
+        F.xxhash64(F.col("_metadata.file_path")).alias("row_file"),
         F.col("_metadata.row_index").alias("row_no"),
     ]
     if df.inputFiles():
