@@ -34,7 +34,7 @@ from pyspark.sql.datasource import (
     StringStartsWith,
 )
 
-from weftline.llm.common import new_path, ship
+from weftline.llm.common import beside, new_path, ship, stored, with_row_id
 from weftline.llm.files import FilePack, open_file, pack_files
 
 END = "\r\n\r\n"
@@ -75,25 +75,29 @@ def mark_revisits(pages: DataFrame) -> DataFrame:
 
     Of equal payloads of ``LEAST_SHARED`` bytes or more the smallest page_id is the response
     and other page_ids revisit it. Rows that repeat that page_id are responses too; a null
-    page_id revisits if the group has an id. Groups are counted before the join, and only
-    digests that occur twice take part in it.
+    page_id revisits if the group has an id. Digests and the revisits' places move, payloads
+    do not as long as the list of revisits is small enough to be broadcast.
     """
-    payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
-    rows = pages.select(
-        F.col("page_id").cast("long").alias("page_id"), "url", payload.alias("payload")
-    ).withColumn("digest", F.sha2("payload", 256))
+    payload = F.encode(F.coalesce("doc.html", F.lit("")), "UTF-8")
+    rows = with_row_id(pages).select(
+        "row_file", "row_no", F.col("doc.page_id").cast("long").alias("page_id"), "doc.url",
+        payload.alias("payload"),
+    ).withColumn("digest", F.sha2("payload", 256))
+    narrow = rows.where(F.octet_length("payload") >= LEAST_SHARED).select(
+        "row_file", "row_no", "page_id", F.unhex("digest").alias("key")
+    )
+    narrow = stored(narrow, "payload-digests")
     firsts = (
-        rows.where(F.octet_length("payload") >= LEAST_SHARED)
-        .groupBy("digest")
+        narrow.groupBy("key")
         .agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
         .where("copies > 1")
         .drop("copies")
     )
-    return rows.join(firsts, "digest", "left").withColumn(
-        "is_revisit",
-        F.coalesce(F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id")),
-                   F.lit(False)),
-    )
+    other = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
+    revisits = narrow.join(firsts, "key").where(other).select("row_file", "row_no", "first_id")
+    revisits = stored(revisits, "revisits")
+    found = beside(rows, revisits, 32 * revisits.count(), "left")
+    return found.withColumn("is_revisit", F.col("first_id").isNotNull())
 
 
 def _line(name: str, value: Column) -> Column:
