@@ -299,14 +299,11 @@ def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
-            keep = pa.array(model.value.scores(document_features(texts)) >= 0.5)
-            rows = pa.record_batch(batch.columns[:-1], names=batch.schema.names[:-1])
-            yield rows.filter(keep)
-
-    # The text goes along a second time under a name of its own, as text of any type.
-    wide = docs.select("*", F.col("text").cast("string").alias("_scored_text_"))
-    return wide.mapInArrow(run, docs.schema)
+            scores = model.value.scores(document_features(batch.column(place)))
+            yield batch.filter(pa.array(scores >= 0.5))
+
+    place = docs.columns.index("text")
+    return docs.mapInArrow(run, docs.schema)
 
 
 ship(__name__)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -42,18 +43,17 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-_POWERS: dict[tuple[int, int], np.ndarray] = {}
+_POWERS: dict[int, np.ndarray] = {}
 
 
 def powers(base: np.uint64, n: int) -> np.ndarray:
-    """``base ** 0 .. n - 1``; arrays for pieces of the usual size are kept."""
-    size = 1 << max(10, int(n - 1).bit_length()) if n else 1
-    if size > 4 * PIECE_BYTES:
+    """``base ** 0 .. n - 1``; one array of each base is kept, as long as a usual piece needs."""
+    if n > 2 * PIECE_BYTES:
         return _powers(base, n)
-    key = (int(base), size)
-    if key not in _POWERS:
-        _POWERS[key] = _powers(base, size)
-    return _POWERS[key][:n]
+    kept = _POWERS.get(int(base))
+    if kept is None or len(kept) < n:
+        kept = _POWERS[int(base)] = _powers(base, 1 << max(16, int(n - 1).bit_length()))
+    return kept[:n]
 
 
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: np.uint64) -> np.ndarray:
@@ -129,6 +129,14 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return at, np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
 
 
+def release_memory() -> None:
+    """Give freed memory back, which Arrow's pool and the C library else keep in every worker."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
+    if trim:
+        trim(0)
+
+
 def pieces(column: pa.Array, lower: bool = False) -> Iterator[Piece]:
     """Cut a batch's texts into pieces of bounded size and find their words."""
     offsets, data = text_buffers(column)
@@ -142,6 +150,7 @@ def pieces(column: pa.Array, lower: bool = False) -> Iterator[Piece]:
         local = offsets[i : j + 1] - offsets[i]
         yield Piece(slice(i, j), part, local, *find_words(part, local))
         i = j
+    release_memory()
 
 
 def sums(mask: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
