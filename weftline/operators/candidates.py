@@ -7,13 +7,13 @@ answer it are one row, so work is split by pairs and no array grows with a file.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import Profile
 from ..functions import names as N
 from . import shapes as SH
-from .spread import computed_once, spread_join
+from .spread import computed_once, materialize, spread_join
 
 PLACE = ["parent", "kind", "key"]
 ASSIGNED, TARGET_TABLE, READ_COLUMN = "T", "W", "R"
@@ -370,9 +370,9 @@ def candidates_rows(
     )
     hits = mentions.where(F.col("kind") == MENTIONED).select("parent", F.col("source").alias("src_col"), "tid")
     texts = mentionable(assigned).select("parent", "tid", *ENTRY)
-    by_mention = spread_join(
-        asked.drop("key"), hits.join(texts, ["parent", "tid"]), ["parent", "src_col"], "case_id", work_dir
-    )
+    # Read twice: to count the pairs of a name, and to make them.
+    mentioned = materialize(hits.join(texts, ["parent", "tid"]), "mentioned", work_dir)
+    by_mention = spread_join(asked.drop("key"), mentioned, ["parent", "src_col"], "case_id", work_dir)
     names = ["case_id", "src_tbl", "tgt_tbl", "src_col", *ENTRY]
     pairs = by_target.select(names).union(by_mention.select(names))
     aliased = pairs.withColumn("alias", source_alias(F.col("tables"), F.col("src_tbl")))
@@ -399,7 +399,17 @@ def candidates_rows(
         F.col("stmt_no").alias("ord"),
         F.lit(0).alias("seq"),
     )
-    return computed_once(scored).where("score > 0").distinct()
+    return distinct_logic(computed_once(scored).where("score > 0"), "score")
+
+
+def distinct_logic(rows: DataFrame, *also: str) -> DataFrame:
+    """One row per case, statement and outcome text (and the columns ``also``).
+
+    Texts are compared by their digest, so keys stay narrow, and copies merge before they move.
+    """
+    key = ["case_id", "query_id", *also]
+    marked = rows.withColumn("logic_key", F.md5("logic"))
+    return marked.dropDuplicates([*key, "logic_key"]).drop("logic_key")
 
 
 def candidates_concat(scans: DataFrame, logic: DataFrame, profile: Profile, work_dir: str | None) -> DataFrame:
@@ -452,15 +462,18 @@ def candidates_concat(scans: DataFrame, logic: DataFrame, profile: Profile, work
 
 def best_tier(candidates: DataFrame, static_cases: DataFrame | None = None) -> DataFrame:
     """Candidates with their case's highest score; of the ``static_cases`` only the literals,
-    if there are any."""
-    case = Window.partitionBy("case_id")
-    top = candidates.withColumn("best", F.max("score").over(case)).where("score = best").drop("best")
-    if static_cases is None:
-        return top
-    marked = top.join(static_cases.select("case_id", F.lit(True).alias("prefers")), "case_id", "left")
-    any_literal = F.max(F.col("is_literal")).over(case)
-    return (
-        marked.withColumn("any_literal", any_literal)
-        .where("prefers IS NULL OR is_literal OR NOT any_literal")
-        .drop("prefers", "any_literal")
-    )
+    if there are any. ``candidates`` is read twice or more and should be a stored table.
+
+    What a case keeps is an aggregate, which combines on the map side and moves no text; the
+    candidates then meet one row per case, and a hot case is split as any skewed join is.
+    """
+    best = candidates.groupBy("case_id").agg(F.max("score").alias("score"))
+    top = candidates.join(best, ["case_id", "score"]).select(candidates.columns)
+    return top if static_cases is None else literals_or_all(top, static_cases)
+
+
+def literals_or_all(rows: DataFrame, cases: DataFrame) -> DataFrame:
+    """Rows without those that are no literals in the ``cases`` that have a literal."""
+    has = rows.where("is_literal").select("case_id").distinct()
+    only = has.join(cases.select("case_id"), "case_id", "left_semi").withColumn("only", F.lit(True))
+    return rows.join(only, "case_id", "left").where("is_literal OR only IS NULL").drop("only")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -108,20 +108,16 @@ def _mentions(job: Job) -> DataFrame:
 
 
 def scored_cases(job: Job, mentions: DataFrame | None = None) -> DataFrame:
-    """Every candidate of the cases that scan statements (columns ``C.CANDIDATE``)."""
+    """Every candidate of the cases that scan statements (columns ``C.CANDIDATE``), computed
+    once."""
     scans = job.cases.where(F.col("gate").isin("normal", "static"))
     if job.profile.multi_row:
         mentions = _mentions(job) if mentions is None else mentions
-        return C.candidates_rows(scans, job.corpus.assigned, mentions, job.profile, job.work_dir)
-    logic = C.statement_logic(job.corpus.assigned, job.profile)
-    return C.candidates_concat(scans, logic, job.profile, job.work_dir)
-
-
-def _literals_or_all(rows: DataFrame) -> DataFrame:
-    """Rows (case_id, logic, query_id, is_literal): of a case with literals only these."""
-    case = Window.partitionBy("case_id")
-    marked = rows.withColumn("any_literal", F.max("is_literal").over(case))
-    return marked.where("is_literal OR NOT any_literal").select("case_id", "logic", "query_id")
+        scored = C.candidates_rows(scans, job.corpus.assigned, mentions, job.profile, job.work_dir)
+    else:
+        logic = C.statement_logic(job.corpus.assigned, job.profile)
+        scored = C.candidates_concat(scans, logic, job.profile, job.work_dir)
+    return materialize(scored, "candidates", job.work_dir)
 
 
 def _found_rows(job: Job) -> DataFrame:
@@ -137,7 +133,6 @@ def _found_rows(job: Job) -> DataFrame:
         .select("case_id", "parent", F.col("src_col").alias("source"))
         .join(shown, ["parent", "source"])
         .select("case_id", F.col("shown").alias("logic"), "tid.query_id")
-        .distinct()
     )
     static = job.cases.where("gate = 'static'")
     entries = C.entries_rows(assigned).select("parent", "key", "expr", "query_id", "is_literal")
@@ -145,12 +140,14 @@ def _found_rows(job: Job) -> DataFrame:
         static.select("case_id", "parent", "key")
         .join(entries, ["parent", "key"])
         .select("case_id", F.col("expr").alias("logic"), "query_id", "is_literal")
-        .distinct()
     )
-    constants = materialize(_literals_or_all(constants), "constants", job.work_dir)
-    tier = C.best_tier(scored_cases(job, mentions)).select("case_id", "logic", "query_id").distinct()
+    constants = materialize(C.distinct_logic(constants), "constants", job.work_dir)
+    tier = C.best_tier(scored_cases(job, mentions))
     tier = tier.join(constants.select("case_id").distinct(), "case_id", "left_anti")
-    return materialize(reads.union(constants).union(tier), "found", job.work_dir)
+    names = ["case_id", "logic", "query_id"]
+    constants = C.literals_or_all(constants, static).select(names)
+    found = C.distinct_logic(reads).select(names).union(constants)
+    return materialize(found.union(C.distinct_logic(tier).select(names)), "found", job.work_dir)
 
 
 def _with_file_facts(job: Job, asked: DataFrame, firsts: DataFrame) -> DataFrame:
