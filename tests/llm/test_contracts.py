@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 import zlib
@@ -222,6 +223,25 @@ def test_secrets(odd, empty):
     assert secrets.secret_digest(empty).count() == 0
 
 
+def test_entropy_of_a_long_run_takes_linear_time(spark):
+    """A million characters in one candidate end in seconds, as many as short ones give."""
+    rng = random.Random(8)
+    flat = "ab" * 100
+    noise = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=24))
+    long = flat * 2500 + noise + flat * 2500
+    rows = [(1, long), (2, flat[:40] + noise + flat[:40]), (3, "é😀" * 30), (4, "abc"), (5, "")]
+    df = spark.createDataFrame(rows, "k int, t string")
+    got = dict(df.select("k", secrets.largest_entropy(F.col("t"), 20)).collect())
+
+    def entropy(window):
+        return -sum(n / 20 * math.log2(n / 20) for n in Counter(window).values())
+
+    for k, text in rows[1:]:
+        want = max((entropy(text[i : i + 20]) for i in range(len(text) - 19)), default=0.0)
+        assert abs(got[k] - want) < 1e-9
+    assert abs(got[1] - got[2]) < 1e-6
+
+
 def test_entropy_spans(spark):
     texts = {
         "random": "id kJ8sLq0ZpW3xVb7TnR5yCd2F end",

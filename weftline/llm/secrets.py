@@ -101,30 +101,37 @@ def _count(char: Column, window: Column) -> Column:
 
 
 def largest_entropy(text: Column, window: int) -> Column:
-    """Largest Shannon entropy in bits of a window of ``text``; 0 if it is shorter."""
+    """Largest Shannon entropy in bits of a window of ``text``; 0 if it is shorter.
 
-    def step(acc: Column, i: Column) -> Column:
-        # The window before this step ends at i - 1; its first character leaves if it is full.
-        full = i > window
-        old = F.substring(text, F.greatest(i - window, F.lit(1)), F.least(i - 1, F.lit(window)))
+    One step a character. The window and its sum travel with the fold, so a step costs the
+    window's length and a text its own length, however long.
+    """
+
+    def step(acc: Column, entering: Column) -> Column:
+        old = acc["window"]
+        full = F.length(old) >= window
         gone = _count(F.substring(old, F.lit(1), F.lit(1)), old)
         kept = F.when(full, F.substring(old, F.lit(2), F.lit(window))).otherwise(old)
-        entered = _count(F.substring(text, i, F.lit(1)), kept)
+        entered = _count(entering, kept)
         total = (
             acc["total"]
             + F.when(full, _term(gone - 1) - _term(gone)).otherwise(0.0)
             + _term(entered + 1)
             - _term(entered)
         )
+        whole = F.length(kept) >= window - 1
         return F.struct(
             total.alias("total"),
-            F.when(i >= window, F.least(acc["least"], total)).otherwise(acc["least"]).alias("least"),
+            F.when(whole, F.least(acc["least"], total)).otherwise(acc["least"]).alias("least"),
+            F.concat(kept, entering).alias("window"),
         )
 
     most = window * math.log2(window)
-    start = F.struct(F.lit(0.0).alias("total"), F.lit(most).alias("least"))
+    start = F.struct(
+        F.lit(0.0).alias("total"), F.lit(most).alias("least"), F.lit("").alias("window")
+    )
     return F.aggregate(
-        F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1))),
+        F.regexp_extract_all(text, F.lit("(?s)(.)"), F.lit(1)),
         start,
         step,
         lambda acc: F.lit(math.log2(window)) - acc["least"] / window,
