@@ -318,7 +318,9 @@ def token_digest(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     write_tokens(docs, path, definition)
     # One row per document without its ids, kept as the files' totals are needed first.
     rows = stored(read_tokens(spark, path).drop("ids"), "token-index")
-    order = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    # By number: names have five digits at least, and a sixth sorts before them.
+    part = F.regexp_extract("file", r"part-(\d+)", 1).cast("long")
+    order = Window.orderBy(part, "file").rowsBetween(Window.unboundedPreceding, -1)
     before = rows.groupBy("file").agg(F.sum("n_tokens").alias("n"))  # one row per file
     before = before.select("file", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("before"))
     return rows.join(before, "file").select(
