@@ -118,4 +118,63 @@ SQL: dict[str, str] = {
                CASE WHEN first_id <> page_id THEN first_id END AS refers_to
         FROM p LEFT JOIN f USING (payload_digest)
     """,
+    # Slices of a blob are bytes. Runs of removed bytes are islands of window starts.
+    "op7_suffix_repeats": """
+        WITH d AS (
+          SELECT doc_id, encode(coalesce(text, '')) AS bytes,
+                 strlen(coalesce(text, '')) AS n_bytes FROM documents
+        ), w AS (
+          SELECT doc_id, place, md5(bytes[place + 1:place + 100]) AS k
+          FROM (SELECT doc_id, bytes, unnest(range(n_bytes - 99)) AS place FROM d)
+        ), r AS (
+          SELECT doc_id, place, place - lag(place) OVER (PARTITION BY doc_id ORDER BY place) AS gap
+          FROM (SELECT doc_id, place, row_number() OVER (PARTITION BY k ORDER BY doc_id, place) AS nth
+                FROM w) WHERE nth > 1
+        ), s AS (
+          SELECT doc_id, min(place) AS a, max(place) + 100 AS b
+          FROM (SELECT doc_id, place, count(*) FILTER (gap IS NULL OR gap > 100)
+                  OVER (PARTITION BY doc_id ORDER BY place) AS island FROM r)
+          GROUP BY doc_id, island
+        ), kept AS (
+          SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS since FROM s
+        ), spans AS (
+          SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last,
+                 string_agg(CASE WHEN a > since THEN hex(bytes[since + 1:a]) ELSE '' END, '' ORDER BY a)
+                   AS left_over
+          FROM kept JOIN d USING (doc_id) GROUP BY doc_id
+        )
+        SELECT doc_id, n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+               coalesce(n_spans, 0) AS n_spans,
+               sha256(unhex(coalesce(left_over, '') || CASE WHEN n_bytes > coalesce(last, 0)
+                 THEN hex(bytes[coalesce(last, 0) + 1:n_bytes]) ELSE '' END)) AS kept_sha256
+        FROM d LEFT JOIN spans USING (doc_id)
+    """,
+    "op10_ngram_jaccard": """
+        WITH RECURSIVE d AS (
+          SELECT doc_id, [x FOR x IN regexp_split_to_array(
+                   translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[\\x20\\x09-\\x0D]+') IF x <> ''] AS ws
+          FROM documents
+        ), g AS MATERIALIZED (
+          SELECT DISTINCT doc_id, md5_number(array_to_string(ws[place:place + 3], ' ')) AS k
+          FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, 2))) AS place
+                FROM d WHERE len(ws) > 0)
+        ), n AS MATERIALIZED (
+          SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id
+        ), links AS MATERIALIZED (
+          SELECT a, b FROM (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+            FROM g x JOIN g y ON x.k = y.k AND x.doc_id <> y.doc_id GROUP BY ALL
+          ) JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+          WHERE 100 * common >= 85 * (p.n + q.n - common)
+        ), reach(doc_id, other) AS (
+          SELECT doc_id, doc_id FROM documents
+          UNION
+          SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other
+        ), least AS (
+          SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id
+        )
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id
+        FROM d LEFT JOIN n USING (doc_id) JOIN least USING (doc_id)
+    """,
 }
