@@ -27,7 +27,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from weftline.llm.common import new_path, ship, stored
 from weftline.llm.files import FilePack, open_file, pack_files
 from weftline.llm.id_coder import decode_blocks, encode_blocks
-from weftline.llm.textops import text_buffers
+from weftline.llm.textops import release_memory, text_buffers
 
 MAGIC = b"WTOK1"
 END_ID = 0
@@ -40,7 +40,7 @@ SIDE_BY_SIDE = 512
 #: Bytes of files that one task decodes, which takes far longer than reading them.
 READ_BYTES = 8 << 20
 #: Bytes of text that are split into ids together, and words given to the tokenizer at once.
-TEXT_BYTES = 16 << 20
+TEXT_BYTES = 4 << 20
 WORDS_AT_ONCE = 20_000
 #: Words whose ids a task keeps. Any word beyond is split anew.
 CACHE_WORDS = 300_000
@@ -185,6 +185,7 @@ def _segments(definition):
             segment = pack_segment(np.concatenate(docs), np.concatenate(ids))
             docs.clear()
             ids.clear()
+            release_memory()
             return pa.record_batch([pa.array([segment], pa.binary())], names=["segment"])
 
         for batch in batches:
@@ -280,6 +281,7 @@ class TokenReader(DataSourceReader):
                         schema=_INDEX,
                     )
                     at += int(ends[-1])
+                    release_memory()
 
 
 class TokenSource(DataSource):
