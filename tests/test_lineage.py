@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from weftline import candidates, extract_lineage, run_pipeline
 from weftline.constants import DIM_COLUMNS, EDGE_COLUMNS, FACT_COLUMNS
+from weftline.operators import candidates as C
 from weftline.operators import edges as E
 from weftline.operators import spread
 from weftline.plans import lineage
@@ -205,6 +206,26 @@ def test_mentions_match_any_substring(spark):
         assert got.get(i, set()) == want, name
 
 
+def test_mentions_in_a_hot_file(spark, tmp_path, monkeypatch):
+    """Many names and texts of one file, split by words and by names: brute force over all."""
+    monkeypatch.setattr(C, "TOKENS_PER_SPLIT", 7)
+    monkeypatch.setattr(spread, "PAIRS_PER_SPLIT", 50)
+    texts = [("hot", i, f"f(COL_{i % 50}, CO{i}) + COL_7") for i in range(300)] + [("cold", 0, "COL_1")]
+    names = [("hot", f"COL_{i}") for i in range(60)] + [("hot", n) for n in ("CO1", "(", "L_4", "Z")]
+    names += [("cold", "COL_1"), ("cold", "COL_2"), ("none", "COL_1")]
+    kind = F.lit(C.MENTIONED).alias("kind")
+    asked = spark.createDataFrame(names, "parent string, source string").select("parent", kind, "source")
+    found = C.find_mentions(
+        asked,
+        spark.createDataFrame(texts, "parent string, tid int, match string").select(
+            "parent", kind, "tid", "match"
+        ),
+        str(tmp_path),
+    )
+    got = sorted((r["parent"], r["source"], r["tid"]) for r in found.collect())
+    assert got == sorted((p, n, i) for p, n in names for q, i, t in texts if p == q and n in t)
+
+
 def test_spread_join_splits_hot_keys(spark, tmp_path):
     """All pairs of a hot key, once each, from several splits."""
     left = spark.range(400).select((F.col("id") % 2).alias("k"), F.col("id").alias("a"))

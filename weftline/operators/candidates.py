@@ -258,6 +258,8 @@ def firsts_concat(parsed: DataFrame, assigned: DataFrame, logic: DataFrame) -> D
 
 # --- columns mentioned anywhere in a text ----------------------------------------------------
 
+# Words of a file with one piece in common that are searched together, about.
+TOKENS_PER_SPLIT = 10_000
 _RUN = r"(?:[^\s\p{Punct}]|_)+"
 
 
@@ -312,23 +314,25 @@ def mentionable(assigned: DataFrame) -> DataFrame:
     return items.withColumn("tid", _place_in_text(F.lit(1), F.col("unit_no"), F.col("ord")))
 
 
-def find_mentions(names: DataFrame, texts: DataFrame) -> DataFrame:
+def find_mentions(names: DataFrame, texts: DataFrame, work_dir: str | None = None) -> DataFrame:
     """``(parent, kind, source, tid)`` of the texts that contain a name of their file.
 
     Substring search as equi-joins: a name's first word sits inside one word of the text, so
-    both meet by a common piece of up to 3 characters. Only files with names take part,
-    only pieces of the sizes their names have are made, and texts travel by their ids until
-    real hits are tested.
+    both meet by a common piece of up to 3 characters, for each name the one that the fewest
+    words of its file have. Only files with names take part, only pieces of the sizes their
+    names have are made, and texts travel by their ids until real hits are tested. The words
+    that share a piece are dealt over splits, which each name visits, and words that make many
+    pairs are split by names.
     """
     probe = names.withColumn("run", F.regexp_extract("source", f"({_RUN})", 1)).withColumn(
         "size", F.least(F.length("run"), F.lit(3))
     )
-    probe = probe.withColumn("gram", F.substring("run", 1, 3))
     sizes = probe.select("parent", "kind", "size").distinct()
     wanted = texts.join(names.select("parent", "kind").distinct(), ["parent", "kind"], "left_semi")
     tokens = wanted.select(
         "parent", "kind", "tid", F.explode_outer(text_tokens(F.col("match"))).alias("token")
     )
+    tokens = materialize(tokens, "tokens", work_dir)
     grams = (
         tokens.select("parent", "kind", "token")
         .distinct()
@@ -337,21 +341,47 @@ def find_mentions(names: DataFrame, texts: DataFrame) -> DataFrame:
         .where("gram IS NOT NULL")
         .drop("size")
     )
+    grams = materialize(grams, "grams", work_dir)
+    often = grams.groupBy("parent", "kind", "gram").agg(F.count(F.lit(1)).alias("n"))
+    splits = F.ceil(F.col("n") / TOKENS_PER_SPLIT).cast("int")
+    dealt = grams.join(often, ["parent", "kind", "gram"]).withColumn(
+        "split", F.pmod(F.xxhash64("token"), splits).cast("int")
+    )
+    asked = rarest_pieces(probe, often).withColumn(
+        "split", F.explode_outer(F.sequence(F.lit(0), splits - 1))
+    )
     words = (
-        probe.join(grams, ["parent", "kind", "gram"])
+        asked.drop("n")
+        .join(dealt.drop("n"), ["parent", "kind", "gram", "split"])
         .where(F.col("token").contains(F.col("run")))
         .select("parent", "kind", "source", "token")
-        .distinct()
     )
-    near = words.join(tokens, ["parent", "kind", "token"]).select("parent", "kind", "source", "tid")
+    words = materialize(words, "words", work_dir)
+    near = spread_join(words, tokens, ["parent", "kind", "token"], "source", work_dir)
     return (
-        near.distinct()
+        near.select("parent", "kind", "source", "tid")
+        .distinct()
         .join(wanted.select("parent", "kind", "tid", "match"), ["parent", "kind", "tid"])
         .where(F.upper("match").contains(F.col("source")))
         .select("parent", "kind", "source", "tid")
     )
 
 
+def rarest_pieces(probe: DataFrame, often: DataFrame) -> DataFrame:
+    """``(parent, kind, source, run, gram, n)``: of each name's pieces the one that the fewest
+    words of its file have, by the counts ``often``. A name with a piece that no word has is
+    left out: it has no hit."""
+    pieces = probe.withColumn("gram", F.explode_outer(token_grams(F.col("run"), F.col("size"))))
+    rank = F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")
+    return (
+        pieces.join(often, ["parent", "kind", "gram"], "left")
+        .groupBy("parent", "kind", "source", "run")
+        .agg(F.min(rank).alias("least"))
+        .where("least.n > 0")
+        .select("parent", "kind", "source", "run", "least.gram", "least.n")
+    )
+
+
 # --- candidates ------------------------------------------------------------------------------
 
 CANDIDATE = ["case_id", "query_id", "logic", "score", "is_literal", "ord", "seq"]

@@ -103,7 +103,7 @@ def _mentions(job: Job) -> DataFrame:
     look = F.col("gate").isin("normal", "static", "read") & (F.col("src_col") != "")
     kind = F.when(F.col("gate") == "read", C.CONTEXT).otherwise(C.MENTIONED)
     names = job.cases.where(look).select("parent", kind.alias("kind"), F.col("src_col").alias("source"))
-    hits = C.find_mentions(names.distinct(), C.searched_texts(*job.corpus))
+    hits = C.find_mentions(names.distinct(), C.searched_texts(*job.corpus), job.work_dir)
     return materialize(hits, "mentions", job.work_dir)
 
 
