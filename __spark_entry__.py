@@ -23,6 +23,7 @@ from weftline.operators import shapes as SH  # noqa: E402
 from weftline.operators import statements as ST  # noqa: E402
 from weftline.operators.spread import spread_work  # noqa: E402
 from weftline.plans import lineage as L  # noqa: E402
+from weftline.plans import publish as P  # noqa: E402
 from weftline.plans import reports as R  # noqa: E402
 from weftline.sources.files import read_edges  # noqa: E402
 
@@ -281,6 +282,19 @@ def extract_errors(spark: SparkSession, sf: str) -> DataFrame:
     return L.extract_lineage(edges, _files(spark, sf)).fact.select(*FACT_COLUMNS)
 
 
+def _published(profile: str, part: str) -> Query:
+    """One of the outputs as published, read back after a second run that finds it complete."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        edges, files = _edges(spark, sf), _files(spark, sf)
+        folder = workload.new_folder(spark, "published")
+        P.publish_lineage(edges, files, folder, profile)
+        paths = P.publish_lineage(edges, files, folder, profile)
+        return spark.read.parquet(getattr(paths, part))
+
+    return run
+
+
 def row_class(spark: SparkSession, sf: str) -> DataFrame:
     return R.class_counts(_lineage(spark, sf).fact)
 
@@ -374,6 +388,8 @@ def queries() -> dict[str, Query]:
         "missing_gate": _gate("rows", "missing_both", "missing_source", "missing_target"),
         "summary_metrics": lambda s, d: _lineage(s, d, "concat").summary,
         "logic_counts": lambda s, d: _lineage(s, d).summary,
+        "published_fact": _published("rows", "fact"),
+        "published_summary": _published("concat", "summary"),
         "row_class": row_class,
         "parse_status_counts": lambda s, d: R.parse_status_counts(
             L.statement_dim(_edges(s, d), _files(s, d))

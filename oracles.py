@@ -469,3 +469,5 @@ SELECT k, CAST(grp AS int) AS pos, trim(string_agg(CASE WHEN cut THEN '' ELSE c
         _ED,
     ),
 }
+ORACLES["published_fact"] = ORACLES["fact_rows"]
+ORACLES["published_summary"] = ORACLES["summary_metrics"]

@@ -11,9 +11,10 @@ from weftline.constants import DIM_COLUMNS, EDGE_COLUMNS, FACT_COLUMNS
 from weftline.operators import candidates as C
 from weftline.operators import edges as E
 from weftline.operators import spread
-from weftline.plans import lineage
+from weftline.plans import lineage, publish
 from weftline.plans import reports as R
 from weftline.sources.files import needs_multi_line, read_edges, read_sql_files, resolve_parent
+from weftline.sources import sinks
 from weftline.sources.sinks import output_paths
 
 SQL = {
@@ -403,3 +404,39 @@ def test_one_file_with_a_third_of_all_edges(spark):
         want = f"f(s.x{c}, {c})" if c % 2 == 0 else f"s.x{c}"
         assert got[i] == ("Direct pass through" if want == f"s.x{x}" else want)
     assert all(got[400 + i] == ("x + 1" if i < 400 else "TRANSFORM_NOT_FOUND") for i in range(800))
+
+
+def test_published_outputs_are_complete(spark, tmp_path, monkeypatch):
+    """A run that ends between two tables leaves nothing published; the next one completes
+    it, and a third one works nothing out."""
+    edges, files = edge_frame(spark, *[c[0] for c in CASES]), sql_files(spark)
+    out, write, calls, profile = str(tmp_path / "out"), sinks.write_table, [], "concat"
+
+    def failing(df, path, *args, **kw):
+        calls.append(path)
+        if len(calls) == 3:
+            raise RuntimeError("driver lost")
+        write(df, path, *args, **kw)
+
+    monkeypatch.setattr(sinks, "write_table", failing)
+    with pytest.raises(RuntimeError, match="driver lost"):
+        publish.publish_lineage(edges, files, out, profile)
+    digest = publish.input_digest(edges, files, profile, "parquet", "False")
+    assert publish.published(spark, out, digest) is None and len(calls) == 3
+    paths = publish.publish_lineage(edges, files, out, profile)
+    assert publish.published(spark, out, digest) == paths
+    result = extract_lineage(edges, files, profile)
+    for path, want in zip(paths, [result.fact, result.dim, result.summary, result.warnings], strict=True):
+        got = spark.read.parquet(path)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(got.columns).collect()))
+    monkeypatch.setattr(publish, "extract_lineage", None)
+    again = edges.repartition(3)
+    assert publish.publish_lineage(again, files, out, profile) == paths
+    assert publish.input_digest(edges.union(edges.limit(1)), files) != publish.input_digest(edges, files)
+
+
+def test_published_without_edges(spark, tmp_path):
+    edges = edge_frame(spark, CASES[0][0]).where("false")
+    paths = publish.publish_lineage(edges, sql_files(spark).where("false"), str(tmp_path), "concat")
+    assert {r["n"] for r in spark.read.parquet(paths.summary).collect()} == {0}
+    assert spark.read.parquet(paths.summary).count() == 9

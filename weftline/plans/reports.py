@@ -20,8 +20,8 @@ from ..constants import (
 from ..operators.statements import missing_files
 
 
-def summary_metrics(fact: DataFrame, passthrough: str = CONCAT.passthrough) -> DataFrame:
-    """Nine labelled counts as ``(category, n)``, in one pass over the fact table."""
+def labelled_counts(passthrough: str = CONCAT.passthrough) -> list[Column]:
+    """Nine labelled counts over the fact table, as aggregates."""
     logic = F.col("transformation_logic")
     misses = [NOT_FOUND, PARSE_FAILED, MISSING_BOTH, MISSING_SOURCE, MISSING_TARGET]
     labelled = [
@@ -35,8 +35,13 @@ def summary_metrics(fact: DataFrame, passthrough: str = CONCAT.passthrough) -> D
         ("Missing Both Columns", logic == MISSING_BOTH),
         ("Transform Not Found", logic == NOT_FOUND),
     ]
-    counts = fact.agg(*[F.count_if(test).alias(label) for label, test in labelled])
-    return counts.unpivot([], [label for label, _ in labelled], "category", "n")
+    return [F.count_if(test).alias(label) for label, test in labelled]
+
+
+def summary_metrics(fact: DataFrame, passthrough: str = CONCAT.passthrough) -> DataFrame:
+    """Nine labelled counts as ``(category, n)``, in one pass over the fact table."""
+    counts = fact.agg(*labelled_counts(passthrough))
+    return counts.unpivot([], counts.columns, "category", "n")
 
 
 def logic_counts(fact: DataFrame) -> DataFrame:

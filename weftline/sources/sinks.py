@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..constants import CONCAT_OUTPUTS, DIM_COLUMNS, FACT_COLUMNS, Profile, get_profile
 from ..plans.lineage import Lineage
-from ..plans.reports import summarize
+from ..plans.reports import labelled_counts, summarize
 
 
 class OutputPaths(NamedTuple):
@@ -40,10 +40,22 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "err
         writer.format(fmt).save(path)
 
 
-def write_fact(fact: DataFrame, path: str, fmt: str = "parquet", ordered: bool = False, **kw) -> None:
-    """Nine string columns; ``ordered`` sorts all rows back into input order."""
+def write_fact(
+    fact: DataFrame,
+    path: str,
+    fmt: str = "parquet",
+    ordered: bool = False,
+    counted: Observation | None = None,
+    **kw,
+) -> None:
+    """Nine string columns; ``ordered`` sorts all rows back into input order. ``counted``
+    gets the labelled counts of the rows while they are written."""
     rows = fact.orderBy("row_id") if ordered else fact
-    write_table(rows.select(*[F.col(c).cast("string") for c in FACT_COLUMNS]), path, fmt, **kw)
+    rows = rows.select(*[F.col(c).cast("string") for c in FACT_COLUMNS])
+    if counted is not None:
+        # On top, in the tasks that write: each of them counts once, even if it is repeated.
+        rows = rows.observe(counted, *labelled_counts())
+    write_table(rows, path, fmt, **kw)
 
 
 def write_dim(dim: DataFrame, path: str, fmt: str = "parquet", **kw) -> None:
@@ -53,14 +65,21 @@ def write_dim(dim: DataFrame, path: str, fmt: str = "parquet", **kw) -> None:
 def write_lineage(
     result: Lineage, paths: OutputPaths, fmt: str = "parquet", ordered: bool = False, **kw
 ) -> None:
-    write_fact(result.fact, paths.fact, fmt, ordered, **kw)
-    write_dim(result.dim, paths.dim, fmt, **kw)
-    # Summed up from what was written, not computed again.
-    reader = result.fact.sparkSession.read
-    if fmt == "csv":
-        written = reader.csv(paths.fact, header=True, escape='"', multiLine=True)
+    """Write the four tables. The labelled counts of ``concat`` are gathered while the fact is
+    written; the outcomes of ``rows``, which can be many, are summed up from what was written.
+    """
+    spark = result.fact.sparkSession
+    if get_profile(result.profile).multi_row:
+        write_fact(result.fact, paths.fact, fmt, ordered, **kw)
+        if fmt == "csv":
+            written = spark.read.csv(paths.fact, header=True, escape='"', multiLine=True)
+        else:
+            written = spark.read.format(fmt).load(paths.fact)
+        summary = summarize(written.fillna("", ["transformation_logic"]), result.profile)
     else:
-        written = reader.format(fmt).load(paths.fact)
-    written = written.fillna("", ["transformation_logic"])
-    write_table(summarize(written, result.profile), paths.summary, fmt, **kw)
+        counted = Observation()
+        write_fact(result.fact, paths.fact, fmt, ordered, counted, **kw)
+        summary = spark.createDataFrame(list(counted.get.items()), "category string, n bigint")
+    write_dim(result.dim, paths.dim, fmt, **kw)
+    write_table(summary, paths.summary, fmt, **kw)
     write_table(result.warnings, paths.warnings, fmt, **kw)
