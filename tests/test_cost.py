@@ -1,10 +1,15 @@
 """Costs that must not grow faster than the input."""
 
+import re
 import time
 
 from pyspark.sql import functions as F
 
+from weftline.constants import EDGE_COLUMNS, get_profile
 from weftline.functions import shape as S
+from weftline.operators import candidates as C
+from weftline.operators import edges as E
+from weftline.plans.lineage import prepare_edges
 
 
 def test_folding_computes_its_marks_once_for_a_text(spark):
@@ -17,3 +22,38 @@ def test_folding_computes_its_marks_once_for_a_text(spark):
     assert time.monotonic() - began < 60
     assert again == sql
     assert text.count("(") == S.MAX_DEPTH and text.count(")") == S.MAX_DEPTH
+
+
+def _plan(rows):
+    return rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_equal_outcomes_merge_in_a_hash_table(spark):
+    rows = spark.createDataFrame(
+        [("c", "q", "x", 1, False, 0, 0), ("c", "q", "x", 1, False, 0, 0), ("c", "q", "y", 1, False, 0, 0),
+         ("c", "q", "x", 2, False, 0, 0), ("c", "q", None, 1, False, 0, 0), ("d", "q", "x", 1, False, 0, 0)],
+        "case_id string, query_id string, logic string, score int, is_literal boolean, ord int, seq int",
+    )
+    found = C.distinct_logic(rows, "score")
+    assert found.columns == rows.columns
+    assert sorted(map(str, found.collect())) == sorted(set(map(str, rows.collect())))
+    assert "SortAggregate" not in _plan(found)
+    narrow = C.distinct_logic(rows.select("case_id", "logic", "query_id"))
+    assert narrow.count() == 4
+
+
+def test_case_ids_are_sixteen_bytes(spark):
+    edge = ("S", "XA", "T", "CA", "WRITE", "f.sql", "FILE")
+    edges = spark.createDataFrame([(0, *edge), (1, *edge), (2, *edge[:3], "CB", *edge[4:])], ["row_id", *EDGE_COLUMNS])
+    prepared = prepare_edges(E.with_file_key(edges), get_profile("concat"))
+    ids = [bytes(r.case_id) for r in prepared.orderBy("row_id").collect()]
+    assert ids[0] == ids[1] != ids[2] and {len(x) for x in ids} == {16}
+
+
+def test_repeated_edges_are_sorted_by_file_first(spark):
+    edge = ("S", "XA", "T", "CA", "WRITE", "f.sql", "FILE")
+    rows = [(2, *edge), (1, *edge[:4], "READ", *edge[5:]), (3, *edge[:5], None, "FILE"), (4, *edge[:5], None, "FILE")]
+    edges = spark.createDataFrame(rows, ["row_id", *EDGE_COLUMNS])
+    first = E.dedup_edges(edges)
+    assert sorted((r.row_id, r.relation) for r in first.collect()) == [(1, "READ"), (3, "WRITE")]
+    assert re.search(r"SortAggregate\(key=\[parent#", _plan(first))
