@@ -9,6 +9,8 @@ from weftline.constants import EDGE_COLUMNS, get_profile
 from weftline.functions import shape as S
 from weftline.operators import candidates as C
 from weftline.operators import edges as E
+from weftline.operators import scopes as SC
+from weftline.operators import statements as ST
 from weftline.plans.lineage import prepare_edges
 
 
@@ -57,3 +59,11 @@ def test_repeated_edges_are_sorted_by_file_first(spark):
     first = E.dedup_edges(edges)
     assert sorted((r.row_id, r.relation) for r in first.collect()) == [(1, "READ"), (3, "WRITE")]
     assert re.search(r"SortAggregate\(key=\[parent#", _plan(first))
+
+
+def test_reads_of_scopes_are_cut_out_once(spark, tmp_path):
+    sql = "WITH a AS (SELECT x FROM T1), b AS (SELECT x FROM a) INSERT INTO TGT (CA) SELECT x FROM b"
+    files = spark.createDataFrame([("f.sql", sql)], "parent string, sql_text string")
+    found = SC.scope_sources(SC.scopes(ST.statement_catalog(files), str(tmp_path)), str(tmp_path))
+    assert {(r["name"], r["table"]) for r in found.collect()} == {("A", "T1"), ("B", "T1"), ("", "T1")}
+    assert len(list(tmp_path.glob("scope-reads-*"))) == 1

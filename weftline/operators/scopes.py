@@ -112,7 +112,9 @@ def scope_reads(found: DataFrame) -> DataFrame:
     return reads.where("name IS NOT NULL")
 
 
-def _steps(found: DataFrame, reads: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _steps(
+    found: DataFrame, reads: DataFrame, work_dir: str | None
+) -> tuple[DataFrame, DataFrame]:
     """Reads that end at a table, and those that lead to another scope."""
     ctes = found.where(F.col("kind") == CTE).select(
         "query_id", "name", F.col("scope").alias("to"), F.col("outer").alias("home")
@@ -128,6 +130,7 @@ def _steps(found: DataFrame, reads: DataFrame) -> tuple[DataFrame, DataFrame]:
     nearest = F.max_by(F.struct("to", itself.alias("itself")), F.struct(F.length("home"), "to"))
     met = met.where(known & (~itself | F.col("recursive")))
     resolved = met.groupBy("query_id", "scope", "name").agg(nearest.alias("n"))
+    resolved = materialize(resolved, "scope-names", work_dir)
     tables = reads.join(resolved, ["query_id", "scope", "name"], "left_anti")
     # A recursive expression reads itself, which adds no table; else its own name is a table's.
     onward = resolved.where("NOT n.itself").select("query_id", "scope", "n.to")
@@ -145,7 +148,9 @@ def scope_sources(found: DataFrame, work_dir: str | None = None) -> DataFrame:
     finds a new one. Passes are as many as names that stand for names, not as rows.
     """
     found = materialize(found, "scopes", work_dir)
-    tables, onward = _steps(found, scope_reads(found))
+    # Three joins read these; cutting them out of the texts is the costly part.
+    reads = materialize(scope_reads(found), "scope-reads", work_dir)
+    tables, onward = _steps(found, reads, work_dir)
     onward = materialize(onward.distinct(), "scope-steps", work_dir)
     key = ["query_id", "scope", "table"]
     fresh = materialize(tables.select(*key).distinct(), "scope-tables", work_dir)
