@@ -67,3 +67,21 @@ def test_reads_of_scopes_are_cut_out_once(spark, tmp_path):
     found = SC.scope_sources(SC.scopes(ST.statement_catalog(files), str(tmp_path)), str(tmp_path))
     assert {(r["name"], r["table"]) for r in found.collect()} == {("A", "T1"), ("B", "T1"), ("", "T1")}
     assert len(list(tmp_path.glob("scope-reads-*"))) == 1
+
+
+def test_mentions_of_small_files_need_no_pieces(spark, tmp_path, monkeypatch):
+    """Small files by names, large ones by pieces: the same rows either way."""
+    texts = [("large", i, f"f(Col_{i}, CO{i}) + x") for i in range(40)]
+    texts += [("small", 1, "COL_1"), ("small", 1, "COL_1"), ("small", 2, None), (None, 3, "COL_1")]
+    names = [(p, n) for p in ("large", "small", "none", None) for n in ("COL_1", "O1", "(", "Z", "L_1, C")]
+    kind = F.lit(C.MENTIONED).alias("kind")
+    asked = spark.createDataFrame(names, "parent string, source string").select("parent", kind, "source")
+    offered = spark.createDataFrame(texts, "parent string, tid int, match string").select(
+        "parent", kind, "tid", "match"
+    )
+    want = {(p, n, i) for p, n in names for q, i, t in texts if p and p == q and t and n in t.upper()}
+    for chars, folder, pieces in ((4_000_000, "a", 0), (2_000, "b", 1), (0, "c", 1)):
+        monkeypatch.setattr(C, "DIRECT_CHARS", chars)
+        rows = C.find_mentions(asked, offered, str(tmp_path / folder)).distinct().collect()
+        assert {(r["parent"], r["source"], r["tid"]) for r in rows} == want
+        assert len(list((tmp_path / folder).glob("tokens-*"))) == pieces
