@@ -11,7 +11,7 @@ from weftline.operators import candidates as C
 from weftline.operators import edges as E
 from weftline.operators import scopes as SC
 from weftline.operators import statements as ST
-from weftline.plans.lineage import prepare_edges
+from weftline.plans.lineage import extract_lineage, prepare_edges
 
 
 def test_folding_computes_its_marks_once_for_a_text(spark):
@@ -85,3 +85,13 @@ def test_mentions_of_small_files_need_no_pieces(spark, tmp_path, monkeypatch):
         rows = C.find_mentions(asked, offered, str(tmp_path / folder)).distinct().collect()
         assert {(r["parent"], r["source"], r["tid"]) for r in rows} == want
         assert len(list((tmp_path / folder).glob("tokens-*"))) == pieces
+
+
+def test_statement_logic_is_computed_once(spark, tmp_path):
+    edge = (0, "SRC", "XA", "TGT", "CA", "WRITE", "f.sql", "FILE")
+    edges = spark.createDataFrame([edge], ["row_id", *EDGE_COLUMNS])
+    sql = "INSERT INTO TGT (CA) SELECT s.XA + 1 FROM SRC s"
+    files = spark.createDataFrame([("f.sql", sql)], "parent string, sql_text string")
+    fact = extract_lineage(edges, files, "concat", str(tmp_path)).fact
+    assert [r["transformation_logic"] for r in fact.collect()] == ["s.XA + 1"]
+    assert len(list(tmp_path.glob("logic-*"))) == 1

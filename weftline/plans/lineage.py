@@ -107,7 +107,15 @@ def _mentions(job: Job) -> DataFrame:
     return materialize(hits, "mentions", job.work_dir)
 
 
-def scored_cases(job: Job, mentions: DataFrame | None = None) -> DataFrame:
+def _logic(job: Job) -> DataFrame:
+    """``concat``: what each statement offers per column, computed once for its readers."""
+    logic = C.statement_logic(job.corpus.assigned, job.profile)
+    return materialize(logic, "logic", job.work_dir)
+
+
+def scored_cases(
+    job: Job, mentions: DataFrame | None = None, logic: DataFrame | None = None
+) -> DataFrame:
     """Every candidate of the cases that scan statements (columns ``C.CANDIDATE``), computed
     once."""
     scans = job.cases.where(F.col("gate").isin("normal", "static"))
@@ -115,7 +123,7 @@ def scored_cases(job: Job, mentions: DataFrame | None = None) -> DataFrame:
         mentions = _mentions(job) if mentions is None else mentions
         scored = C.candidates_rows(scans, job.corpus.assigned, mentions, job.profile, job.work_dir)
     else:
-        logic = C.statement_logic(job.corpus.assigned, job.profile)
+        logic = _logic(job) if logic is None else logic
         scored = C.candidates_concat(scans, logic, job.profile, job.work_dir)
     return materialize(scored, "candidates", job.work_dir)
 
@@ -195,10 +203,10 @@ def _one(logic: Column | str, query_id: Column | str) -> Column:
     return F.struct(logic.alias("logic"), query_id.alias("query_id"))
 
 
-def _tiers_concat(job: Job) -> DataFrame:
+def _tiers_concat(job: Job, logic: DataFrame) -> DataFrame:
     """``concat``: per case the distinct expressions of the best tier in statement order."""
     static = job.cases.where("gate = 'static'")
-    tier = C.best_tier(scored_cases(job), static)
+    tier = C.best_tier(scored_cases(job, logic=logic), static)
     at = F.min(F.struct("ord", "seq", "query_id")).alias("at")
     each = tier.groupBy("case_id", "logic").agg(at)
     texts = F.transform(F.array_sort(F.collect_list(F.struct("at", "logic"))), lambda x: x["logic"])
@@ -208,9 +216,9 @@ def _tiers_concat(job: Job) -> DataFrame:
 
 
 def _outcomes_concat(job: Job) -> DataFrame:
-    logic = C.statement_logic(job.corpus.assigned, job.profile)
+    logic = _logic(job)
     facts = _with_file_facts(job, job.cases, C.firsts_concat(*job.corpus, logic))
-    facts = facts.join(_tiers_concat(job), "case_id", "left")
+    facts = facts.join(_tiers_concat(job, logic), "case_id", "left")
     gate = F.col("gate")
     default = F.coalesce("default_id", F.lit(""))
     first_id, first_text = F.col("first.query_id"), F.col("first.text")
