@@ -6,6 +6,7 @@ import time
 from pyspark.sql import functions as F
 
 from weftline.constants import EDGE_COLUMNS, get_profile
+from weftline.functions import names as N
 from weftline.functions import shape as S
 from weftline.operators import candidates as C
 from weftline.operators import edges as E
@@ -95,3 +96,15 @@ def test_statement_logic_is_computed_once(spark, tmp_path):
     fact = extract_lineage(edges, files, "concat", str(tmp_path)).fact
     assert [r["transformation_logic"] for r in fact.collect()] == ["s.XA + 1"]
     assert len(list(tmp_path.glob("logic-*"))) == 1
+
+
+def test_texts_are_named_once(spark):
+    text = str(S.union_branches(F.col("t")))
+    assert text.count("ALL|DISTINCT") == 1
+    assert str(N.sanitize(F.col("t"))).count("coalesce") == 1
+    odd = [" a", "a ", "a  b", "a\tb", "( a", "a )", "a ,b", "a,b", "a,  b", "a, b", "f(a, b)", "", "a\n", ",", "a,", ", a"]
+    rows = spark.createDataFrame([(t,) for t in odd], "t string")
+    same = rows.select((N.collapse_spaces(F.col("t")) == N._collapsed(F.col("t"))).alias("same"))
+    assert all(r["same"] for r in same.collect())
+    words = spark.createDataFrame([("nan",), ("NaN",), ("nan\x01",), ("a\x00b\tc",), (None,)], "t string")
+    assert [r[0] for r in words.select(N.sanitize(F.col("t"))).collect()] == ["", "", "nan", "ab\tc", ""]
