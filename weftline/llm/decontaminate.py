@@ -27,13 +27,15 @@ from pyspark.sql import functions as F
 from weftline.llm.common import BROADCAST_BYTES, beside, ship, stored, with_row_id
 from weftline.llm.textops import (
     LOWER,
-    PIECE_BYTES,
+    SMALL_PIECE,
     Piece,
     find_words,
     mix64,
     ngram_hashes,
     per_document,
+    release_memory,
     text_buffers,
+    tidy,
 )
 
 NGRAM = 3
@@ -59,7 +61,7 @@ def plain_pieces(column: pa.Array) -> Iterator[Piece]:
     offsets, data = text_buffers(column)
     i, n = 0, len(offsets) - 1
     while i < n:
-        j = int(np.searchsorted(offsets, offsets[i] + PIECE_BYTES, "right")) - 1
+        j = int(np.searchsorted(offsets, offsets[i] + SMALL_PIECE, "right")) - 1
         j = min(n, max(j, i + 1))
         part = _PLAIN[data[offsets[i] : offsets[j]]]
         # Latin-1 capitals: C3 80 to C3 9E, but for the sign C3 97.
@@ -69,6 +71,7 @@ def plain_pieces(column: pa.Array) -> Iterator[Piece]:
         local = offsets[i : j + 1] - offsets[i]
         yield Piece(slice(i, j), part, local, *find_words(part, local))
         i = j
+    release_memory()
 
 
 def grams_of(words: np.ndarray, n: int) -> np.ndarray:
@@ -330,12 +333,14 @@ def find_leaks(
         F.col("doc.doc_id").cast("long").alias("doc_id"),
     )
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string"))
-    items = items.mapInArrow(_item_words, "item_id long, words array<long>").where("size(words) > 0")
+    items = items.mapInArrow(tidy(_item_words), "item_id long, words array<long>").where("size(words) > 0")
     items = stored(
         items.distinct().withColumn("item", F.xxhash64("item_id", "words")), "leak-items"
     )
     grams = stored(
-        items.select("item", "words").mapInArrow(_item_grams(n), "item long, place long, gram long"),
+        items.select("item", "words").mapInArrow(
+            tidy(_item_grams(n)), "item long, place long, gram long"
+        ),
         "leak-grams",
     )
     short = items.select(F.size("words").alias("k")).where(F.col("k") < n).distinct()
@@ -355,7 +360,7 @@ def find_leaks(
     bitmap = spark.sparkContext.broadcast(bits.view(np.uint64))
 
     seen = named.select("text", "row_file", "row_no").mapInArrow(
-        _document_grams(n, sizes, bitmap),
+        tidy(_document_grams(n, sizes, bitmap)),
         "row_file long, row_no long, gram long, first long, last long, head long",
     )
     seen = stored(seen.join(grams.select("gram").distinct(), "gram", "left_semi"), "leak-seen")
@@ -367,11 +372,11 @@ def find_leaks(
         beside(named, wanted, 60 * spans.count())
         .select("text", "row_file", "row_no", "doc_id", "wanted")
         .mapInArrow(
-            _passages,
+            tidy(_passages),
             "row_file long, row_no long, doc_id long, item long, start long, passage array<long>",
         )
     )
-    scored = passages.join(items, "item").mapInArrow(_align_rows, _FOUND)
+    scored = passages.join(items, "item").mapInArrow(tidy(_align_rows), _FOUND)
     # A document may give several passages for an item: the best counts, then the first.
     best = F.max(F.struct("score", -F.col("first_word"), "first_word", "last_word", "doc_id", "item_id"))
     return (

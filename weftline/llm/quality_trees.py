@@ -19,12 +19,14 @@ from pyspark.sql import functions as F
 
 from weftline.llm.common import ship, stored
 from weftline.llm.textops import (
+    SMALL_PIECE,
     distinct_words,
     find_lines,
     pieces,
     repeated_lines,
     repeated_words,
     sums,
+    tidy,
 )
 
 #: Labelled rows that the trees are fitted on, at most; those with the smallest hash of
@@ -65,7 +67,7 @@ _HIGH = np.arange(256) >= 128
 def document_features(column: pa.Array) -> np.ndarray:
     """Statistics of each text of a batch, a row per text; null counts as empty."""
     rows = []
-    for piece in pieces(column):
+    for piece in pieces(column, size=SMALL_PIECE):
         data, offsets, first = piece.data, piece.offsets, piece.first
         lo, hi = offsets[:-1], offsets[1:]
         size = np.maximum(hi - lo, 1)
@@ -238,7 +240,7 @@ def feature_rows(docs: DataFrame) -> DataFrame:
             yield pa.record_batch([batch.column(0), lists], names=["doc_id", "features"])
 
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
-    return stored(ids.mapInArrow(run, "doc_id long, features array<double>"), "features")
+    return stored(ids.mapInArrow(tidy(run), "doc_id long, features array<double>"), "features")
 
 
 def train(features: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Forest:
@@ -271,7 +273,7 @@ def score_rows(features: DataFrame, forest: Forest) -> DataFrame:
             scores = model.value.scores(x)
             yield pa.record_batch([batch.column(0), pa.array(scores)], names=["doc_id", "score"])
 
-    return features.mapInArrow(run, "doc_id long, score double")
+    return features.mapInArrow(tidy(run), "doc_id long, score double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -303,7 +305,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataF
             yield batch.filter(pa.array(scores >= 0.5))
 
     place = docs.columns.index("text")
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 ship(__name__)
