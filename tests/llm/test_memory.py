@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
 import tracemalloc
 from types import SimpleNamespace
 
@@ -61,3 +64,28 @@ def test_pieces_of_any_size_say_the_same():
         for size in (1, 1 << 12, textops.SMALL_PIECE, textops.PIECE_BYTES)
     ]
     assert all(np.array_equal(parts[0], p) for p in parts)
+
+
+THREADS = """
+import os
+import numpy as np, public_tokenizers
+from weftline.llm.token_files import Tokenizer
+
+threads = lambda: len(os.listdir("/proc/self/task"))
+with open(str(public_tokenizers.path("byte_bpe_50k.json")), encoding="utf-8") as file:
+    tokenizer = Tokenizer(file.read())
+data = " ".join(f"word{k}" for k in range(3000)).encode()
+before = threads()
+ids, _ = tokenizer.ids(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+whole = tokenizer.library.encode(data.decode(), add_special_tokens=False).ids
+assert ids.tolist() == whole and ids.dtype == np.uint16
+print(threads() - before)
+"""
+
+
+def test_a_task_splits_texts_in_its_own_thread():
+    env = {k: v for k, v in os.environ.items() if k != "TOKENIZERS_PARALLELISM"}
+    env["PYTHONPATH"] = os.pathsep.join(sys.path)
+    ran = subprocess.run([sys.executable, "-c", THREADS], env=env, capture_output=True, text=True, timeout=120)
+    assert ran.returncode == 0, ran.stderr
+    assert ran.stdout.split() == ["0"]

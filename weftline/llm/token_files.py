@@ -14,8 +14,10 @@ feed after each segment.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +29,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from weftline.llm.common import new_path, ship, stored
 from weftline.llm.files import FilePack, open_file, pack_files
 from weftline.llm.id_coder import decode_blocks, encode_blocks
-from weftline.llm.textops import release_memory, text_buffers
+from weftline.llm.textops import release_memory, text_buffers, tidy
 
 MAGIC = b"WTOK1"
 END_ID = 0
@@ -61,8 +63,10 @@ class Tokenizer:
     def __init__(self, definition: str) -> None:
         from tokenizers import Tokenizer as Library
 
+        # A task has one core: threads of the library's own cost more CPU than they save.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.library = Library.from_str(definition)
-        self.known: dict[bytes, np.ndarray] = {}
+        self.known: dict[bytes, bytes] = {}
 
     @staticmethod
     def cuts(data: np.ndarray) -> np.ndarray:
@@ -80,12 +84,13 @@ class Tokenizer:
         before[1:] |= high[1:] & (data[:-1] > 0xC2) & (data[:-1] < 0xE0)
         return np.flatnonzero((data[1:-1] == 0x20) & before[:-2] & after[2:]) + 1
 
-    def _split(self, words: list[bytes]) -> list[np.ndarray]:
-        out: list[np.ndarray] = []
+    def _split(self, words: list[bytes]) -> list[bytes]:
+        """The 16-bit ids of each word, as bytes, which take a third of a small array's room."""
+        out: list[bytes] = []
         for i in range(0, len(words), WORDS_AT_ONCE):
             texts = [w.decode() for w in words[i : i + WORDS_AT_ONCE]]
             found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-            out += [np.array(e.ids, np.uint16) for e in found]
+            out += [array("H", e.ids).tobytes() for e in found]
         return out
 
     def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -111,13 +116,14 @@ class Tokenizer:
             found[i] = ids
             if times[i] > 1 and len(self.known) < CACHE_WORDS:
                 self.known[words[i]] = ids
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 2
         begin = np.cumsum(np.r_[0, sizes])
-        flat = np.concatenate(found)
+        flat = np.frombuffer(b"".join(found), np.uint16)
         # Lay the parts' ids out in text order.
         size = sizes[index]
         place = np.cumsum(np.r_[0, size])
-        source = np.repeat(begin[index] - place[:-1], size) + np.arange(place[-1])
+        source = np.repeat(begin[index] - place[:-1], size)
+        source += np.arange(place[-1])
         return flat[source], place[np.searchsorted(bounds, offsets)]
 
 
@@ -237,7 +243,7 @@ def write_tokens(docs: DataFrame, path: str, definition: str) -> None:
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     ).withColumn("tie", F.xxhash64("text"))
     ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-    segments = ordered.select("doc_id", "text").mapInArrow(_segments(shared), "segment binary")
+    segments = ordered.select("doc_id", "text").mapInArrow(tidy(_segments(shared)), "segment binary")
     segments.select(F.col("segment").cast("string").alias("value")).write.text(path, lineSep="\n")
 
 
