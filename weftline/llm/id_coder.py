@@ -1,21 +1,23 @@
 """Adaptive context-mixing range coder for token ids, many blocks at once.
 
-A block is coded on its own, from an empty model. For every id three orders predict:
+The blocks of a group advance together, an id at a time, and learn one model, which begins
+empty with each group: each numpy operation handles one step of all blocks, and what one has
+seen helps the others. For every id three orders predict:
 
 * order 2 and order 1 remember which id last followed the last two ids and the last one, with
   a count of how often that held. The surer one names the first candidate, the other one, if
   it differs, the second;
-* order 0 counts how often an id came in the block. It also gives the distribution of ids that
-  no candidate names: four 4-bit digits, each with an adaptive distribution in the context of
-  the digits before.
+* order 0 counts how often an id came in the group. It also gives the distribution of ids that
+  no candidate names.
 
 The probability that the first candidate is right mixes what each order has learned about
 its own reliability: a weighted sum in the logistic domain, whose weights follow the errors.
+It depends on how sure the orders are and on nothing else, so the mix is worked out for all
+such contexts at once, again and again, from what was counted in them since the last time.
 All of it is integer arithmetic, so that any machine decodes what another one coded.
 
-Blocks of a segment advance together, an id at a time: each numpy operation handles one step
-of all of them. The arithmetic coder keeps 64-bit bounds and moves 16 bits at a time; it
-needs no carries, as it shortens a range that straddles.
+The arithmetic coder keeps a 64-bit range and moves 32 bits at a time, at most once an id; a
+carry goes into the words before.
 """
 
 from __future__ import annotations
@@ -26,95 +28,184 @@ import numpy as np
 
 from weftline.llm.common import ship
 
-U64, I32, U16 = np.uint64, np.int32, np.uint16
-TOP = U64(1 << 48)
-LEAST = U64(1 << 40)
-#: Slots per block of the order-2, order-1 and order-0 memories.
-SLOTS_2, SLOTS_1, SLOTS_0 = 4096, 2048, 2048
+U64, I64, U32, U16 = np.uint64, np.int64, np.uint32, np.uint16
+#: A range below this gets another word.
+LEAST = U64(1 << 32)
+WORD, LOW_WORD = U64(32), U64(2**32 - 1)
+#: Slots of the order-2 memory; order 1 has one for each id.
+SLOTS_2, IDS = 1 << 18, 1 << 16
 MOST_SURE = 15
-#: Digit contexts: first digit, second after first, third after a hash of both, fourth after a
-#: hash of all three.
-DIGIT_CONTEXTS = (1, 16, 256, 512)
-_DIGIT_START = np.cumsum([0, *DIGIT_CONTEXTS])[:-1]
-_CONTEXTS = sum(DIGIT_CONTEXTS)
-DIGIT_RATE = 4
-SHIFT_DIGIT, SHIFT_CHOICE = U64(15), U64(12)
+#: Bits of the choice between the candidates, and of the distribution of other ids.
+CHOICE_BITS, ID_BITS = 12, 20
+SHIFT_CHOICE, SHIFT_ID = U64(CHOICE_BITS), U64(ID_BITS)
+#: Contexts: how sure order 2 and order 1 are, whether they agree, how frequent the first
+#: candidate is.
+CONTEXTS = (16, 16, 2, 16)
+#: The model is worked out again after as many steps as there were before, at most these.
+MOST_STEPS = 128
+#: Counts behind a reliability are halved beyond this.
+MOST_COUNT = 1 << 20
+#: Bound and rate of the mixing weights.
+MOST_WEIGHT, RATE = 200_000, 24
 
 #: ln(p / (1 - p)) of a 12-bit probability in 8-bit fixed point, and back.
 STRETCH = np.array(
-    [round(256 * math.log((p + 0.5) / (4095.5 - p))) for p in range(4096)], dtype=I32
+    [round(256 * math.log((p + 0.5) / (4095.5 - p))) for p in range(4096)], dtype=I64
 )
 SQUASH = np.array(
     [min(4000, max(16, round(4096 / (1 + math.exp(-(x - 2048) / 256))))) for x in range(4096)],
-    dtype=I32,
+    dtype=I64,
 )
-#: Where an adaptive distribution goes when it sees a digit; steps of 1 keep all digits possible.
-_TOWARDS = np.array(
-    [[i if i <= s else (1 << 15) - 16 + i for i in range(16)] for s in range(16)], dtype=np.int16
+#: What a prediction's count gains, at 2 * count + 1 if it was right, else at 2 * count. A wrong
+#: one with a count below 2 gives way.
+_GAIN = np.array(
+    [g for k in range(16) for g in ((k >> 1) - k, min(k + 1, MOST_SURE) - k)], dtype=np.int32
 )
-#: The next count after a right prediction, and after a wrong one.
-_SURER = np.array([min(k + 1, MOST_SURE) for k in range(16)], dtype=np.int8)
-_LESS_SURE = np.array([k >> 1 if k > 1 else 1 for k in range(16)], dtype=np.int8)
-_BYTES = U64(0x0101010101010101)
-#: Bound of the mixing weights, far from overflow between two looks at it.
-MOST_WEIGHT = 200_000
-_EVEN = np.array([i << 11 for i in range(16)], dtype=np.int16)
 
 
 class _Encoder:
-    """Writes 16-bit words of many blocks; ``step`` narrows some blocks' ranges."""
+    """32-bit words of many blocks."""
 
-    def __init__(self, blocks: int, ids: int) -> None:
+    def __init__(self, blocks: int, size: int) -> None:
         self.low = np.zeros(blocks, U64)
         self.range = np.full(blocks, U64(2**64 - 1))
-        self.out = np.zeros((blocks, 2 * ids + 64), U16)
-        self.at = np.zeros(blocks, np.int64)
-
-    def shift(self, rows, low, rng):
-        """Move settled bits out of ``low``; ``rows`` are the blocks meant."""
-        todo = np.flatnonzero(((low ^ (low + rng)) < TOP) | (rng < LEAST))
-        while len(todo):
-            lo, r, block = low[todo], rng[todo], rows[todo]
-            r = np.where((lo ^ (lo + r)) < TOP, r, (~lo + U64(1)) & (LEAST - U64(1)))
-            self.out[block, self.at[block]] = (lo >> U64(48)).astype(U16)
-            self.at[block] += 1
-            lo, r = lo << U64(16), r << U64(16)
-            low[todo], rng[todo] = lo, r
-            todo = todo[((lo ^ (lo + r)) < TOP) | (r < LEAST)]
-        return low, rng
+        # A step gives one word at most, the end two.
+        self.width = size + 2
+        self.out = np.zeros(blocks * self.width, U32)
+        self.begin = np.arange(blocks, dtype=I64) * self.width
+        self.at = self.begin.copy()
+
+    def _carry(self, rows: np.ndarray) -> None:
+        at = self.at[rows]
+        while len(at):
+            at = at - 1
+            self.out[at] += U32(1)
+            at = at[self.out[at] == 0]
+
+    def step(self, n: int, begin: np.ndarray, rng: np.ndarray) -> None:
+        """Narrow the first ``n`` blocks to ``rng`` from ``begin`` on."""
+        low = self.low[:n]
+        low += begin
+        over = np.flatnonzero(low < begin)
+        if len(over):
+            self._carry(over)
+        todo = np.flatnonzero(rng < LEAST)
+        if len(todo):
+            lo, at = low[todo], self.at[todo]
+            self.out[at] = lo >> WORD
+            self.at[todo] = at + 1
+            low[todo] = lo << WORD
+            rng[todo] <<= WORD
+        self.range[:n] = rng
 
     def finish(self) -> list[np.ndarray]:
-        for _ in range(4):
-            rows = np.arange(len(self.low))
-            self.out[rows, self.at] = (self.low >> U64(48)).astype(U16)
+        for _ in range(2):
+            self.out[self.at] = self.low >> WORD
             self.at += 1
-            self.low = self.low << U64(16)
-        return [self.out[i, : self.at[i]] for i in range(len(self.at))]
+            self.low <<= WORD
+        return [self.out[a:b] for a, b in zip(self.begin, self.at)]
 
 
 class _Decoder:
+    """``ahead`` is how far each block's code lies above its range's lower end."""
+
     def __init__(self, words: list[np.ndarray]) -> None:
-        starts = np.cumsum([0, *map(len, words)])
-        self.words = np.concatenate([*words, np.zeros(64, U16)]).astype(U64)
-        self.at = starts[:-1].astype(np.int64)
-        self.low = np.zeros(len(words), U64)
+        sizes = np.fromiter(map(len, words), I64, len(words))
+        if len(words) and sizes.min() < 2:
+            raise ValueError("torn block")
+        self.words = np.concatenate([*words, np.zeros(2, U32)]).astype(U64)
+        self.at = np.cumsum(sizes) - sizes
+        self.ahead = (self.words[self.at] << WORD) | self.words[self.at + 1]
+        self.at += 2
         self.range = np.full(len(words), U64(2**64 - 1))
-        self.code = np.zeros(len(words), U64)
-        for _ in range(4):
-            self.code = (self.code << U64(16)) | self.words[self.at]
-            self.at += 1
 
-    def shift(self, rows, low, rng, code):
-        todo = np.flatnonzero(((low ^ (low + rng)) < TOP) | (rng < LEAST))
-        while len(todo):
-            lo, r, block = low[todo], rng[todo], rows[todo]
-            r = np.where((lo ^ (lo + r)) < TOP, r, (~lo + U64(1)) & (LEAST - U64(1)))
-            code[todo] = (code[todo] << U64(16)) | self.words[self.at[block]]
-            self.at[block] += 1
-            lo, r = lo << U64(16), r << U64(16)
-            low[todo], rng[todo] = lo, r
-            todo = todo[((lo ^ (lo + r)) < TOP) | (r < LEAST)]
-        return low, rng, code
+    def step(self, n: int, ahead: np.ndarray, rng: np.ndarray) -> None:
+        todo = np.flatnonzero(rng < LEAST)
+        if len(todo):
+            at = self.at[todo]
+            # Damaged words may ask for more than there are; the checksum finds out.
+            ahead[todo] = (ahead[todo] << WORD) | self.words.take(at, mode="clip")
+            self.at[todo] = at + 1
+            rng[todo] <<= WORD
+        self.ahead[:n] = ahead
+        self.range[:n] = rng
+
+
+class _Model:
+    """What all blocks of a group have learned."""
+
+    def __init__(self, decoding: bool) -> None:
+        # An id << 4 | how sure it is.
+        self.two, self.one = np.zeros(SLOTS_2, np.int32), np.zeros(IDS, np.int32)
+        self.decoding = decoding
+        self.seen = np.zeros(IDS, I64)
+        self.others = np.zeros(IDS, I64)
+        # Right predictions and all, by what order 2, 1 and 0 say, and of second candidates.
+        self.right = [np.ones(s, I64) for s in ((16, 2), (16, 2), 16, 16)]
+        self.all = [np.full(s, 4, I64) for s in ((16, 2), (16, 2), 16, 16)]
+        self.weights = np.full((16, 3), 24000, I64)  # by how sure order 2 is
+        self._mix()
+        self._order0()
+
+    def _inputs(self) -> list[np.ndarray]:
+        """What orders 2, 1 and 0 say in each context, in the logistic domain."""
+        x2, x1, x0 = (
+            STRETCH[(4095 * r) // n] for r, n in zip(self.right[:3], self.all[:3])
+        )
+        return [x2[:, None, :, None], x1[None, :, :, None], x0[None, None, None, :]]
+
+    def _mix(self) -> None:
+        w = self.weights[:, :, None, None, None]
+        dot = sum(w[:, k] * x for k, x in enumerate(self._inputs()))
+        self.p = SQUASH[np.clip((dot >> 16) + 2048, 0, 4095)]
+        second = (4095 * self.right[3]) // self.all[3]
+        part = np.maximum(((4096 - self.p) * second[None, :, None, None]) >> 12, 1)
+        part[:, 0] = 0  # order 1 knows nothing
+        part[:, :, 1] = 0  # or agrees
+        # Lower ends and widths of the choices, at 4 * context + choice.
+        edges = np.stack([np.zeros_like(self.p), self.p, self.p + part], -1)
+        widths = np.diff(edges, axis=-1, append=1 << CHOICE_BITS)
+        spare = [(0, 0)] * 4 + [(0, 1)]
+        self.edge = np.pad(edges, spare).ravel().astype(U64)
+        self.width = np.pad(widths, spare).ravel().astype(U64)
+
+    def _order0(self) -> None:
+        free = (1 << ID_BITS) - IDS
+        freq = 1 + (self.others * free) // max(1, int(self.others.sum()))
+        freq[int(freq.argmax())] += (1 << ID_BITS) - int(freq.sum())
+        # Where the ids' shares begin, and how wide they are.
+        self.share = (((np.cumsum(freq) - freq) << 32) | freq).astype(U64)
+        if self.decoding:
+            self.ids = np.repeat(np.arange(IDS, dtype=U16), freq)
+        share = (self.seen << 16) // max(1, int(self.seen.sum()))
+        self.often = np.minimum(np.frexp(share.astype(float))[1], 15).astype(I64)
+
+    def learn(self, keys: np.ndarray, ids: np.ndarray, others: np.ndarray) -> None:
+        """``keys`` are 4 * context + choice of the steps since the last time, ``ids`` their ids
+        and ``others`` those that no candidate named."""
+        counts = np.bincount(keys, minlength=4 * math.prod(CONTEXTS)).reshape(*CONTEXTS, 4)
+        n, hits = counts.sum(-1), counts[..., 0]
+        # The weights follow the errors of what was predicted.
+        error = (hits << CHOICE_BITS) - n * self.p
+        total = np.maximum(n.sum((1, 2, 3)), 1)
+        for k, x in enumerate(self._inputs()):
+            self.weights[:, k] += RATE * (error * x).sum((1, 2, 3)) // (total << 4)
+        np.clip(self.weights, -MOST_WEIGHT, MOST_WEIGHT, out=self.weights)
+        missed = n - hits
+        missed[:, :, 1] = 0
+        new = [(hits.sum((1, 3)), n.sum((1, 3))), (hits.sum((0, 3)), n.sum((0, 3)))]
+        new += [(hits.sum((0, 1, 2)), n.sum((0, 1, 2)))]
+        new += [(counts[..., 1].sum((0, 2, 3)), missed.sum((0, 2, 3)))]
+        for k, (r, m) in enumerate(new):
+            self.right[k] += r
+            self.all[k] += m
+            many = self.all[k] > MOST_COUNT
+            self.right[k][many] >>= 1
+            self.all[k][many] >>= 1
+        self.seen += np.bincount(ids, minlength=IDS)
+        self.others += np.bincount(others, minlength=IDS)
+        self._mix()
+        self._order0()
 
 
 def _run(blocks: int, size: int, last: int, ids: np.ndarray | None, words) -> np.ndarray | list:
@@ -124,145 +215,89 @@ def _run(blocks: int, size: int, last: int, ids: np.ndarray | None, words) -> np
     """
     coder = _Encoder(blocks, size) if ids is not None else _Decoder(words)
     out = ids if ids is not None else np.zeros((size, blocks), U16)
-    every = np.arange(blocks, dtype=np.int64)
-    id2, sure2 = np.zeros(blocks * SLOTS_2, U16), np.zeros(blocks * SLOTS_2, np.int8)
-    id1, sure1 = np.zeros(blocks * SLOTS_1, U16), np.zeros(blocks * SLOTS_1, np.int8)
-    seen = np.zeros(blocks * SLOTS_0, np.int8)
-    # Reliability of the first candidate by what order 2, 1 and 0 say, in 16 bits.
-    p2 = np.full(blocks * 32, 1 << 14, I32)
-    p1 = np.full(blocks * 32, 1 << 14, I32)
-    p0 = np.full(blocks * 16, 1 << 14, I32)
-    pb = np.full(blocks * 16, 1 << 14, I32)
-    weights = [np.full(blocks, 24000, I32) for _ in range(3)]
-    digits = np.tile(_EVEN, (blocks * _CONTEXTS, 1))
-    # The same rows as single items of 32 bytes, which are stored faster.
-    whole = digits.view("V32").ravel()
-    row2, row1, row0 = every * SLOTS_2, every * SLOTS_1, every * SLOTS_0
-    row32, row16, row_digits = every * 32, every * 16, every * _CONTEXTS
-    count16 = every * 16
-    prev = np.zeros(blocks, np.int64)
-    before = np.zeros(blocks, np.int64)
+    model = _Model(ids is None)
+    two, one = model.two, model.one
+    prev, before = np.zeros(blocks, I64), np.zeros(blocks, I64)
+    keys: list[np.ndarray] = []
+    others: list[np.ndarray] = []
+    learned = 0
     for t in range(size):
         n = blocks if t < last else blocks - 1
         if not n:
             break
-        live = every[:n]
-        a, b = prev[:n], before[:n]
-        mixed = a * 40503
-        at1 = row1[:n] + ((mixed >> 5) & (SLOTS_1 - 1))
-        at2 = row2[:n] + (((mixed ^ (b * 60493)) >> 4) & (SLOTS_2 - 1))
-        c1, s1, c2, s2 = id1.take(at1), sure1.take(at1), id2.take(at2), sure2.take(at2)
+        a = prev[:n]
+        at2 = (((a * 40503) ^ (before[:n] * 60493)) >> 5) & (SLOTS_2 - 1)
+        held1, held2 = one[a], two[at2]
+        wide1, wide2 = held1.astype(I64), held2.astype(I64)
+        s1, s2, c1, c2 = wide1 & 15, wide2 & 15, wide1 >> 4, wide2 >> 4
         first = np.where(s2 > 0, c2, c1)
         known1 = s1 > 0
-        agree = (c1 == first) & known1
-        second = known1 & ~agree
-        k2 = row32[:n] + (2 * s2 + agree)
-        k1 = row32[:n] + (2 * s1 + agree)
-        k0 = row16[:n] + seen.take(row0[:n] + (first & U16(SLOTS_0 - 1)))
-        kb = row16[:n] + s1
-        q2, q1, q0, qb = p2.take(k2), p1.take(k1), p0.take(k0), pb.take(kb)
-        x2, x1, x0 = STRETCH.take(q2 >> 4), STRETCH.take(q1 >> 4), STRETCH.take(q0 >> 4)
-        w2, w1, w0 = (w[:n] for w in weights)
-        dot = ((w2 * x2 + w1 * x1 + w0 * x0) >> 16) + 2048
-        pa = SQUASH.take(np.minimum(np.maximum(dot, 0), 4095))
-        part = np.maximum(((4096 - pa) * (qb >> 4)) >> 12, 1) * second
-
-        low, rng = coder.low[:n], coder.range[:n]
-        unit = rng >> SHIFT_CHOICE
-        edge1 = unit * pa.astype(U64)
-        edge2 = unit * (pa + part).astype(U64)
+        key = (s2 << 4) | s1
+        key <<= 1
+        key |= (c1 == first) & known1
+        key <<= 4
+        key |= model.often[first]
+        key <<= 2
+        unit = coder.range[:n] >> SHIFT_CHOICE
         if ids is not None:
-            x = ids[t, :n]
-            choice = np.where(x == first, 0, 2 - (second & (x == c1)))
+            x = ids[t, :n].astype(I64)
+            right1 = c1 == x
+            over1 = x != first
+            over2 = over1 > (right1 & known1)
         else:
-            ahead = coder.code[:n] - low
-            choice = (ahead >= edge1).astype(np.int64) + (ahead >= edge2)
-            choice[(choice == 1) & ~second] = 2
-            x = np.where(choice == 0, first, c1)
-        is0, is2 = choice == 0, choice == 2
-        begin = np.where(is0, U64(0), np.where(is2, edge2, edge1))
-        finish = np.where(is0, edge1, np.where(is2, rng, edge2))
-        low, rng = low + begin, finish - begin
+            ahead = coder.ahead[:n]
+            over1 = ahead >= unit * model.edge[key + 1]
+            over2 = ahead >= unit * model.edge[key + 2]
+            x = np.where(over1, c1, first)
+        key += over1
+        key += over2
+        keys.append(key)
+        begin, rng = unit * model.edge[key], unit * model.width[key]
+
+        rest = np.flatnonzero(over2)
         if ids is not None:
-            low, rng = coder.shift(live, low, rng)
+            if len(rest):
+                value = x[rest]
+                others.append(value)
+                share, step = model.share[value], rng[rest] >> SHIFT_ID
+                begin[rest] += step * (share >> WORD)
+                rng[rest] = step * (share & LOW_WORD)
+            coder.step(n, begin, rng)
         else:
-            low, rng, code = coder.shift(live, low, rng, coder.code[:n])
-            coder.code[:n] = code
-
-        rest = np.flatnonzero(is2)
-        if len(rest):
-            rows, lo, r = live.take(rest), low.take(rest), rng.take(rest)
-            home = row_digits.take(rest)
-            cell = count16[: len(rest)]
-            co = None if ids is not None else coder.code.take(rest)
-            value = x.take(rest).astype(np.int64) if ids is not None else None
-            done = np.zeros(len(rest), np.int64)
-            for k in range(4):
-                context = (done, done, done, ((done * 2654435761) >> 7) & (DIGIT_CONTEXTS[3] - 1))[k]
-                where = home + (_DIGIT_START[k] + context)
-                table = digits.take(where, axis=0)
-                step = r >> SHIFT_DIGIT
-                if ids is not None:
-                    digit = (value >> (12 - 4 * k)) & 15
-                else:
-                    ahead = np.minimum((co - lo) // step, U64((1 << 15) - 1)).astype(np.int16)
-                    # One byte per bound that is not above; a product adds up eight of them.
-                    below = (table <= ahead[:, None]).view(U64)
-                    digit = (((below[:, 0] + below[:, 1]) * _BYTES) >> U64(56)).astype(np.int64) - 1
-                flat = cell + digit
-                cells = table.ravel()
-                start = cells.take(flat)
-                stop = np.where(digit == 15, 1 << 15, cells.take(flat + 1, mode="clip"))
-                lo = lo + step * start.astype(U64)
-                r = step * (stop - start).astype(U64)
-                table += (_TOWARDS.take(digit, axis=0) - table) >> DIGIT_RATE
-                whole[where] = table.view("V32").ravel()
-                done = done * 16 + digit
-                if k & 1:
-                    if ids is not None:
-                        lo, r = coder.shift(rows, lo, r)
-                    else:
-                        lo, r, co = coder.shift(rows, lo, r, co)
-            low[rest], rng[rest] = lo, r
-            if ids is None:
-                coder.code[rest] = co
-                x[rest] = done.astype(U16)
-        coder.low[:n], coder.range[:n] = low, rng
-        if ids is None:
+            ahead = ahead - begin
+            if len(rest):
+                far, step = ahead[rest], rng[rest] >> SHIFT_ID
+                value = model.ids.take((far // step).view(I64), mode="clip").astype(I64)
+                x[rest] = value
+                others.append(value)
+                share = model.share[value]
+                ahead[rest] = far - step * (share >> WORD)
+                rng[rest] = step * (share & LOW_WORD)
+            coder.step(n, ahead, rng)
             out[t, :n] = x
+            right1 = c1 == x
 
-        # Learn: reliabilities, mixing weights, memories.
-        hit = is0.astype(I32)
-        goal = hit * 65535
-        p2[k2] = q2 + ((goal - q2) >> 5)
-        p1[k1] = q1 + ((goal - q1) >> 5)
-        p0[k0] = q0 + ((goal - q0) >> 5)
-        other = np.flatnonzero(second & ~is0)
-        if len(other):
-            goal = (choice[other] == 1) * I32(65535)
-            pb[kb[other]] = qb[other] + ((goal - qb[other]) >> 4)
-        error = ((hit << 12) - pa) * 3
-        w2 += (x2 * error) >> 9
-        w1 += (x1 * error) >> 9
-        w0 += (x0 * error) >> 9
-        if t % 64 == 63:
-            for w in weights:
-                np.clip(w, -MOST_WEIGHT, MOST_WEIGHT, out=w)
-        right = c1 == x
-        id1[at1] = np.where(right | (s1 > 1), c1, x)
-        sure1[at1] = (_SURER.take(s1) * right) + (_LESS_SURE.take(s1) * ~right)
-        right = c2 == x
-        id2[at2] = np.where(right | (s2 > 1), c2, x)
-        sure2[at2] = (_SURER.take(s2) * right) + (_LESS_SURE.take(s2) * ~right)
-        at0 = row0[:n] + (x & U16(SLOTS_0 - 1))
-        seen[at0] = _SURER.take(seen.take(at0))
-        before[:n], prev[:n] = a, x
+        fresh = (x.astype(np.int32) << 4) | 1
+        s1 <<= 1
+        s1 += right1
+        one[a] = np.where(right1 | (s1 > 3), held1 + _GAIN[s1], fresh)
+        right2 = c2 == x
+        s2 <<= 1
+        s2 += right2
+        two[at2] = np.where(right2 | (s2 > 3), held2 + _GAIN[s2], fresh)
+        before, prev = a, x
+        if len(keys) >= min(MOST_STEPS, max(1, learned)):
+            new = out[learned : t + 1].ravel() if n == blocks else out[learned : t + 1, :n].ravel()
+            model.learn(np.concatenate(keys), new, np.concatenate([*others, np.zeros(0, I64)]))
+            learned = t + 1
+            keys.clear()
+            others.clear()
     return coder.finish() if ids is not None else out
 
 
 def encode_blocks(ids: np.ndarray, size: int) -> list[np.ndarray]:
-    """Cut ids below 65,536 into blocks of ``size`` (the last may be shorter) and code each
-    to 16-bit words."""
+    """Cut ids below 65,536 into blocks of ``size`` (the last may be shorter) and code them, as
+    one group, to 32-bit words each."""
     if not len(ids):
         return []
     blocks = -(-len(ids) // size)
@@ -274,7 +309,7 @@ def encode_blocks(ids: np.ndarray, size: int) -> list[np.ndarray]:
 
 
 def decode_blocks(words: list[np.ndarray], size: int, count: int) -> np.ndarray:
-    """The ``count`` ids of the blocks of one segment."""
+    """The ``count`` ids of the blocks of one group."""
     if not count:
         return np.zeros(0, U16)
     size = min(size, count)

@@ -60,7 +60,7 @@ _CLASS = _classes()
 _WORD = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 
 
-def _byte_letters() -> dict[int, int]:
+def byte_letters() -> dict[int, int]:
     """Byte-level letters: visible bytes stand for themselves, others follow from 256 on."""
     visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
     hidden = [b for b in range(256) if b not in visible]
@@ -82,7 +82,7 @@ class WordTokenizer:
 
         self.library = Tokenizer.from_str(definition)
         self.model = self.library.model
-        self.letters = _byte_letters()
+        self.letters = byte_letters()
         self.known: dict[bytes, bytes] = {}
         added = json.loads(definition).get("added_tokens") or []
         self.added = [t["content"].encode() for t in added]

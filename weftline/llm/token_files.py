@@ -1,12 +1,14 @@
 """Token-id files: documents to ids, ids to compressed blocks, and back.
 
 Documents are range-partitioned by doc_id and each task codes its part, in order, into
-segments. A segment has a table of its documents and ids and independent, checksummed blocks
-of up to ``BLOCK_IDS`` ids (:mod:`weftline.llm.id_coder`):
+segments. A segment has a table of its documents and ids and checksummed blocks of up to
+``BLOCK_IDS`` ids, of which up to ``SEGMENT_BLOCKS`` are coded as one group
+(:mod:`weftline.llm.id_coder`):
 
-``WTOK1`` | documents u32 | ids u64 | block ids u32 | CRC-32 of all that follows before the
-payload u32 | doc_id i64, is null u8 and ids u64 of each document | words u32 and CRC-32 of
-the ids u32 of each block | payload: each block's 16-bit words. All little-endian.
+``WTOK2`` | documents u32 | ids u64 | block ids u32 | blocks of a group u32 | CRC-32 of all
+that follows before the payload u32 | doc_id i64, is null u8 and ids u64 of each document |
+words u32 and CRC-32 of the ids u32 of each block | payload: each block's 32-bit words. All
+little-endian.
 
 Files are lines of Spark's text writer, which commits them as a whole per task, with a line
 feed after each segment.
@@ -19,6 +21,7 @@ import struct
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,35 +32,58 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from weftline.llm.common import new_path, ship, stored
 from weftline.llm.files import FilePack, open_file, pack_files
 from weftline.llm.id_coder import decode_blocks, encode_blocks
+from weftline.llm.packing import byte_letters
 from weftline.llm.textops import release_memory, text_buffers, tidy
 
-MAGIC = b"WTOK1"
+MAGIC = b"WTOK2"
 END_ID = 0
-BLOCK_IDS = 4096
-#: Blocks of a segment, which are coded together. A longer document is a segment of its own.
-SEGMENT_BLOCKS = 1536
+BLOCK_IDS = 1024
+#: Blocks that are coded together, those of a segment. A longer document is a segment of its own,
+#: with several such groups.
+SEGMENT_BLOCKS = 4096
 #: A short segment has shorter blocks, down to this, so that many are still coded side by side.
-LEAST_BLOCK_IDS = 512
-SIDE_BY_SIDE = 512
+LEAST_BLOCK_IDS = 256
 #: Bytes of files that one task decodes, which takes far longer than reading them.
 READ_BYTES = 8 << 20
 #: Bytes of text that are split into ids together, and words given to the tokenizer at once.
 TEXT_BYTES = 4 << 20
 WORDS_AT_ONCE = 20_000
-#: Words whose ids a task keeps. Any word beyond is split anew.
-CACHE_WORDS = 300_000
-_HEAD = "<5sIQII"
+#: Words whose ids a worker keeps. Any word beyond is split anew.
+CACHE_WORDS = 400_000
+_HEAD = "<5sIQIII"
 _HEAD_BYTES = struct.calcsize(_HEAD)
 _DOC = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("ids", "<u8")])
 _BLOCK = np.dtype([("words", "<u4"), ("crc", "<u4")])
 
 
+_LETTER, _DIGIT, _SIGN, _OTHER = range(4)
+
+
+def _classes() -> np.ndarray:
+    out = np.full(256, _OTHER, np.uint8)
+    out[0x21:0x7F] = _SIGN
+    out[0x30:0x3A] = _DIGIT
+    out[0x41:0x5B] = out[0x61:0x7B] = _LETTER
+    out[0x27] = _OTHER  # an apostrophe may begin a piece of its own kind
+    return out
+
+
+_CLASS = _classes()
+#: The byte-level letter of each byte. Words are joined by line feeds, which stay.
+_LETTERS = np.arange(256, dtype="<u4")
+for _byte, _letter in byte_letters().items():
+    _LETTERS[_byte] = _letter
+_LETTERS[0x0A] = 0x0A
+
+
 class Tokenizer:
-    """Ids of whole texts, each different word split once.
+    """Ids of whole texts, each different piece of a word split once.
 
     The byte-level pre-tokenizer always starts a new piece at a single blank between two
-    characters that are no white space. Cut there, the parts of a text are split on their own
-    with the same result, and the same part occurs often.
+    characters that are no white space, around such a line feed, and where letters, digits and
+    other signs meet. Cut there, the parts of a text are split on their own with the same
+    result, and the same part occurs often. Parts that are surely one piece go to the model at
+    once, all others take the library's whole way.
     """
 
     def __init__(self, definition: str) -> None:
@@ -66,38 +92,76 @@ class Tokenizer:
         # A task has one core: threads of the library's own cost more CPU than they save.
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.library = Library.from_str(definition)
+        self.model = self.library.model
+        added = self.library.get_added_tokens_decoder().values()
+        self.added = [t.content.encode() for t in added]
         self.known: dict[bytes, bytes] = {}
 
     @staticmethod
-    def cuts(data: np.ndarray) -> np.ndarray:
-        """Where a part can begin: at a blank whose neighbours are surely no white space.
+    def cuts(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The class of each byte, and whether a part can begin there.
 
-        These are printable ASCII characters, two-byte characters except those that begin
-        with C2 and, after the blank, what begins neither with C2 nor with E1 to E3.
+        Blanks and line feeds count whose neighbours are surely no white space: printable ASCII
+        characters, two-byte characters except those that begin with C2 and, after the blank,
+        what begins neither with C2 nor with E1 to E3. Letters are ASCII's and those from U+00C0
+        to U+00FF, digits and signs ASCII's without the apostrophe.
         """
-        if len(data) < 3:
-            return np.zeros(0, np.int64)
-        plain = (data > 0x20) & (data < 0x7F)
-        high = data >= 0x80
-        after = plain | (high & (data != 0xC2) & ((data < 0xE1) | (data > 0xE3)))
-        before = plain.copy()
-        before[1:] |= high[1:] & (data[:-1] > 0xC2) & (data[:-1] < 0xE0)
-        return np.flatnonzero((data[1:-1] == 0x20) & before[:-2] & after[2:]) + 1
-
-    def _split(self, words: list[bytes]) -> list[bytes]:
-        """The 16-bit ids of each word, as bytes, which take a third of a small array's room."""
-        out: list[bytes] = []
-        for i in range(0, len(words), WORDS_AT_ONCE):
-            texts = [w.decode() for w in words[i : i + WORDS_AT_ONCE]]
+        kind, edge = _CLASS[data], np.zeros(len(data) + 1, bool)
+        pair = np.flatnonzero(data[:-1] == 0xC3)
+        pair = pair[(data[pair + 1] != 0x97) & (data[pair + 1] != 0xB7)]
+        kind[pair] = kind[pair + 1] = _LETTER
+        a, b = kind[:-1], kind[1:]
+        edge[1:-1] = (a != b) & (np.maximum(a, b) < _OTHER)
+        at = np.flatnonzero((data[1:-1] == 0x20) | (data[1:-1] == 0x0A)) + 1
+        lead, before, after = data[np.maximum(at - 2, 0)], data[at - 1], data[at + 1]
+        high = (after >= 0x80) & (after != 0xC2) & ((after < 0xE1) | (after > 0xE3))
+        sure = high | ((after > 0x20) & (after < 0x7F))
+        high = (at > 1) & (before >= 0x80) & (lead > 0xC2) & (lead < 0xE0)
+        at = at[sure & (high | ((before > 0x20) & (before < 0x7F)))]
+        edge[at] = True
+        edge[at[data[at] == 0x0A] + 1] = True
+        return kind, edge
+
+    def _pieces(self, words: list[bytes]) -> list[bytes]:
+        """The ids of words that are one piece each."""
+        if not words:
+            return []
+        letters = _LETTERS[np.frombuffer(b"\n".join(words), np.uint8)].tobytes()
+        tokenize, ids, ends = self.model.tokenize, [], [0]
+        for word in letters.decode("utf-32-le").split("\n"):
+            ids += [t.id for t in tokenize(word)]
+            ends.append(2 * len(ids))
+        flat = array("H", ids).tobytes()
+        return [flat[a:b] for a, b in zip(ends, ends[1:])]
+
+    def _split(self, words: list[bytes], whole: np.ndarray) -> list[bytes]:
+        """The 16-bit ids of each word, as bytes, which take a third of a small array's room;
+        ``whole`` tells which words are one piece."""
+        if whole.all():
+            return self._pieces(words)
+        out = [b""] * len(words)
+        places = np.flatnonzero(whole).tolist()
+        for i, ids in zip(places, self._pieces([words[i] for i in places]), strict=True):
+            out[i] = ids
+        places = np.flatnonzero(~whole).tolist()
+        for k in range(0, len(places), WORDS_AT_ONCE):
+            part = places[k : k + WORDS_AT_ONCE]
+            texts = [words[i].decode() for i in part]
             found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-            out += [array("H", e.ids).tobytes() for e in found]
+            for i, e in zip(part, found, strict=True):
+                out[i] = array("H", e.ids).tobytes()
         return out
 
     def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts ``data[offsets[i]:offsets[i + 1]]``, and each text's first id."""
-        inner = self.cuts(data)
-        edge = np.zeros(len(data) + 1, bool)
-        edge[inner] = True
+        kind, edge = self.cuts(data)
+        raw = data.tobytes() if self.added else b""
+        for token in self.added:
+            at = raw.find(token)
+            while at >= 0:
+                edge[at + 1 : at + len(token)] = False
+                kind[at : at + len(token)] = _OTHER
+                at = raw.find(token, at + 1)
         edge[offsets] = True
         bounds = np.flatnonzero(edge)
         if len(bounds) < 2:
@@ -108,14 +172,22 @@ class Tokenizer:
             [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))],
         ).dictionary_encode()
         index = parts.indices.to_numpy()
-        words = parts.dictionary.to_pylist()
-        found = [self.known.get(w) for w in words]
+        _, ends, joined = parts.dictionary.buffers()
+        ends = np.frombuffer(ends, np.int64)[: len(parts.dictionary) + 1].tolist()
+        raw = joined.to_pybytes()
+        words = [raw[a:b] for a, b in zip(ends, ends[1:])]
+        # One piece: signs of one class, but for a blank before them.
+        others = np.add.reduceat(kind == _OTHER, bounds[:-1], dtype=np.int32)
+        head = data[bounds[:-1]] == 0x20
+        whole = np.zeros(len(words), bool)
+        whole[index] = (others == head) & (np.diff(bounds) > head)
+        found = list(map(self.known.get, words))
         new = [i for i, ids in enumerate(found) if ids is None]
-        times = np.bincount(index, minlength=len(words))
-        for i, ids in zip(new, self._split([words[i] for i in new]), strict=True):
+        fresh = [words[i] for i in new]
+        split = self._split(fresh, whole[new])
+        for i, ids in zip(new, split, strict=True):
             found[i] = ids
-            if times[i] > 1 and len(self.known) < CACHE_WORDS:
-                self.known[words[i]] = ids
+        self.known.update(islice(zip(fresh, split), CACHE_WORDS - len(self.known)))
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 2
         begin = np.cumsum(np.r_[0, sizes])
         flat = np.frombuffer(b"".join(found), np.uint16)
@@ -136,15 +208,18 @@ def with_end(ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def pack_segment(docs: np.ndarray, ids: np.ndarray) -> bytes:
-    size = min(BLOCK_IDS, max(LEAST_BLOCK_IDS, -(-len(ids) // SIDE_BY_SIDE)))
-    blocks = encode_blocks(ids, size)
-    table = np.zeros(len(blocks), _BLOCK)
-    for i, words in enumerate(blocks):
+    size = min(BLOCK_IDS, max(LEAST_BLOCK_IDS, -(-len(ids) // SEGMENT_BLOCKS)))
+    group = SEGMENT_BLOCKS * size
+    table = np.zeros(-(-len(ids) // size), _BLOCK)
+    payload: list[bytes] = []
+    for a in range(0, len(ids), group):
+        payload += [w.astype("<u4").tobytes() for w in encode_blocks(ids[a : a + group], size)]
+    for i, words in enumerate(payload):
         part = ids[i * size : (i + 1) * size]
-        table[i] = (len(words), zlib.crc32(part.astype("<u2").tobytes()))
+        table[i] = (len(words) // 4, zlib.crc32(part.astype("<u2").tobytes()))
     body = docs.tobytes() + table.tobytes()
-    head = struct.pack(_HEAD, MAGIC, len(docs), len(ids), size, zlib.crc32(body))
-    return head + body + b"".join(w.astype("<u2").tobytes() for w in blocks)
+    head = struct.pack(_HEAD, MAGIC, len(docs), len(ids), size, SEGMENT_BLOCKS, zlib.crc32(body))
+    return b"".join([head, body, *payload])
 
 
 def read_segments(file) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -152,7 +227,7 @@ def read_segments(file) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     while head := file.read(_HEAD_BYTES):
         if len(head) < _HEAD_BYTES or head[:5] != MAGIC:
             raise ValueError("no token segment")
-        _, n_docs, n_ids, size, crc = struct.unpack(_HEAD, head)
+        _, n_docs, n_ids, size, group, crc = struct.unpack(_HEAD, head)
         n_blocks = -(-n_ids // size)
         body = file.read(n_docs * _DOC.itemsize + n_blocks * _BLOCK.itemsize)
         if zlib.crc32(body) != crc:
@@ -160,13 +235,13 @@ def read_segments(file) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         docs = np.frombuffer(body, _DOC, n_docs)
         table = np.frombuffer(body, _BLOCK, n_blocks, n_docs * _DOC.itemsize)
         ids = np.zeros(n_ids, np.uint16)
-        # All blocks but the last are full, so any run of blocks is decoded together.
-        for a in range(0, n_blocks, SEGMENT_BLOCKS):
-            part = table[a : a + SEGMENT_BLOCKS]
-            payload = file.read(2 * int(part["words"].sum()))
-            if len(payload) != 2 * int(part["words"].sum()):
+        # All blocks but the last are full.
+        for a in range(0, n_blocks, group):
+            part = table[a : a + group]
+            payload = file.read(4 * int(part["words"].sum()))
+            if len(payload) != 4 * int(part["words"].sum()):
                 raise ValueError("torn segment")
-            words = np.split(np.frombuffer(payload, "<u2"), np.cumsum(part["words"])[:-1])
+            words = np.split(np.frombuffer(payload, "<u4"), np.cumsum(part["words"])[:-1])
             stop = min(n_ids, (a + len(part)) * size)
             ids[a * size : stop] = decode_blocks(words, size, stop - a * size)
             for k, crc in enumerate(part["crc"]):
@@ -178,11 +253,15 @@ def read_segments(file) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield docs, ids
 
 
-def _segments(definition):
+def _segments(shared):
     """Ordered (doc_id, text) rows to segments."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = Tokenizer(definition.value)
+        # A worker's tasks share the tokenizer and its words, until one does without the broadcast.
+        kept = shared.value
+        if "tokenizer" not in kept:
+            kept["tokenizer"] = Tokenizer(kept["definition"])
+        tokenizer = kept["tokenizer"]
         docs: list[np.ndarray] = []
         ids: list[np.ndarray] = []
         held = 0
@@ -237,7 +316,7 @@ def write_tokens(docs: DataFrame, path: str, definition: str) -> None:
     doc_id are ordered by a hash of their text.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(definition)
+    shared = spark.sparkContext.broadcast({"definition": definition})
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
