@@ -277,6 +277,7 @@ def _run(blocks: int, size: int, last: int, ids: np.ndarray | None, words) -> np
             out[t, :n] = x
             right1 = c1 == x
 
+        # Of blocks with the same context, the last one is remembered.
         fresh = (x.astype(np.int32) << 4) | 1
         s1 <<= 1
         s1 += right1
